@@ -57,8 +57,29 @@ DIM_CONFIG_LOG = [
 ]
 
 
+# Declared types of the input tables: reading them starts no inference job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def base_dic(spark: SparkSession) -> DataFrame:
@@ -217,11 +238,34 @@ def _clock(at: Column) -> Column:
     return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
 
 
-def change_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Change records of every source table, as one log.
+def change_log(spark: SparkSession, folder: str, *names: str) -> DataFrame:
+    """Change records of the named source tables (all without names), as one log.
 
-    Selecting one table by name leaves only that branch in the plan.
+    Selecting one table by name leaves only its branches in the plan, as the
+    partitions of a stored log would.
     """
+    wanted = names or (*SHOP_TABLES, *MASTER_TABLES)
+    branches = []
+    if set(wanted) & set(SHOP_TABLES):
+        branches += _shop_changes(spark, folder, set(wanted))
+    if set(wanted) & set(MASTER_TABLES):
+        branches += _master_changes(spark, folder, set(wanted))
+    log = branches[0]
+    for branch in branches[1:]:
+        log = log.unionAll(branch)
+    return log
+
+
+SHOP_TABLES = [
+    "order_info", "order_detail", "order_detail_activity", "order_detail_coupon", "payment_info",
+    "order_refund_info", "refund_payment", "cart_info", "favor_info", "comment_info", "user_info",
+    "coupon_use",
+]
+MASTER_TABLES = ["region", "nation", "part", "supplier"]
+
+
+def _shop_changes(spark: SparkSession, folder: str, wanted: set[str]) -> list[DataFrame]:
+    """Orders, carts, coupons and user activity."""
     c = F.col
     orders = table(spark, folder, "orders").withColumn("at", c("o_orderdate").cast("timestamp"))
     lines = table(spark, folder, "lineitem").withColumn("at", c("l_shipdate").cast("timestamp"))
@@ -258,71 +302,70 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
     got = c("at") - F.expr("interval 1 day")
     inserted_cart = c("event_id") % 3 == 0
 
+    def change(rows: DataFrame, name: str, *parts) -> DataFrame | None:
+        return _change(rows, name, *parts) if name in wanted else None
+
     branches = [
-        _change(orders, "order_info", "insert", epoch("at"), c("o_orderkey") * 2,
-                {**order, "order_status": F.lit(s.ORDER_UNPAID), "operate_time": no_text}),
-        _change(orders, "order_info", "update", epoch(operated), c("o_orderkey") * 2 + 1,
-                {**order, "order_status": status, "operate_time": _clock(operated)},
-                _text_map(order_status=F.lit(s.ORDER_UNPAID), operate_time=no_text)),
-        _change(lines, "order_detail", "insert", epoch("at"), line_seq,
-                {"id": line_id, "order_id": c("l_orderkey"), "sku_id": c("l_partkey"),
-                 "sku_name": F.concat(F.lit("sku-"), c("l_partkey")),
-                 "create_time": _clock(c("at")), "source_id": c("l_suppkey"),
-                 "source_type": code("240", c("l_suppkey") % 5 + 1),
-                 "sku_num": c("l_quantity").cast("int"), "order_price": price,
-                 "split_total_amount": price * (F.lit(1).cast("decimal(4,2)") - share),
-                 "split_activity_amount": F.when(c("l_returnflag") == "R", price * share),
-                 "split_coupon_amount": F.when(c("l_discount") >= 0.08, price * share)}),
-        _change(returned, "order_detail_activity", "insert", epoch("at"), line_seq,
-                {"order_detail_id": line_id, "activity_id": c("l_suppkey") % 7,
-                 "activity_rule_id": c("l_partkey") % 11}),
-        _change(lines.where("l_discount >= 0.08"), "order_detail_coupon", "insert", epoch("at"),
-                line_seq, {"order_detail_id": line_id, "coupon_id": c("l_partkey") % 13}),
-        _change(orders.where(paid), "payment_info", "insert", epoch(called_back), c("o_orderkey"),
-                {"user_id": c("o_custkey"), "order_id": c("o_orderkey"),
-                 "payment_type": code("110", c("o_custkey") % 4 + 1),
-                 "payment_status": F.lit("1601"), "callback_time": _clock(called_back)}),
-        _change(returned, "order_refund_info", "insert", epoch("at"), line_seq,
-                {"id": line_id, "user_id": c("l_suppkey"), "order_id": c("l_orderkey"),
-                 "sku_id": c("l_partkey"), "refund_type": code("150", c("l_linenumber") % 3 + 1),
-                 "refund_num": c("l_quantity").cast("int"), "refund_amount": price,
-                 "refund_reason_type": code("130", c("l_suppkey") % 8 + 1),
-                 "refund_reason_txt": F.concat(F.lit("line "), c("l_linenumber")),
-                 "create_time": _clock(c("at"))}),
-        _change(returned, "refund_payment", "insert", epoch("at"), line_seq,
-                {"id": line_id, "order_id": c("l_orderkey"), "sku_id": c("l_partkey"),
-                 "payment_type": code("110", c("l_suppkey") % 4 + 1),
-                 "callback_time": _clock(c("at")), "total_amount": price,
-                 "refund_status": F.when(c("l_linestatus") == "F", s.REFUND_SUCCESS).otherwise("0701")}),
-        _change(events.where("event_type = 'purchase'"), "cart_info",
-                F.when(inserted_cart, "insert").otherwise("update"), event_at, c("event_id"),
-                {**event, "sku_id": k, "source_id": k, "source_type": code("240", k % 5 + 1),
-                 "sku_num": F.when(inserted_cart, k % 9 + 1).otherwise(k % 7)},
-                F.when(~inserted_cart, _text_map(sku_num=k % 5))),
-        _change(events.where("event_type = 'click'"), "favor_info", "insert", event_at,
-                c("event_id"), {**event, "sku_id": k, "create_time": event_time}),
-        _change(events.where("event_type = 'error'"), "comment_info", "insert", event_at,
-                c("event_id"), {**event, "sku_id": k, "order_id": c("event_id"),
-                                "create_time": event_time, "appraise": code("120", k % 5 + 1)}),
-        _change(events.where("event_type = 'signup'"), "user_info", "insert", event_at,
-                c("event_id"), {"id": c("user_id"), "create_time": event_time}),
-        _change(orders, "coupon_use", "insert", epoch(got), c("o_orderkey") * 2,
-                {**coupon, "get_time": _clock(got), "coupon_status": F.lit(s.COUPON_UNUSED)}),
-        _change(orders.where("o_orderstatus in ('P', 'O')"), "coupon_use", "update", epoch("at"),
-                c("o_orderkey") * 2 + 1,
-                {**coupon, "order_id": c("o_orderkey"), "get_time": _clock(got),
-                 "using_time": _clock(c("at")), "used_time": F.when(paid, _clock(called_back)),
-                 "coupon_status": F.lit(s.COUPON_USING)},
-                _text_map(coupon_status=F.lit(s.COUPON_UNUSED), using_time=no_text)),
-        *_dimension_changes(spark, folder),
+        change(orders, "order_info", "insert", epoch("at"), c("o_orderkey") * 2,
+               {**order, "order_status": F.lit(s.ORDER_UNPAID), "operate_time": no_text}),
+        change(orders, "order_info", "update", epoch(operated), c("o_orderkey") * 2 + 1,
+               {**order, "order_status": status, "operate_time": _clock(operated)},
+               _text_map(order_status=F.lit(s.ORDER_UNPAID), operate_time=no_text)),
+        change(lines, "order_detail", "insert", epoch("at"), line_seq,
+               {"id": line_id, "order_id": c("l_orderkey"), "sku_id": c("l_partkey"),
+                "sku_name": F.concat(F.lit("sku-"), c("l_partkey")),
+                "create_time": _clock(c("at")), "source_id": c("l_suppkey"),
+                "source_type": code("240", c("l_suppkey") % 5 + 1),
+                "sku_num": c("l_quantity").cast("int"), "order_price": price,
+                "split_total_amount": price * (F.lit(1).cast("decimal(4,2)") - share),
+                "split_activity_amount": F.when(c("l_returnflag") == "R", price * share),
+                "split_coupon_amount": F.when(c("l_discount") >= 0.08, price * share)}),
+        change(returned, "order_detail_activity", "insert", epoch("at"), line_seq,
+               {"order_detail_id": line_id, "activity_id": c("l_suppkey") % 7,
+                "activity_rule_id": c("l_partkey") % 11}),
+        change(lines.where("l_discount >= 0.08"), "order_detail_coupon", "insert", epoch("at"),
+               line_seq, {"order_detail_id": line_id, "coupon_id": c("l_partkey") % 13}),
+        change(orders.where(paid), "payment_info", "insert", epoch(called_back), c("o_orderkey"),
+               {"user_id": c("o_custkey"), "order_id": c("o_orderkey"),
+                "payment_type": code("110", c("o_custkey") % 4 + 1),
+                "payment_status": F.lit("1601"), "callback_time": _clock(called_back)}),
+        change(returned, "order_refund_info", "insert", epoch("at"), line_seq,
+               {"id": line_id, "user_id": c("l_suppkey"), "order_id": c("l_orderkey"),
+                "sku_id": c("l_partkey"), "refund_type": code("150", c("l_linenumber") % 3 + 1),
+                "refund_num": c("l_quantity").cast("int"), "refund_amount": price,
+                "refund_reason_type": code("130", c("l_suppkey") % 8 + 1),
+                "refund_reason_txt": F.concat(F.lit("line "), c("l_linenumber")),
+                "create_time": _clock(c("at"))}),
+        change(returned, "refund_payment", "insert", epoch("at"), line_seq,
+               {"id": line_id, "order_id": c("l_orderkey"), "sku_id": c("l_partkey"),
+                "payment_type": code("110", c("l_suppkey") % 4 + 1),
+                "callback_time": _clock(c("at")), "total_amount": price,
+                "refund_status": F.when(c("l_linestatus") == "F", s.REFUND_SUCCESS).otherwise("0701")}),
+        change(events.where("event_type = 'purchase'"), "cart_info",
+               F.when(inserted_cart, "insert").otherwise("update"), event_at, c("event_id"),
+               {**event, "sku_id": k, "source_id": k, "source_type": code("240", k % 5 + 1),
+                "sku_num": F.when(inserted_cart, k % 9 + 1).otherwise(k % 7)},
+               F.when(~inserted_cart, _text_map(sku_num=k % 5))),
+        change(events.where("event_type = 'click'"), "favor_info", "insert", event_at,
+               c("event_id"), {**event, "sku_id": k, "create_time": event_time}),
+        change(events.where("event_type = 'error'"), "comment_info", "insert", event_at,
+               c("event_id"), {**event, "sku_id": k, "order_id": c("event_id"),
+                               "create_time": event_time, "appraise": code("120", k % 5 + 1)}),
+        change(events.where("event_type = 'signup'"), "user_info", "insert", event_at,
+               c("event_id"), {"id": c("user_id"), "create_time": event_time}),
+        change(orders, "coupon_use", "insert", epoch(got), c("o_orderkey") * 2,
+               {**coupon, "get_time": _clock(got), "coupon_status": F.lit(s.COUPON_UNUSED)}),
+        change(orders.where("o_orderstatus in ('P', 'O')"), "coupon_use", "update", epoch("at"),
+               c("o_orderkey") * 2 + 1,
+               {**coupon, "order_id": c("o_orderkey"), "get_time": _clock(got),
+                "using_time": _clock(c("at")), "used_time": F.when(paid, _clock(called_back)),
+                "coupon_status": F.lit(s.COUPON_USING)},
+               _text_map(coupon_status=F.lit(s.COUPON_UNUSED), using_time=no_text)),
     ]
-    log = branches[0]
-    for branch in branches[1:]:
-        log = log.unionAll(branch)
-    return log
+    return [b for b in branches if b is not None]
 
 
-def _dimension_changes(spark: SparkSession, folder: str) -> list[DataFrame]:
+def _master_changes(spark: SparkSession, folder: str, wanted: set[str]) -> list[DataFrame]:
     """Master data: bootstrap rows framed by control rows, part updates, deletes."""
     c = F.col
     region, nation = table(spark, folder, "region"), table(spark, folder, "nation")
@@ -334,24 +377,26 @@ def _dimension_changes(spark: SparkSession, folder: str) -> list[DataFrame]:
     def all_columns(rows: DataFrame) -> dict[str, Column]:
         return {name: c(name) for name in rows.columns}
 
-    frame = [
-        _change(region, "region", kind, at(n), F.lit(-1), None)
-        for kind, n in (("bootstrap-start", 0), ("bootstrap-complete", 2))
-    ]
+    def change(rows: DataFrame, name: str, *parts) -> DataFrame | None:
+        return _change(rows, name, *parts) if name in wanted else None
+
     renamed = {
         "p_partkey": c("p_partkey"), "p_name": c("p_name"),
         "p_brand": F.concat("p_brand", F.lit(" II")), "p_size": c("p_size"),
     }
-    return frame + [
-        _change(region, "region", "bootstrap-insert", at(1), c("r_regionkey"), all_columns(region)),
-        _change(nation, "nation", "insert", at(1), c("n_nationkey"), all_columns(nation)),
-        _change(nation.where("n_regionkey = 2"), "nation", "delete", at(3), c("n_nationkey"),
-                all_columns(nation)),
-        _change(part, "part", "insert", at(1), c("p_partkey"),
-                {"p_partkey": c("p_partkey"), "p_name": c("p_name"), "p_brand": c("p_brand"),
-                 "p_size": c("p_size")}),
-        _change(part.where("p_size > 25"), "part", "update", at(2), c("p_partkey"), renamed,
-                _text_map(p_brand=c("p_brand"))),
-        _change(supplier, "supplier", "insert", at(1), c("s_suppkey"),
-                {"s_suppkey": c("s_suppkey"), "s_name": c("s_name")}),
+    branches = [
+        change(region, "region", "bootstrap-start", at(0), F.lit(-1), None),
+        change(region, "region", "bootstrap-insert", at(1), c("r_regionkey"), all_columns(region)),
+        change(region, "region", "bootstrap-complete", at(2), F.lit(-1), None),
+        change(nation, "nation", "insert", at(1), c("n_nationkey"), all_columns(nation)),
+        change(nation.where("n_regionkey = 2"), "nation", "delete", at(3), c("n_nationkey"),
+               all_columns(nation)),
+        change(part, "part", "insert", at(1), c("p_partkey"),
+               {"p_partkey": c("p_partkey"), "p_name": c("p_name"), "p_brand": c("p_brand"),
+                "p_size": c("p_size")}),
+        change(part.where("p_size > 25"), "part", "update", at(2), c("p_partkey"), renamed,
+               _text_map(p_brand=c("p_brand"))),
+        change(supplier, "supplier", "insert", at(1), c("s_suppkey"),
+               {"s_suppkey": c("s_suppkey"), "s_name": c("s_name")}),
     ]
+    return [b for b in branches if b is not None]
