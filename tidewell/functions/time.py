@@ -27,7 +27,7 @@ def from_seconds(s: Column | str) -> Column:
 
 def from_millis_whole_seconds(ms: Column | str) -> Column:
     """Event time cut to whole seconds."""
-    return F.timestamp_seconds(F.floor(_col(ms) / 1000))
+    return F.date_trunc("second", from_millis(ms))
 
 
 def day_of_millis(ms: Column | str) -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell.operators import changes as ch
-from tidewell.schemas import DIM_CONFIG
 
 DEFAULT_KEY = "id"
 
@@ -62,8 +61,3 @@ def dimension_table(rows: DataFrame, sink_table: str, sink_columns: str) -> Data
     return rows.where(F.col("sink_table") == sink_table).select(
         *[F.col("data")[f.name].alias(f.name) for f in schema.fields]
     )
-
-
-def literal_config(spark, entries: list[tuple]) -> DataFrame:
-    """Configuration rows given in the program."""
-    return spark.createDataFrame(entries, DIM_CONFIG)

@@ -82,7 +82,7 @@ def bounces(pages: DataFrame, within_ms: int = 10_000, slice_ms: int | None = No
     slice_ms = slice_ms or 10 * within_ms
     if slice_ms < within_ms:
         raise ValueError("a slice must be at least as long as the limit")
-    home = F.floor(F.col("ts") / slice_ms)
+    home = F.expr(f"ts div {slice_ms}")
     near_begin = (F.col("ts") - home * slice_ms) < within_ms
     is_start = F.col("page.last_page_id").isNull()
     payload = F.struct(*pages.columns)

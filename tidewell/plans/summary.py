@@ -168,30 +168,34 @@ def cart_window(
 def payer_window(payments: DataFrame, size: str = DEFAULT_SIZE) -> DataFrame:
     """Users with a first payment that day, and with a first payment ever.
 
-    Windows that hold repeat payments only appear with zeros.  Payments are
-    first reduced to one row per user, day and second (a hot user shrinks
-    before the shuffle); both branches below read that one exchange.
+    Windows that hold repeat payments only appear with zeros.  One aggregate per
+    user and day keeps the first payment and the set of windows the user paid
+    in: bounded by the windows of a day however many payments there are, and
+    reduced before the shuffle.
     """
-    paid = (
-        payments.select("user_id", F.col("ts").try_cast("bigint").alias("ts"))
-        .groupBy("user_id", "ts")
-        .agg(F.lit(0).cast("bigint").alias("zero"))
+    paid_at = F.col("ts").try_cast("bigint")
+    slot = F.window(from_seconds("ts"), size).getField("start")
+    days = (
+        payments.select("user_id", paid_at.alias("ts"))
+        .where("ts is not null")
+        .select("user_id", "ts", slot.alias("slot"))
+        .groupBy("user_id", day_of_seconds("ts").alias("day"))
+        .agg(
+            F.min("slot").alias("first_slot"), F.collect_set("slot").alias("slots")
+        )
     )
-    firsts = state.with_previous_day(
-        state.first_times_of_day(paid, ["user_id"], "ts", day_of_seconds("ts")), "user_id"
+    slots = state.with_previous_day(days, "user_id").select(
+        F.explode("slots").alias("event_time"), "first_slot", "previous_day"
     )
     unique, first_ever = s.PAYER_METRICS
-    counted = firsts.select(
-        from_seconds("ts").alias("event_time"),
-        F.lit(1).cast("bigint").alias(unique),
-        F.when(F.col("previous_day").isNull(), 1).otherwise(0).cast("bigint").alias(first_ever),
-    )
-    touched = paid.select(
-        from_seconds("ts").alias("event_time"),
-        F.col("zero").alias(unique),
-        F.col("zero").alias(first_ever),
-    )
-    summed = tumble(
-        counted.unionByName(touched), "event_time", [], _sums(s.PAYER_METRICS), size
+    is_first = F.col("event_time") == F.col("first_slot")
+    measures = slots.select(
+        "event_time",
+        F.when(is_first, 1).otherwise(0).cast("bigint").alias(unique),
+        F.when(is_first & F.col("previous_day").isNull(), 1)
+        .otherwise(0)
+        .cast("bigint")
+        .alias(first_ever),
     )
+    summed = tumble(measures, "event_time", [], _sums(s.PAYER_METRICS), size)
     return summed.select(*s.WINDOW_KEYS, *s.PAYER_METRICS)

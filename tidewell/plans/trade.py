@@ -64,7 +64,8 @@ def order_wide(
     and source name.
 
     The dictionary comes first: it drops details with an unknown source before
-    anything is shuffled.
+    anything is shuffled.  Activity and coupon share one partitioning by detail
+    id; the orders, which multiply the rows by their versions, come last.
     """
     details = lookup(order_details(changes), dictionary, "source_type", "source_type_name")
     details = details.withColumnRenamed("event_time", "od_time")
@@ -84,13 +85,13 @@ def order_wide(
         coupons = coupons.withWatermark("cou_time", delay)
 
     wide = bounded_join(
-        details, orders, F.col("order_id") == F.col("oi_id"), ("od_time", "oi_time"), bound
+        details, activities, F.col("id") == F.col("act_detail"), ("od_time", "act_time"), bound, "left"
     )
     wide = bounded_join(
-        wide, activities, F.col("id") == F.col("act_detail"), ("od_time", "act_time"), bound, "left"
+        wide, coupons, F.col("id") == F.col("cou_detail"), ("od_time", "cou_time"), bound, "left"
     )
     wide = bounded_join(
-        wide, coupons, F.col("id") == F.col("cou_detail"), ("od_time", "cou_time"), bound, "left"
+        wide, orders, F.col("order_id") == F.col("oi_id"), ("od_time", "oi_time"), bound
     )
     return (
         wide.withColumn("date_id", text_date("create_time"))

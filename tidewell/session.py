@@ -13,6 +13,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more exchange above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Keep set-valued aggregates (windows per user and day) hashed, not sorted.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     # Upserts of summary tables touch only the partitions they carry.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

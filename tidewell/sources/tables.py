@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell import schemas as s
+from tidewell.sources import literal
 
 # Dictionary of the business database
 DICTIONARY_ENTRIES = [
@@ -83,9 +84,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def base_dic(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        DICTIONARY_ENTRIES, "dic_code string, dic_name string, parent_code string"
-    )
+    return literal.rows(spark, [(*e, None, None) for e in DICTIONARY_ENTRIES], s.DICTIONARY)
 
 
 def dim_config_log(spark: SparkSession) -> DataFrame:
@@ -93,7 +92,7 @@ def dim_config_log(spark: SparkSession) -> DataFrame:
     for seq, (op, source, sink, columns, key) in enumerate(DIM_CONFIG_LOG):
         entry = (source, sink, columns, key, None)
         rows.append((op, entry, None, seq) if op == "d" else (op, None, entry, seq))
-    return spark.createDataFrame(rows, s.DIM_CONFIG_CHANGE)
+    return literal.rows(spark, rows, s.DIM_CONFIG_CHANGE)
 
 
 # --------------------------------------------------------------------------
