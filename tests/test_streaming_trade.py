@@ -104,7 +104,7 @@ def messages(spark):
 
 @pytest.fixture(scope="module")
 def batch(messages):
-    return ch.parse(messages)
+    return ch.parse(messages, s.TYPED_CHANGE)
 
 
 @pytest.fixture(scope="module")
@@ -218,7 +218,8 @@ def test_windows(spark, warehouse, batch, dictionary):
     )
 
 
-def test_dimensions(spark, warehouse, batch):
+def test_dimensions(spark, warehouse, messages):
+    batch = ch.parse(messages)
     got = warehouse.dimensions().read(spark).select("sink_table", "pk", F.explode("data"))
     config = tables.dim_config_log(spark)
     want = dim.dimension_state(batch, config).select("sink_table", "pk", F.explode("data"))

@@ -1,4 +1,7 @@
-"""Expressions over change records (`data` and `old` are text maps)."""
+"""Expressions over change records.
+
+`data` and `old` are maps or structs of text; the expressions fit both.
+"""
 
 from __future__ import annotations
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.functions.changes import new
 from tidewell.functions.time import from_seconds
 from tidewell.schemas import CHANGE, CONTROL_TYPES
 
 
-def parse(messages: DataFrame) -> DataFrame:
+def parse(messages: DataFrame, schema: T.StructType = CHANGE) -> DataFrame:
     """Change records from JSON messages; unreadable text gives a null type."""
-    record = F.from_json("value", CHANGE)
+    record = F.from_json("value", schema)
     return messages.where("value is not null").select(F.inline(F.array(record)), "seq")
 
 
@@ -35,7 +36,7 @@ def table(changes: DataFrame, name: str, *types: str) -> DataFrame:
 
 
 def columns(changes: DataFrame, *names: str, **computed: Column) -> DataFrame:
-    """Project map keys to columns; keeps the record time and its event time."""
+    """Project changed values to columns; keeps the record time and its event time."""
     return changes.select(
         *[new(n).alias(n) for n in names],
         *[c.alias(n) for n, c in computed.items()],

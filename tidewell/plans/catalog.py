@@ -52,7 +52,7 @@ class Inputs:
 
     @property
     def master(self) -> DataFrame:
-        return self.changes(*tables.MASTER_TABLES)
+        return tables.master_change_log(self.spark, self.folder)
 
     @property
     def dic(self) -> DataFrame:

@@ -12,7 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell import schemas as s
-from tidewell.functions.changes import added_quantity, amount, changed, changed_to, has_added, new
+from tidewell.functions.changes import (
+    added_quantity,
+    amount,
+    changed,
+    changed_to,
+    has_added,
+    new,
+    previous,
+)
 from tidewell.functions.time import from_seconds, text_date
 from tidewell.operators import changes as ch
 from tidewell.operators.joins import bounded_join, lookup
@@ -41,6 +49,7 @@ def order_details(changes: DataFrame) -> DataFrame:
 
 def order_versions(changes: DataFrame) -> DataFrame:
     orders = ch.table(changes, "order_info", "insert", "update")
+    before = F.struct(*[previous(c).alias(c) for c in s.SOURCE_COLUMNS["order_info"]])
     return orders.select(
         new("id").alias("oi_id"),
         new("user_id").alias("user_id"),
@@ -48,7 +57,7 @@ def order_versions(changes: DataFrame) -> DataFrame:
         new("operate_time").alias("operate_time"),
         new("order_status").alias("order_status"),
         "type",
-        "old",
+        F.when(F.col("old").isNotNull(), before).alias("old"),
         F.col("ts").alias("oi_ts"),
         from_seconds("ts").alias("event_time"),
     )

@@ -66,16 +66,61 @@ PAGE_VIEW = T.StructType(
 # --------------------------------------------------------------------------
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 
-CHANGE = T.StructType(
-    [
-        T.StructField("database", T.StringType()),
-        T.StructField("table", T.StringType()),
-        T.StructField("type", T.StringType()),
-        T.StructField("data", TEXT_MAP),
-        T.StructField("old", TEXT_MAP),
-        T.StructField("ts", T.StringType()),  # epoch seconds
-    ]
-)
+# Columns the detail tables take from each source table.
+SOURCE_COLUMNS = {
+    "cart_info": ["id", "user_id", "sku_id", "source_id", "source_type", "sku_num"],
+    "order_detail": [
+        "id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type",
+        "sku_num", "order_price", "split_total_amount", "split_activity_amount",
+        "split_coupon_amount",
+    ],
+    "order_info": ["id", "user_id", "province_id", "operate_time", "order_status"],
+    "order_detail_activity": ["order_detail_id", "activity_id", "activity_rule_id"],
+    "order_detail_coupon": ["order_detail_id", "coupon_id"],
+    "payment_info": ["user_id", "order_id", "payment_type", "callback_time", "payment_status"],
+    "order_refund_info": [
+        "id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
+        "refund_reason_type", "refund_reason_txt", "create_time", "refund_status",
+    ],
+    "refund_payment": [
+        "id", "order_id", "sku_id", "payment_type", "callback_time", "total_amount",
+        "refund_status",
+    ],
+    "coupon_use": [
+        "id", "coupon_id", "user_id", "order_id", "get_time", "using_time", "used_time",
+        "coupon_status",
+    ],
+    "favor_info": ["id", "user_id", "sku_id", "create_time"],
+    "comment_info": ["id", "user_id", "sku_id", "order_id", "create_time", "appraise"],
+    "user_info": ["id", "create_time"],
+}
+
+
+def source_columns(*tables: str) -> list[str]:
+    """Columns of some source tables (all without names), each once."""
+    picked = [c for t in tables or SOURCE_COLUMNS for c in SOURCE_COLUMNS[t]]
+    return list(dict.fromkeys(picked))
+
+
+def _change(record: T.DataType) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("database", T.StringType()),
+            T.StructField("table", T.StringType()),
+            T.StructField("type", T.StringType()),
+            T.StructField("data", record),
+            T.StructField("old", record),
+            T.StructField("ts", T.StringType()),  # epoch seconds
+        ]
+    )
+
+
+# Any table: columns as a map.  For dimensions, whose columns are configured.
+CHANGE = _change(TEXT_MAP)
+
+# Known tables: columns as a struct, so that a query reads only the columns it
+# names.  `data['id']` reads the same in both; in `old` an unchanged column is null.
+TYPED_CHANGE = _change(_strings(*source_columns()))
 
 DICTIONARY = T.StructType(
     [
@@ -164,11 +209,14 @@ COMMENT = [
 ]
 USER_REGISTER = ["user_id", "date_id", "create_time", "ts"]
 
-_NOT_TEXT = {"row_op_ts": T.TimestampType(), "old": TEXT_MAP}
+_NOT_TEXT = {
+    "row_op_ts": T.TimestampType(),
+    "old": _strings(*SOURCE_COLUMNS["order_info"]),
+}
 
 
 def detail_schema(columns: list[str]) -> T.StructType:
-    """Stored type of a detail table: text, but for the stamp and the `old` map."""
+    """Stored type of a detail table: text, but for the stamp and the `old` values."""
     return T.StructType([T.StructField(c, _NOT_TEXT.get(c, T.StringType())) for c in columns])
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell import schemas as s
 from tidewell.sources import literal
@@ -219,15 +220,14 @@ def _text_map(**values: Column) -> Column:
 
 def _change(
     rows: DataFrame, name: str, kind: str | Column, at: Column, seq: Column,
-    data: dict[str, Column] | None, old: Column | None = None,
+    data: Column, old: Column,
 ) -> DataFrame:
-    no_map = F.lit(None).cast("map<string,string>")
     return rows.select(
         F.lit("shop").alias("database"),
         F.lit(name).alias("table"),
         (F.lit(kind) if isinstance(kind, str) else kind).alias("type"),
-        (_text_map(**data) if data else no_map).alias("data"),
-        (no_map if old is None else old).alias("old"),
+        data.alias("data"),
+        old.alias("old"),
         at.cast("bigint").cast("string").alias("ts"),
         seq.cast("bigint").alias("seq"),
     )
@@ -238,33 +238,40 @@ def _clock(at: Column) -> Column:
 
 
 def change_log(spark: SparkSession, folder: str, *names: str) -> DataFrame:
-    """Change records of the named source tables (all without names), as one log.
+    """Typed change records of the named source tables (all without names), as one log.
 
     Selecting one table by name leaves only its branches in the plan, as the
     partitions of a stored log would.
     """
-    wanted = names or (*SHOP_TABLES, *MASTER_TABLES)
-    branches = []
-    if set(wanted) & set(SHOP_TABLES):
-        branches += _shop_changes(spark, folder, set(wanted))
-    if set(wanted) & set(MASTER_TABLES):
-        branches += _master_changes(spark, folder, set(wanted))
+    wanted = names or tuple(s.SOURCE_COLUMNS)
+    return _union(_shop_changes(spark, folder, wanted))
+
+
+def _union(branches: list[DataFrame]) -> DataFrame:
     log = branches[0]
     for branch in branches[1:]:
         log = log.unionAll(branch)
     return log
 
 
-SHOP_TABLES = [
-    "order_info", "order_detail", "order_detail_activity", "order_detail_coupon", "payment_info",
-    "order_refund_info", "refund_payment", "cart_info", "favor_info", "comment_info", "user_info",
-    "coupon_use",
-]
-MASTER_TABLES = ["region", "nation", "part", "supplier"]
+def _shop_changes(spark: SparkSession, folder: str, wanted: tuple[str, ...]) -> list[DataFrame]:
+    """Orders, carts, coupons and user activity."""
+    columns = s.source_columns(*wanted)
 
+    def record(values: dict[str, Column]) -> Column:
+        none = F.lit(None)
+        return F.struct(*[values.get(n, none).cast("string").alias(n) for n in columns])
+
+    no_record = F.lit(None).cast(T.StructType([T.StructField(n, T.StringType()) for n in columns]))
+
+    def change(rows, name, kind, at, seq, data, old=None) -> DataFrame | None:
+        if name not in wanted:
+            return None
+        before = no_record if old is None else old
+        if isinstance(before, dict):
+            before = record(before)
+        return _change(rows, name, kind, at, seq, record(data), before)
 
-def _shop_changes(spark: SparkSession, folder: str, wanted: set[str]) -> list[DataFrame]:
-    """Orders, carts, coupons and user activity."""
     c = F.col
     orders = table(spark, folder, "orders").withColumn("at", c("o_orderdate").cast("timestamp"))
     lines = table(spark, folder, "lineitem").withColumn("at", c("l_shipdate").cast("timestamp"))
@@ -277,7 +284,6 @@ def _shop_changes(spark: SparkSession, folder: str, wanted: set[str]) -> list[Da
         .when(c("o_orderstatus") == "O", s.ORDER_REFUNDING)
         .otherwise(s.ORDER_PAID)
     )
-    no_text = F.lit(None).cast("string")
     order = {"id": c("o_orderkey"), "user_id": c("o_custkey"), "province_id": c("o_custkey") % 25}
     minute = F.expr("interval 1 minute")
     called_back = c("at") + minute * (c("o_custkey") % 30).cast("int")
@@ -301,15 +307,12 @@ def _shop_changes(spark: SparkSession, folder: str, wanted: set[str]) -> list[Da
     got = c("at") - F.expr("interval 1 day")
     inserted_cart = c("event_id") % 3 == 0
 
-    def change(rows: DataFrame, name: str, *parts) -> DataFrame | None:
-        return _change(rows, name, *parts) if name in wanted else None
-
     branches = [
         change(orders, "order_info", "insert", epoch("at"), c("o_orderkey") * 2,
-               {**order, "order_status": F.lit(s.ORDER_UNPAID), "operate_time": no_text}),
+               {**order, "order_status": F.lit(s.ORDER_UNPAID)}),
         change(orders, "order_info", "update", epoch(operated), c("o_orderkey") * 2 + 1,
                {**order, "order_status": status, "operate_time": _clock(operated)},
-               _text_map(order_status=F.lit(s.ORDER_UNPAID), operate_time=no_text)),
+               {"order_status": F.lit(s.ORDER_UNPAID)}),
         change(lines, "order_detail", "insert", epoch("at"), line_seq,
                {"id": line_id, "order_id": c("l_orderkey"), "sku_id": c("l_partkey"),
                 "sku_name": F.concat(F.lit("sku-"), c("l_partkey")),
@@ -344,7 +347,7 @@ def _shop_changes(spark: SparkSession, folder: str, wanted: set[str]) -> list[Da
                F.when(inserted_cart, "insert").otherwise("update"), event_at, c("event_id"),
                {**event, "sku_id": k, "source_id": k, "source_type": code("240", k % 5 + 1),
                 "sku_num": F.when(inserted_cart, k % 9 + 1).otherwise(k % 7)},
-               F.when(~inserted_cart, _text_map(sku_num=k % 5))),
+               {"sku_num": F.when(~inserted_cart, k % 5)}),
         change(events.where("event_type = 'click'"), "favor_info", "insert", event_at,
                c("event_id"), {**event, "sku_id": k, "create_time": event_time}),
         change(events.where("event_type = 'error'"), "comment_info", "insert", event_at,
@@ -359,43 +362,39 @@ def _shop_changes(spark: SparkSession, folder: str, wanted: set[str]) -> list[Da
                {**coupon, "order_id": c("o_orderkey"), "get_time": _clock(got),
                 "using_time": _clock(c("at")), "used_time": F.when(paid, _clock(called_back)),
                 "coupon_status": F.lit(s.COUPON_USING)},
-               _text_map(coupon_status=F.lit(s.COUPON_UNUSED), using_time=no_text)),
+               {"coupon_status": F.lit(s.COUPON_UNUSED)}),
     ]
     return [b for b in branches if b is not None]
 
 
-def _master_changes(spark: SparkSession, folder: str, wanted: set[str]) -> list[DataFrame]:
-    """Master data: bootstrap rows framed by control rows, part updates, deletes."""
+def master_change_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Untyped change records of the master data: bootstrap rows framed by control
+    rows, part updates, deletes."""
     c = F.col
     region, nation = table(spark, folder, "region"), table(spark, folder, "nation")
     part, supplier = table(spark, folder, "part"), table(spark, folder, "supplier")
+    no_map = F.lit(None).cast(s.TEXT_MAP)
 
-    def at(n: int) -> Column:
-        return F.lit(n)
+    def change(rows, name, kind, at, seq, data, old=no_map) -> DataFrame:
+        return _change(rows, name, kind, F.lit(at), seq, _text_map(**data) if data else no_map, old)
 
-    def all_columns(rows: DataFrame) -> dict[str, Column]:
+    def columns(rows: DataFrame) -> dict[str, Column]:
         return {name: c(name) for name in rows.columns}
 
-    def change(rows: DataFrame, name: str, *parts) -> DataFrame | None:
-        return _change(rows, name, *parts) if name in wanted else None
-
-    renamed = {
-        "p_partkey": c("p_partkey"), "p_name": c("p_name"),
-        "p_brand": F.concat("p_brand", F.lit(" II")), "p_size": c("p_size"),
-    }
-    branches = [
-        change(region, "region", "bootstrap-start", at(0), F.lit(-1), None),
-        change(region, "region", "bootstrap-insert", at(1), c("r_regionkey"), all_columns(region)),
-        change(region, "region", "bootstrap-complete", at(2), F.lit(-1), None),
-        change(nation, "nation", "insert", at(1), c("n_nationkey"), all_columns(nation)),
-        change(nation.where("n_regionkey = 2"), "nation", "delete", at(3), c("n_nationkey"),
-               all_columns(nation)),
-        change(part, "part", "insert", at(1), c("p_partkey"),
-               {"p_partkey": c("p_partkey"), "p_name": c("p_name"), "p_brand": c("p_brand"),
-                "p_size": c("p_size")}),
-        change(part.where("p_size > 25"), "part", "update", at(2), c("p_partkey"), renamed,
-               _text_map(p_brand=c("p_brand"))),
-        change(supplier, "supplier", "insert", at(1), c("s_suppkey"),
-               {"s_suppkey": c("s_suppkey"), "s_name": c("s_name")}),
-    ]
-    return [b for b in branches if b is not None]
+    sku = {n: c(n) for n in ("p_partkey", "p_name", "p_brand", "p_size")}
+    renamed = {**sku, "p_brand": F.concat("p_brand", F.lit(" II"))}
+    return _union(
+        [
+            change(region, "region", "bootstrap-start", 0, F.lit(-1), None),
+            change(region, "region", "bootstrap-insert", 1, c("r_regionkey"), columns(region)),
+            change(region, "region", "bootstrap-complete", 2, F.lit(-1), None),
+            change(nation, "nation", "insert", 1, c("n_nationkey"), columns(nation)),
+            change(nation.where("n_regionkey = 2"), "nation", "delete", 3, c("n_nationkey"),
+                   columns(nation)),
+            change(part, "part", "insert", 1, c("p_partkey"), sku),
+            change(part.where("p_size > 25"), "part", "update", 2, c("p_partkey"), renamed,
+                   _text_map(p_brand=c("p_brand"))),
+            change(supplier, "supplier", "insert", 1, c("s_suppkey"),
+                   {"s_suppkey": c("s_suppkey"), "s_name": c("s_name")}),
+        ]
+    )

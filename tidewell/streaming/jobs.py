@@ -99,10 +99,10 @@ class Warehouse:
         return streams.page_views(page)
 
     def changes(self, *tables: str) -> DataFrame:
-        """Changes of some source tables; other partitions are not read."""
-        schema = T.StructType([*s.CHANGE.fields, T.StructField("seq", T.LongType())])
+        """Changes of some source tables; other partitions and columns are not read."""
+        schema = T.StructType([*s.TYPED_CHANGE.fields, T.StructField("seq", T.LongType())])
         rows = streams.table(self.spark, self.folder("changes"), schema, True)
-        return rows.where(F.col("table").isin(*tables)) if tables else rows
+        return rows.where(F.col("table").isin(*tables))
 
     def rows(self, name: str, schema: T.StructType, stream: bool = True) -> DataFrame:
         return streams.table(self.spark, self.folder(name), schema, stream)
@@ -169,8 +169,10 @@ def user_jump(w: Warehouse) -> StreamingQuery:
 # Changes and details
 # --------------------------------------------------------------------------
 def changes(w: Warehouse) -> StreamingQuery:
-    """Land the change log as rows partitioned by source table."""
-    return w.append("changes", ch.parse(w.messages("topic_db")), ["table"])
+    """Land the changes of the known tables as typed rows partitioned by table."""
+    rows = ch.parse(w.messages("topic_db"), s.TYPED_CHANGE)
+    known = rows.where(F.col("table").isin(*s.SOURCE_COLUMNS))
+    return w.append("changes", known, ["table"])
 
 
 def cart_add(w: Warehouse) -> StreamingQuery:
@@ -257,7 +259,7 @@ def dimensions(w: Warehouse) -> StreamingQuery:
         target.write(newest, batch_id)
 
     return (
-        w.changes()
+        ch.parse(w.messages("topic_db"))
         .writeStream.foreachBatch(sync)
         .option("checkpointLocation", target.checkpoint)
         .trigger(**w.trigger)
