@@ -104,7 +104,7 @@ def messages(spark):
 
 @pytest.fixture(scope="module")
 def batch(messages):
-    return ch.parse(messages, s.TYPED_CHANGE)
+    return ch.feed(ch.parse(messages, s.TYPED_CHANGE))
 
 
 @pytest.fixture(scope="module")

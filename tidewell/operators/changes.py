@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,13 +27,22 @@ def data_rows(changes: DataFrame) -> DataFrame:
     )
 
 
-def table(changes: DataFrame, name: str, *types: str) -> DataFrame:
-    """Changes of one source table, optionally of some change types only.
+# Gives the changes of one source table, by its name.
+Feed = Callable[[str], DataFrame]
+
+
+def feed(changes: DataFrame) -> Feed:
+    """One change log as a feed.
 
     Comparing `table` with a literal prunes the partitions of a change log
     stored by table.
     """
-    rows = changes.where(F.col("table") == name)
+    return lambda name: changes.where(F.col("table") == name)
+
+
+def table(changes: Feed, name: str, *types: str) -> DataFrame:
+    """Changes of one source table, optionally of some change types only."""
+    rows = changes(name)
     return rows.where(F.col("type").isin(*types)) if types else rows
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidewell import schemas as s
 from tidewell.functions.text import keywords
 from tidewell.functions.time import day_of_millis
+from tidewell.operators.changes import Feed
 from tidewell.operators import dims, joins, logs, merge, state
 from tidewell.operators.windows import as_text
 from tidewell.plans import dim, summary, tool, trade, traffic
@@ -23,7 +24,6 @@ from tidewell.sources import tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 SIZES = {"10s": "10 seconds", "1d": "1 day"}
-ORDER_TABLES = ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"]
 LIMITS = {"10s": 10_000, "1h": 3_600_000, "6h": 21_600_000}
 
 
@@ -47,8 +47,9 @@ class Inputs:
     def messages(self) -> DataFrame:
         return tables.log_messages(self.spark, self.folder)
 
-    def changes(self, *names: str) -> DataFrame:
-        return tables.change_log(self.spark, self.folder, *names)
+    @property
+    def changes(self) -> Feed:
+        return tables.change_feed(self.spark, self.folder)
 
     @property
     def master(self) -> DataFrame:
@@ -64,7 +65,7 @@ class Inputs:
 
     @property
     def wide(self) -> DataFrame:
-        return trade.order_wide(self.changes(*ORDER_TABLES), self.dic)
+        return trade.order_wide(self.changes, self.dic)
 
     @property
     def placed(self) -> DataFrame:
@@ -72,11 +73,11 @@ class Inputs:
 
     @property
     def payments(self) -> DataFrame:
-        return trade.payment_detail(self.placed, self.changes("payment_info"), self.dic)
+        return trade.payment_detail(self.placed, self.changes, self.dic)
 
     @property
     def cart_adds(self) -> DataFrame:
-        return trade.cart_add(self.changes("cart_info"), self.dic)
+        return trade.cart_add(self.changes, self.dic)
 
 
 def _query(body: Callable[[Inputs], DataFrame]) -> Query:
@@ -117,10 +118,10 @@ def _event_days(i: Inputs) -> DataFrame:
 
 def _paid_near_update(i: Inputs, bound: str) -> DataFrame:
     """Payments and order updates that the join state still holds together."""
-    updates = trade.order_versions(i.changes("order_info")).where("type = 'update'").select(
+    updates = trade.order_versions(i.changes).where("type = 'update'").select(
         "oi_id", "order_status", F.col("event_time").alias("oi_time")
     )
-    paid = trade.payments(i.changes("payment_info")).select("pay_order", "callback_time", "pay_time")
+    paid = trade.payments(i.changes).select("pay_order", "callback_time", "pay_time")
     met = joins.bounded_join(
         paid, updates, F.col("pay_order") == F.col("oi_id"), ("pay_time", "oi_time"), bound
     )
@@ -205,20 +206,18 @@ def queries() -> dict[str, Query]:
         "payment_order_within_905s": lambda i: _paid_near_update(i, "905 seconds"),
         "payment_order_within_5s": lambda i: _paid_near_update(i, "5 seconds"),
         "order_refund_detail": lambda i: _settled(
-            trade.order_refund(i.changes("order_info", "order_refund_info"), i.dic)
+            trade.order_refund(i.changes, i.dic)
         ),
         "refund_payment_detail": lambda i: _settled(
-            trade.refund_payment(
-                i.changes("order_info", "order_refund_info", "refund_payment"), i.dic
-            )
+            trade.refund_payment(i.changes, i.dic)
         ),
         # Coupons, interaction, users
-        "coupon_get_detail": lambda i: tool.coupon_get(i.changes("coupon_use")),
-        "coupon_order_detail": lambda i: tool.coupon_order(i.changes("coupon_use")),
-        "coupon_pay_detail": lambda i: tool.coupon_pay(i.changes("coupon_use")),
-        "favor_add_detail": lambda i: tool.favor_add(i.changes("favor_info")),
-        "comment_detail": lambda i: tool.comment(i.changes("comment_info"), i.dic),
-        "user_register_detail": lambda i: tool.user_register(i.changes("user_info")),
+        "coupon_get_detail": lambda i: tool.coupon_get(i.changes),
+        "coupon_order_detail": lambda i: tool.coupon_order(i.changes),
+        "coupon_pay_detail": lambda i: tool.coupon_pay(i.changes),
+        "favor_add_detail": lambda i: tool.favor_add(i.changes),
+        "comment_detail": lambda i: tool.comment(i.changes, i.dic),
+        "user_register_detail": lambda i: tool.user_register(i.changes),
         # Words
         "keyword_counts_documents": lambda i: _word_counts(
             tables.table(i.spark, i.folder, "documents")
@@ -246,7 +245,7 @@ def queries() -> dict[str, Query]:
             f"page_window_{name}": lambda i, z=size: as_text(summary.page_window(i.pages, z)),
             f"login_window_{name}": lambda i, z=size: as_text(summary.login_window(i.pages, z)),
             f"register_window_{name}": lambda i, z=size: as_text(
-                summary.register_window(tool.user_register(i.changes("user_info")), z)
+                summary.register_window(tool.user_register(i.changes), z)
             ),
             f"cart_window_{name}": lambda i, z=size: as_text(summary.cart_window(i.cart_adds, z)),
             f"cart_window_every_add_{name}": lambda i, z=size: as_text(

@@ -11,7 +11,7 @@ from tidewell.operators import changes as ch
 from tidewell.operators.joins import lookup
 
 
-def coupon_get(changes: DataFrame) -> DataFrame:
+def coupon_get(changes: ch.Feed) -> DataFrame:
     """Coupons handed out."""
     return ch.columns(
         ch.table(changes, "coupon_use", "insert"),
@@ -19,7 +19,7 @@ def coupon_get(changes: DataFrame) -> DataFrame:
     ).select(*s.COUPON_GET)
 
 
-def coupon_order(changes: DataFrame) -> DataFrame:
+def coupon_order(changes: ch.Feed) -> DataFrame:
     """Coupons put on an order."""
     rows = ch.table(changes, "coupon_use", "update").where(
         changed_from_to("coupon_status", s.COUPON_UNUSED, s.COUPON_USING)
@@ -30,7 +30,7 @@ def coupon_order(changes: DataFrame) -> DataFrame:
     ).select(*s.COUPON_ORDER)
 
 
-def coupon_pay(changes: DataFrame) -> DataFrame:
+def coupon_pay(changes: ch.Feed) -> DataFrame:
     """Coupons redeemed by a payment."""
     rows = ch.table(changes, "coupon_use", "update").where(new("used_time").isNotNull())
     return ch.columns(
@@ -39,14 +39,14 @@ def coupon_pay(changes: DataFrame) -> DataFrame:
     ).select(*s.COUPON_PAY)
 
 
-def favor_add(changes: DataFrame) -> DataFrame:
+def favor_add(changes: ch.Feed) -> DataFrame:
     return ch.columns(
         ch.table(changes, "favor_info", "insert"),
         "id", "user_id", "sku_id", "create_time", date_id=text_date(new("create_time")),
     ).select(*s.FAVOR_ADD)
 
 
-def comment(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
+def comment(changes: ch.Feed, dictionary: DataFrame) -> DataFrame:
     """Comments with the name of their grade."""
     rows = ch.columns(
         ch.table(changes, "comment_info", "insert"),
@@ -56,7 +56,7 @@ def comment(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     return lookup(rows, dictionary, "appraise_code", "appraise_name").select(*s.COMMENT)
 
 
-def user_register(changes: DataFrame) -> DataFrame:
+def user_register(changes: ch.Feed) -> DataFrame:
     return ch.columns(
         ch.table(changes, "user_info", "insert"),
         "create_time", user_id=new("id"), date_id=text_date(new("create_time")),

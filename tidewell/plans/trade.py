@@ -1,6 +1,6 @@
 """Trade detail: carts, orders, cancellations, payments, refunds.
 
-Each function takes the change log and the dictionary (and upstream details),
+Each function takes a feed of changes and the dictionary (and upstream details),
 and returns the rows of one detail table in its declared column order.
 `bound` limits how far apart two joined records may lie in event time; streams
 need it to forget old rows, batch runs leave it out.
@@ -27,7 +27,7 @@ from tidewell.operators.joins import bounded_join, lookup
 
 
 
-def cart_add(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
+def cart_add(changes: ch.Feed, dictionary: DataFrame) -> DataFrame:
     """Quantity added to carts: new lines and raised quantities."""
     carts = ch.columns(
         ch.table(changes, "cart_info").where(has_added("sku_num")),
@@ -38,7 +38,7 @@ def cart_add(changes: DataFrame, dictionary: DataFrame) -> DataFrame:
     return lookup(carts, dictionary, "source_type_code", "source_type_name").select(*s.CART_ADD)
 
 
-def order_details(changes: DataFrame) -> DataFrame:
+def order_details(changes: ch.Feed) -> DataFrame:
     return ch.columns(
         ch.table(changes, "order_detail", "insert"),
         "id", "order_id", "sku_id", "sku_name", "create_time", "source_id", "source_type",
@@ -47,7 +47,7 @@ def order_details(changes: DataFrame) -> DataFrame:
     ).withColumnRenamed("ts", "od_ts")
 
 
-def order_versions(changes: DataFrame) -> DataFrame:
+def order_versions(changes: ch.Feed) -> DataFrame:
     orders = ch.table(changes, "order_info", "insert", "update")
     before = F.struct(*[previous(c).alias(c) for c in s.SOURCE_COLUMNS["order_info"]])
     return orders.select(
@@ -64,7 +64,7 @@ def order_versions(changes: DataFrame) -> DataFrame:
 
 
 def order_wide(
-    changes: DataFrame,
+    changes: ch.Feed,
     dictionary: DataFrame,
     bound: str | None = None,
     delay: str | None = None,
@@ -140,7 +140,7 @@ def order_cancelled(wide: DataFrame) -> DataFrame:
     )
 
 
-def payments(changes: DataFrame, require_success: bool = False) -> DataFrame:
+def payments(changes: ch.Feed, require_success: bool = False) -> DataFrame:
     """Payment records; `require_success` keeps successful updates only."""
     rows = ch.table(changes, "payment_info")
     if require_success:
@@ -154,7 +154,7 @@ def payments(changes: DataFrame, require_success: bool = False) -> DataFrame:
 
 def payment_detail(
     placed: DataFrame,
-    changes: DataFrame,
+    changes: ch.Feed,
     dictionary: DataFrame,
     require_success: bool = False,
     bound: str | None = None,
@@ -177,7 +177,7 @@ def payment_detail(
 
 
 def order_refund(
-    changes: DataFrame,
+    changes: ch.Feed,
     dictionary: DataFrame,
     bound: str | None = None,
     delay: str | None = None,
@@ -212,7 +212,7 @@ def order_refund(
 
 
 def refund_payment(
-    changes: DataFrame,
+    changes: ch.Feed,
     dictionary: DataFrame,
     strict: bool = False,
     bound: str | None = None,

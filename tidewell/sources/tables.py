@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewell import schemas as s
+from tidewell.operators.changes import Feed
 from tidewell.sources import literal
 
 # Dictionary of the business database
@@ -213,38 +213,149 @@ def _is_start() -> Column:
 # --------------------------------------------------------------------------
 # Database changes
 # --------------------------------------------------------------------------
-def _text_map(**values: Column) -> Column:
-    pairs = [x for name, value in values.items() for x in (F.lit(name), value.cast("string"))]
-    return F.create_map(*pairs)
-
-
-def _change(
-    rows: DataFrame, name: str, kind: str | Column, at: Column, seq: Column,
-    data: Column, old: Column,
-) -> DataFrame:
-    return rows.select(
-        F.lit("shop").alias("database"),
-        F.lit(name).alias("table"),
-        (F.lit(kind) if isinstance(kind, str) else kind).alias("type"),
-        data.alias("data"),
-        old.alias("old"),
-        at.cast("bigint").cast("string").alias("ts"),
-        seq.cast("bigint").alias("seq"),
-    )
+def _clock(time: str) -> str:
+    return f"date_format({time}, 'yyyy-MM-dd HH:mm:ss')"
+
+
+# Columns computed once per input row.
+_PREPARED = {
+    "orders": [
+        "o_orderkey as k", "o_custkey as u", "o_orderstatus as flag",
+        "cast(o_orderdate as timestamp) as at",
+        "cast(o_orderdate as timestamp) + interval 10 minutes as operated",
+        "cast(o_orderdate as timestamp) + interval 1 minute * cast(o_custkey % 30 as int) as called",
+        "cast(o_orderdate as timestamp) - interval 1 day as got",
+    ],
+    "lineitem": [
+        "*", "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as line",
+        "cast(l_shipdate as timestamp) as at", "cast(l_extendedprice as decimal(16,2)) as price",
+        "cast(l_discount as decimal(4,2)) as share",
+    ],
+    "events": [
+        "event_id", "user_id as u", "event_type", "cast(ts as timestamp) as at",
+        "cast(regexp_extract(props, '[0-9]+', 0) as int) as k", "event_id % 3 = 0 as fresh",
+    ],
+}
 
+_ORDER = {"id": "k", "user_id": "u", "province_id": "u % 25"}
+_COUPON = {"id": "k", "coupon_id": "u % 10", "user_id": "u", "get_time": _clock("got")}
+_EVENT = {"id": "event_id", "user_id": "u"}
+
+# Source table: (input table, filter, change type, time, seq, new values, old values).
+_SHOP_CHANGES = {
+    "order_info": [
+        ("orders", "true", "'insert'", "at", "k * 2", {**_ORDER, "order_status": "'1001'"}, None),
+        ("orders", "true", "'update'", "operated", "k * 2 + 1",
+         {**_ORDER, "operate_time": _clock("operated"),
+          "order_status": "case flag when 'F' then '1003' when 'O' then '1005' else '1002' end"},
+         {"order_status": "'1001'"}),
+    ],
+    "order_detail": [
+        ("lineitem", "true", "'insert'", "at", "l_orderkey",
+         {"id": "line", "order_id": "l_orderkey", "sku_id": "l_partkey",
+          "sku_name": "concat('sku-', l_partkey)", "create_time": _clock("at"),
+          "source_id": "l_suppkey", "source_type": "concat('240', l_suppkey % 5 + 1)",
+          "sku_num": "cast(l_quantity as int)", "order_price": "price",
+          "split_total_amount": "price * (cast(1 as decimal(4,2)) - share)",
+          "split_activity_amount": "case when l_returnflag = 'R' then price * share end",
+          "split_coupon_amount": "case when l_discount >= 0.08 then price * share end"}, None),
+    ],
+    "order_detail_activity": [
+        ("lineitem", "l_returnflag = 'R'", "'insert'", "at", "l_orderkey",
+         {"order_detail_id": "line", "activity_id": "l_suppkey % 7",
+          "activity_rule_id": "l_partkey % 11"}, None),
+    ],
+    "order_detail_coupon": [
+        ("lineitem", "l_discount >= 0.08", "'insert'", "at", "l_orderkey",
+         {"order_detail_id": "line", "coupon_id": "l_partkey % 13"}, None),
+    ],
+    "payment_info": [
+        ("orders", "flag = 'P'", "'insert'", "called", "k",
+         {"user_id": "u", "order_id": "k", "payment_type": "concat('110', u % 4 + 1)",
+          "payment_status": "'1601'", "callback_time": _clock("called")}, None),
+    ],
+    "order_refund_info": [
+        ("lineitem", "l_returnflag = 'R'", "'insert'", "at", "l_orderkey",
+         {"id": "line", "user_id": "l_suppkey", "order_id": "l_orderkey", "sku_id": "l_partkey",
+          "refund_type": "concat('150', l_linenumber % 3 + 1)",
+          "refund_num": "cast(l_quantity as int)", "refund_amount": "price",
+          "refund_reason_type": "concat('130', l_suppkey % 8 + 1)",
+          "refund_reason_txt": "concat('line ', l_linenumber)", "create_time": _clock("at")}, None),
+    ],
+    "refund_payment": [
+        ("lineitem", "l_returnflag = 'R'", "'insert'", "at", "l_orderkey",
+         {"id": "line", "order_id": "l_orderkey", "sku_id": "l_partkey",
+          "payment_type": "concat('110', l_suppkey % 4 + 1)", "callback_time": _clock("at"),
+          "total_amount": "price",
+          "refund_status": "case when l_linestatus = 'F' then '0702' else '0701' end"}, None),
+    ],
+    "cart_info": [
+        ("events", "event_type = 'purchase'", "if(fresh, 'insert', 'update')", "at", "event_id",
+         {**_EVENT, "sku_id": "k", "source_id": "k", "source_type": "concat('240', k % 5 + 1)",
+          "sku_num": "if(fresh, k % 9 + 1, k % 7)"},
+         {"sku_num": "if(fresh, null, k % 5)"}),
+    ],
+    "favor_info": [
+        ("events", "event_type = 'click'", "'insert'", "at", "event_id",
+         {**_EVENT, "sku_id": "k", "create_time": _clock("at")}, None),
+    ],
+    "comment_info": [
+        ("events", "event_type = 'error'", "'insert'", "at", "event_id",
+         {**_EVENT, "sku_id": "k", "order_id": "event_id", "create_time": _clock("at"),
+          "appraise": "concat('120', k % 5 + 1)"}, None),
+    ],
+    "user_info": [
+        ("events", "event_type = 'signup'", "'insert'", "at", "event_id",
+         {"id": "u", "create_time": _clock("at")}, None),
+    ],
+    "coupon_use": [
+        ("orders", "true", "'insert'", "got", "k * 2", {**_COUPON, "coupon_status": "'1401'"}, None),
+        ("orders", "flag in ('P', 'O')", "'update'", "at", "k * 2 + 1",
+         {**_COUPON, "order_id": "k", "using_time": _clock("at"),
+          "used_time": f"case when flag = 'P' then {_clock('called')} end",
+          "coupon_status": "'1402'"},
+         {"coupon_status": "'1401'"}),
+    ],
+}
 
-def _clock(at: Column) -> Column:
-    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+# Master data, as untyped changes: bootstrap rows framed by control rows, part
+# updates, deletes.  Times are small numbers: they only order the versions.
+_SKU = {"p_partkey": "p_partkey", "p_name": "p_name", "p_brand": "p_brand", "p_size": "p_size"}
+_REGION = {"r_regionkey": "r_regionkey", "r_name": "r_name"}
+_NATION = {"n_nationkey": "n_nationkey", "n_name": "n_name", "n_regionkey": "n_regionkey"}
+_MASTER_CHANGES = [
+    ("region", "true", "'bootstrap-start'", 0, "-1", None, None),
+    ("region", "true", "'bootstrap-insert'", 1, "r_regionkey", _REGION, None),
+    ("region", "true", "'bootstrap-complete'", 2, "-1", None, None),
+    ("nation", "true", "'insert'", 1, "n_nationkey", _NATION, None),
+    ("nation", "n_regionkey = 2", "'delete'", 3, "n_nationkey", _NATION, None),
+    ("part", "true", "'insert'", 1, "p_partkey", _SKU, None),
+    ("part", "p_size > 25", "'update'", 2, "p_partkey",
+     {**_SKU, "p_brand": "concat(p_brand, ' II')"}, {"p_brand": "p_brand"}),
+    ("supplier", "true", "'insert'", 1, "s_suppkey",
+     {"s_suppkey": "s_suppkey", "s_name": "s_name"}, None),
+]
 
 
-def change_log(spark: SparkSession, folder: str, *names: str) -> DataFrame:
-    """Typed change records of the named source tables (all without names), as one log.
+def _struct(columns: list[str], values: dict[str, str] | None) -> str:
+    if values is None:
+        return f"cast(null as struct<{', '.join(f'{c}: string' for c in columns)}>)"
+    fields = [f"'{c}', cast({values.get(c, 'null')} as string)" for c in columns]
+    return f"named_struct({', '.join(fields)})"
 
-    Selecting one table by name leaves only its branches in the plan, as the
-    partitions of a stored log would.
-    """
-    wanted = names or tuple(s.SOURCE_COLUMNS)
-    return _union(_shop_changes(spark, folder, wanted))
+
+def _map(values: dict[str, str] | None) -> str:
+    if values is None:
+        return "cast(null as map<string, string>)"
+    return f"map({', '.join(f'{k!r}, cast({v} as string)' for k, v in values.items())})"
+
+
+def _changes(rows: DataFrame, name: str, kind: str, ts: str, seq: str, data: str, old: str):
+    return rows.selectExpr(
+        "'shop' as database", f"'{name}' as table", f"{kind} as type", f"{data} as data",
+        f"{old} as old", f"cast(cast({ts} as bigint) as string) as ts",
+        f"cast({seq} as bigint) as seq",
+    )
 
 
 def _union(branches: list[DataFrame]) -> DataFrame:
@@ -254,147 +365,31 @@ def _union(branches: list[DataFrame]) -> DataFrame:
     return log
 
 
-def _shop_changes(spark: SparkSession, folder: str, wanted: tuple[str, ...]) -> list[DataFrame]:
-    """Orders, carts, coupons and user activity."""
-    columns = s.source_columns(*wanted)
+def change_feed(spark: SparkSession, folder: str) -> Feed:
+    """Typed changes of one source table at a time."""
 
-    def record(values: dict[str, Column]) -> Column:
-        none = F.lit(None)
-        return F.struct(*[values.get(n, none).cast("string").alias(n) for n in columns])
+    def feed(name: str) -> DataFrame:
+        columns = s.SOURCE_COLUMNS[name]
+        branches = []
+        for source, where, kind, time, seq, data, old in _SHOP_CHANGES[name]:
+            rows = table(spark, folder, source).selectExpr(*_PREPARED[source]).where(where)
+            values, before = _struct(columns, data), _struct(columns, old)
+            branches.append(
+                _changes(rows, name, kind, f"unix_seconds({time})", seq, values, before)
+            )
+        return _union(branches)
 
-    no_record = F.lit(None).cast(T.StructType([T.StructField(n, T.StringType()) for n in columns]))
-
-    def change(rows, name, kind, at, seq, data, old=None) -> DataFrame | None:
-        if name not in wanted:
-            return None
-        before = no_record if old is None else old
-        if isinstance(before, dict):
-            before = record(before)
-        return _change(rows, name, kind, at, seq, record(data), before)
-
-    c = F.col
-    orders = table(spark, folder, "orders").withColumn("at", c("o_orderdate").cast("timestamp"))
-    lines = table(spark, folder, "lineitem").withColumn("at", c("l_shipdate").cast("timestamp"))
-    events = _events(spark, folder)
-    epoch = F.unix_seconds
-
-    paid = c("o_orderstatus") == "P"
-    status = (
-        F.when(c("o_orderstatus") == "F", s.ORDER_CANCELLED_CODE)
-        .when(c("o_orderstatus") == "O", s.ORDER_REFUNDING)
-        .otherwise(s.ORDER_PAID)
-    )
-    order = {"id": c("o_orderkey"), "user_id": c("o_custkey"), "province_id": c("o_custkey") % 25}
-    minute = F.expr("interval 1 minute")
-    called_back = c("at") + minute * (c("o_custkey") % 30).cast("int")
-    operated = c("at") + minute * F.lit(10)
-
-    line_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    price = c("l_extendedprice").cast("decimal(16,2)")
-    share = c("l_discount").cast("decimal(4,2)")
-    line_seq = c("l_orderkey")
-    returned = lines.where("l_returnflag = 'R'")
-
-    def code(base: str, number: Column) -> Column:
-        return F.concat(F.lit(base), number.cast("string"))
-
-    k = c("k")
-    event_at, event_time = epoch("ts"), _clock(c("ts"))
-    event = {"id": c("event_id"), "user_id": c("user_id")}
-    coupon = {
-        "id": c("o_orderkey"), "coupon_id": c("o_custkey") % 10, "user_id": c("o_custkey"),
-    }
-    got = c("at") - F.expr("interval 1 day")
-    inserted_cart = c("event_id") % 3 == 0
-
-    branches = [
-        change(orders, "order_info", "insert", epoch("at"), c("o_orderkey") * 2,
-               {**order, "order_status": F.lit(s.ORDER_UNPAID)}),
-        change(orders, "order_info", "update", epoch(operated), c("o_orderkey") * 2 + 1,
-               {**order, "order_status": status, "operate_time": _clock(operated)},
-               {"order_status": F.lit(s.ORDER_UNPAID)}),
-        change(lines, "order_detail", "insert", epoch("at"), line_seq,
-               {"id": line_id, "order_id": c("l_orderkey"), "sku_id": c("l_partkey"),
-                "sku_name": F.concat(F.lit("sku-"), c("l_partkey")),
-                "create_time": _clock(c("at")), "source_id": c("l_suppkey"),
-                "source_type": code("240", c("l_suppkey") % 5 + 1),
-                "sku_num": c("l_quantity").cast("int"), "order_price": price,
-                "split_total_amount": price * (F.lit(1).cast("decimal(4,2)") - share),
-                "split_activity_amount": F.when(c("l_returnflag") == "R", price * share),
-                "split_coupon_amount": F.when(c("l_discount") >= 0.08, price * share)}),
-        change(returned, "order_detail_activity", "insert", epoch("at"), line_seq,
-               {"order_detail_id": line_id, "activity_id": c("l_suppkey") % 7,
-                "activity_rule_id": c("l_partkey") % 11}),
-        change(lines.where("l_discount >= 0.08"), "order_detail_coupon", "insert", epoch("at"),
-               line_seq, {"order_detail_id": line_id, "coupon_id": c("l_partkey") % 13}),
-        change(orders.where(paid), "payment_info", "insert", epoch(called_back), c("o_orderkey"),
-               {"user_id": c("o_custkey"), "order_id": c("o_orderkey"),
-                "payment_type": code("110", c("o_custkey") % 4 + 1),
-                "payment_status": F.lit("1601"), "callback_time": _clock(called_back)}),
-        change(returned, "order_refund_info", "insert", epoch("at"), line_seq,
-               {"id": line_id, "user_id": c("l_suppkey"), "order_id": c("l_orderkey"),
-                "sku_id": c("l_partkey"), "refund_type": code("150", c("l_linenumber") % 3 + 1),
-                "refund_num": c("l_quantity").cast("int"), "refund_amount": price,
-                "refund_reason_type": code("130", c("l_suppkey") % 8 + 1),
-                "refund_reason_txt": F.concat(F.lit("line "), c("l_linenumber")),
-                "create_time": _clock(c("at"))}),
-        change(returned, "refund_payment", "insert", epoch("at"), line_seq,
-               {"id": line_id, "order_id": c("l_orderkey"), "sku_id": c("l_partkey"),
-                "payment_type": code("110", c("l_suppkey") % 4 + 1),
-                "callback_time": _clock(c("at")), "total_amount": price,
-                "refund_status": F.when(c("l_linestatus") == "F", s.REFUND_SUCCESS).otherwise("0701")}),
-        change(events.where("event_type = 'purchase'"), "cart_info",
-               F.when(inserted_cart, "insert").otherwise("update"), event_at, c("event_id"),
-               {**event, "sku_id": k, "source_id": k, "source_type": code("240", k % 5 + 1),
-                "sku_num": F.when(inserted_cart, k % 9 + 1).otherwise(k % 7)},
-               {"sku_num": F.when(~inserted_cart, k % 5)}),
-        change(events.where("event_type = 'click'"), "favor_info", "insert", event_at,
-               c("event_id"), {**event, "sku_id": k, "create_time": event_time}),
-        change(events.where("event_type = 'error'"), "comment_info", "insert", event_at,
-               c("event_id"), {**event, "sku_id": k, "order_id": c("event_id"),
-                               "create_time": event_time, "appraise": code("120", k % 5 + 1)}),
-        change(events.where("event_type = 'signup'"), "user_info", "insert", event_at,
-               c("event_id"), {"id": c("user_id"), "create_time": event_time}),
-        change(orders, "coupon_use", "insert", epoch(got), c("o_orderkey") * 2,
-               {**coupon, "get_time": _clock(got), "coupon_status": F.lit(s.COUPON_UNUSED)}),
-        change(orders.where("o_orderstatus in ('P', 'O')"), "coupon_use", "update", epoch("at"),
-               c("o_orderkey") * 2 + 1,
-               {**coupon, "order_id": c("o_orderkey"), "get_time": _clock(got),
-                "using_time": _clock(c("at")), "used_time": F.when(paid, _clock(called_back)),
-                "coupon_status": F.lit(s.COUPON_USING)},
-               {"coupon_status": F.lit(s.COUPON_UNUSED)}),
-    ]
-    return [b for b in branches if b is not None]
+    return feed
 
 
 def master_change_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Untyped change records of the master data: bootstrap rows framed by control
-    rows, part updates, deletes."""
-    c = F.col
-    region, nation = table(spark, folder, "region"), table(spark, folder, "nation")
-    part, supplier = table(spark, folder, "part"), table(spark, folder, "supplier")
-    no_map = F.lit(None).cast(s.TEXT_MAP)
-
-    def change(rows, name, kind, at, seq, data, old=no_map) -> DataFrame:
-        return _change(rows, name, kind, F.lit(at), seq, _text_map(**data) if data else no_map, old)
-
-    def columns(rows: DataFrame) -> dict[str, Column]:
-        return {name: c(name) for name in rows.columns}
-
-    sku = {n: c(n) for n in ("p_partkey", "p_name", "p_brand", "p_size")}
-    renamed = {**sku, "p_brand": F.concat("p_brand", F.lit(" II"))}
+    """Untyped changes of the master data, as one log."""
     return _union(
         [
-            change(region, "region", "bootstrap-start", 0, F.lit(-1), None),
-            change(region, "region", "bootstrap-insert", 1, c("r_regionkey"), columns(region)),
-            change(region, "region", "bootstrap-complete", 2, F.lit(-1), None),
-            change(nation, "nation", "insert", 1, c("n_nationkey"), columns(nation)),
-            change(nation.where("n_regionkey = 2"), "nation", "delete", 3, c("n_nationkey"),
-                   columns(nation)),
-            change(part, "part", "insert", 1, c("p_partkey"), sku),
-            change(part.where("p_size > 25"), "part", "update", 2, c("p_partkey"), renamed,
-                   _text_map(p_brand=c("p_brand"))),
-            change(supplier, "supplier", "insert", 1, c("s_suppkey"),
-                   {"s_suppkey": c("s_suppkey"), "s_name": c("s_name")}),
+            _changes(
+                table(spark, folder, name).where(where), name, kind, str(ts), seq,
+                _map(data), _map(old),
+            )
+            for name, where, kind, ts, seq, data, old in _MASTER_CHANGES
         ]
     )

@@ -98,11 +98,11 @@ class Warehouse:
         page = streams.topic(self.spark, self.folder("traffic"), logs.PAGE, True)
         return streams.page_views(page)
 
-    def changes(self, *tables: str) -> DataFrame:
-        """Changes of some source tables; other partitions and columns are not read."""
+    def changes(self, table: str) -> DataFrame:
+        """Changes of one source table; other partitions and columns are not read."""
         schema = T.StructType([*s.TYPED_CHANGE.fields, T.StructField("seq", T.LongType())])
         rows = streams.table(self.spark, self.folder("changes"), schema, True)
-        return rows.where(F.col("table").isin(*tables))
+        return rows.where(F.col("table") == table)
 
     def rows(self, name: str, schema: T.StructType, stream: bool = True) -> DataFrame:
         return streams.table(self.spark, self.folder(name), schema, stream)
@@ -176,16 +176,12 @@ def changes(w: Warehouse) -> StreamingQuery:
 
 
 def cart_add(w: Warehouse) -> StreamingQuery:
-    return w.append("cart_add", trade.cart_add(w.changes("cart_info"), w.dictionary()))
+    return w.append("cart_add", trade.cart_add(w.changes, w.dictionary()))
 
 
 def order_wide(w: Warehouse) -> StreamingQuery:
-    feed = w.changes(
-        "order_detail", "order_info", "order_detail_activity", "order_detail_coupon"
-    )
-    return w.append(
-        "order_wide", trade.order_wide(feed, w.dictionary(), w.order_bound, w.delay)
-    )
+    rows = trade.order_wide(w.changes, w.dictionary(), w.order_bound, w.delay)
+    return w.append("order_wide", rows)
 
 
 def order_placed(w: Warehouse) -> StreamingQuery:
@@ -198,49 +194,46 @@ def order_cancelled(w: Warehouse) -> StreamingQuery:
 
 def payment(w: Warehouse) -> StreamingQuery:
     rows = trade.payment_detail(
-        w.detail("order_placed"), w.changes("payment_info"), w.dictionary(),
+        w.detail("order_placed"), w.changes, w.dictionary(),
         bound=w.order_bound, delay=w.delay,
     )
     return w.append("payment", rows)
 
 
 def order_refund(w: Warehouse) -> StreamingQuery:
-    feed = w.changes("order_refund_info", "order_info")
-    return w.append(
-        "order_refund", trade.order_refund(feed, w.dictionary(), w.refund_bound, w.delay)
-    )
+    rows = trade.order_refund(w.changes, w.dictionary(), w.refund_bound, w.delay)
+    return w.append("order_refund", rows)
 
 
 def refund_payment(w: Warehouse) -> StreamingQuery:
-    feed = w.changes("refund_payment", "order_info", "order_refund_info")
     rows = trade.refund_payment(
-        feed, w.dictionary(), bound=w.refund_bound, delay=w.delay
+        w.changes, w.dictionary(), bound=w.refund_bound, delay=w.delay
     )
     return w.append("refund_payment", rows)
 
 
 def coupon_get(w: Warehouse) -> StreamingQuery:
-    return w.append("coupon_get", tool.coupon_get(w.changes("coupon_use")))
+    return w.append("coupon_get", tool.coupon_get(w.changes))
 
 
 def coupon_order(w: Warehouse) -> StreamingQuery:
-    return w.append("coupon_order", tool.coupon_order(w.changes("coupon_use")))
+    return w.append("coupon_order", tool.coupon_order(w.changes))
 
 
 def coupon_pay(w: Warehouse) -> StreamingQuery:
-    return w.append("coupon_pay", tool.coupon_pay(w.changes("coupon_use")))
+    return w.append("coupon_pay", tool.coupon_pay(w.changes))
 
 
 def favor_add(w: Warehouse) -> StreamingQuery:
-    return w.append("favor_add", tool.favor_add(w.changes("favor_info")))
+    return w.append("favor_add", tool.favor_add(w.changes))
 
 
 def comment(w: Warehouse) -> StreamingQuery:
-    return w.append("comment", tool.comment(w.changes("comment_info"), w.dictionary()))
+    return w.append("comment", tool.comment(w.changes, w.dictionary()))
 
 
 def user_register(w: Warehouse) -> StreamingQuery:
-    return w.append("user_register", tool.user_register(w.changes("user_info")))
+    return w.append("user_register", tool.user_register(w.changes))
 
 
 # --------------------------------------------------------------------------
