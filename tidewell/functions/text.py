@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # What counts as a word, and as a run of CJK writing
 CJK = r"぀-ヿ㐀-䶿一-鿿가-힯"
 WORD_OR_RUN = rf"([a-z0-9]+|[{CJK}]+)"
-RUN = rf"^[{CJK}]"
 
 
 def _pairs(run: Column) -> Column:
@@ -19,8 +18,10 @@ def _pairs(run: Column) -> Column:
 
 def keywords(text: Column | str) -> Column:
     """Words of a text: lower-case ASCII words, CJK runs as character pairs."""
-    col = F.col(text) if isinstance(text, str) else text
-    parts = F.regexp_extract_all(F.lower(col), F.lit(WORD_OR_RUN), F.lit(1))
-    return F.flatten(
-        F.transform(parts, lambda p: F.when(p.rlike(RUN), _pairs(p)).otherwise(F.array(p)))
+    lower = F.lower(F.col(text) if isinstance(text, str) else text)
+    parts = F.regexp_extract_all(lower, F.lit(WORD_OR_RUN), F.lit(1))
+    is_run = lambda part: F.ascii(part) > 127
+    cut = F.flatten(
+        F.transform(parts, lambda p: F.when(is_run(p), _pairs(p)).otherwise(F.array(p)))
     )
+    return F.when(lower.rlike(f"[{CJK}]"), cut).otherwise(parts)
