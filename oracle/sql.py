@@ -114,7 +114,8 @@ dic(code, name) AS (VALUES
 
 ORDERS = DIC + f""",
 od AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, *,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                   strftime(l_shipdate, '%Y%m%d')) AS id, *,
          CAST(l_extendedprice AS DECIMAL(16,2)) AS price,
          CAST(l_discount AS DECIMAL(4,2)) AS share,
          strftime(l_shipdate, {CLOCK}) AS shipped,
@@ -122,6 +123,14 @@ od AS (
          CAST(CAST(epoch(l_shipdate) AS BIGINT) AS VARCHAR) AS ship_ts
   FROM lineitem
 ),
+act AS (
+  SELECT id, CAST(l_suppkey % 7 AS VARCHAR) AS activity_id,
+         CAST(l_partkey % 11 AS VARCHAR) AS activity_rule_id
+  FROM od WHERE l_returnflag = 'R'
+),
+cou AS (
+  SELECT id, CAST(l_partkey % 13 AS VARCHAR) AS coupon_id FROM od WHERE l_discount >= 0.08
+),
 oi AS (
   SELECT o_orderkey, o_custkey, 'insert' AS type, '1001' AS order_status,
          NULL AS operated, NULL AS old_status, o_orderdate AS tm
@@ -141,9 +150,7 @@ wide AS (
   SELECT od.id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id,
          order_status, CAST(l_partkey AS VARCHAR) AS sku_id, 'sku-' || l_partkey AS sku_name,
          CAST(o_custkey % 25 AS VARCHAR) AS province_id,
-         CASE WHEN l_returnflag = 'R' THEN CAST(l_suppkey % 7 AS VARCHAR) END AS activity_id,
-         CASE WHEN l_returnflag = 'R' THEN CAST(l_partkey % 11 AS VARCHAR) END AS activity_rule_id,
-         CASE WHEN l_discount >= 0.08 THEN CAST(l_partkey % 13 AS VARCHAR) END AS coupon_id,
+         activity_id, activity_rule_id, coupon_id,
          ship_day AS date_id, shipped AS create_time,
          strftime(operated, '%Y-%m-%d') AS operate_date_id,
          strftime(operated, {CLOCK}) AS operate_time,
@@ -160,6 +167,8 @@ wide AS (
          CAST(CAST(epoch(tm) AS BIGINT) AS VARCHAR) AS oi_ts
   FROM od JOIN oi ON l_orderkey = o_orderkey
        JOIN dic ON code = '240' || (l_suppkey % 5 + 1)
+       LEFT JOIN act ON act.id = od.id
+       LEFT JOIN cou ON cou.id = od.id
 ),
 placed AS (SELECT *, source_type AS source_type_code FROM wide WHERE type = 'insert'),
 paid AS (
@@ -268,7 +277,7 @@ SELECT seq, mid, CASE WHEN is_new = '1'
         "source_type_code, source_type_name, sku_num, ts FROM cart_add",
         "order_wide_detail": f"WITH {ORDERS} SELECT * FROM wide",
         "order_wide_upserted": f"WITH {ORDERS} SELECT * EXCLUDE (old_status) FROM wide "
-        "WHERE type = 'update'",
+        "QUALIFY row_number() OVER (PARTITION BY id ORDER BY CAST(oi_ts AS BIGINT) DESC) = 1",
         "order_placed_detail": f"WITH {ORDERS} SELECT id, {DETAIL_KEYS}, date_id, create_time, "
         f"source_id, source_type_code, source_type_name, {DETAIL_AMOUNTS}, split_total_amount, "
         "od_ts AS ts FROM placed",

@@ -227,7 +227,9 @@ _PREPARED = {
         "cast(o_orderdate as timestamp) - interval 1 day as got",
     ],
     "lineitem": [
-        "*", "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as line",
+        "*",
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        "date_format(l_shipdate, 'yyyyMMdd')) as line",
         "cast(l_shipdate as timestamp) as at", "cast(l_extendedprice as decimal(16,2)) as price",
         "cast(l_discount as decimal(4,2)) as share",
     ],
