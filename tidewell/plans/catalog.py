@@ -20,6 +20,7 @@ from tidewell.operators.windows import as_text
 from tidewell.plans import dim, summary, tool, trade, traffic
 from tidewell.session import tune
 from tidewell.sources import tables
+from tidewell.streaming.replay import Replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -253,4 +254,30 @@ def queries() -> dict[str, Query]:
             ),
             f"payer_window_{name}": lambda i, z=size: as_text(summary.payer_window(i.payments, z)),
         }
+    named |= _streamed()
     return {name: _query(body) for name, body in named.items()}
+
+
+def _streamed() -> dict[str, Callable[[Inputs], DataFrame]]:
+    """The same results by the streaming operators: the tables arrive as streams."""
+
+    def replay(i: Inputs) -> Replay:
+        return Replay(i.spark, i.folder)
+
+    return {
+        "stream_log_routed_topics": lambda i: replay(i)
+        .routed_topics()
+        .groupBy("topic", "seq")
+        .agg(F.count("*").alias("n")),
+        "stream_unique_visitor_detail": lambda i: _flat(
+            replay(i).unique_visitors(), "page.during_time"
+        ),
+        "stream_keyword_window_1d": lambda i: as_text(replay(i).keyword_window()),
+        "stream_page_window_1d": lambda i: as_text(replay(i).page_window()),
+        "stream_login_window_1d": lambda i: as_text(replay(i).login_window()),
+        "stream_register_window_1d": lambda i: as_text(replay(i).register_window()),
+        "stream_cart_window_1d": lambda i: as_text(replay(i).cart_window()),
+        "stream_dimension_sku": lambda i: dims.dimension_table(
+            replay(i).dimensions(), "dim_sku", "p_partkey,p_name,p_brand"
+        ),
+    }

@@ -80,7 +80,11 @@ TABLES = {
 }
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table(spark: SparkSession, folder: str, name: str, stream: bool = False) -> DataFrame:
+    if stream:
+        # A stream reads a folder; the filter keeps the other tables out of it.
+        reader = spark.readStream.schema(TABLES[name])
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
@@ -99,9 +103,9 @@ def dim_config_log(spark: SparkSession) -> DataFrame:
 # --------------------------------------------------------------------------
 # Application log
 # --------------------------------------------------------------------------
-def _events(spark: SparkSession, folder: str) -> DataFrame:
+def _events(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     return (
-        table(spark, folder, "events")
+        table(spark, folder, "events", stream)
         .withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("int"))
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
@@ -140,9 +144,9 @@ def _last_page_id() -> Column:
     )
 
 
-def page_views(spark: SparkSession, folder: str) -> DataFrame:
+def page_views(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     """Page views, one per event; purchases were found by searching a product."""
-    events = _events(spark, folder).withColumn(
+    events = _events(spark, folder, stream).withColumn(
         "searched", F.when(F.col("event_type") == "purchase", F.col("event_id") % 200)
     )
     products = table(spark, folder, "part").select("p_partkey", "p_name")
@@ -161,7 +165,7 @@ def page_views(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def log_messages(spark: SparkSession, folder: str) -> DataFrame:
+def log_messages(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     """The raw log as JSON text.
 
     Views show items, clicks and purchases carry actions, some signups are
@@ -177,7 +181,7 @@ def log_messages(spark: SparkSession, folder: str) -> DataFrame:
             F.transform(ids, lambda i: F.struct(i.alias(name), F.lit("promotion").alias("type"))),
         )
 
-    events = _events(spark, folder)
+    events = _events(spark, folder, stream)
     record = F.struct(
         _visitor().alias("common"),
         F.when(
@@ -367,14 +371,15 @@ def _union(branches: list[DataFrame]) -> DataFrame:
     return log
 
 
-def change_feed(spark: SparkSession, folder: str) -> Feed:
+def change_feed(spark: SparkSession, folder: str, stream: bool = False) -> Feed:
     """Typed changes of one source table at a time."""
 
     def feed(name: str) -> DataFrame:
         columns = s.SOURCE_COLUMNS[name]
         branches = []
         for source, where, kind, time, seq, data, old in _SHOP_CHANGES[name]:
-            rows = table(spark, folder, source).selectExpr(*_PREPARED[source]).where(where)
+            rows = table(spark, folder, source, stream)
+            rows = rows.selectExpr(*_PREPARED[source]).where(where)
             values, before = _struct(columns, data), _struct(columns, old)
             branches.append(
                 _changes(rows, name, kind, f"unix_seconds({time})", seq, values, before)
@@ -384,12 +389,12 @@ def change_feed(spark: SparkSession, folder: str) -> Feed:
     return feed
 
 
-def master_change_log(spark: SparkSession, folder: str) -> DataFrame:
+def master_change_log(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     """Untyped changes of the master data, as one log."""
     return _union(
         [
             _changes(
-                table(spark, folder, name).where(where), name, kind, str(ts), seq,
+                table(spark, folder, name, stream).where(where), name, kind, str(ts), seq,
                 _map(data), _map(old),
             )
             for name, where, kind, ts, seq, data, old in _MASTER_CHANGES

@@ -6,6 +6,7 @@ that starts one streaming query with a checkpoint of its own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -241,19 +242,26 @@ def user_register(w: Warehouse) -> StreamingQuery:
 # --------------------------------------------------------------------------
 def dimensions(w: Warehouse) -> StreamingQuery:
     """Upsert dimension rows; each micro-batch reads the configuration anew."""
+
+    def config(spark: SparkSession) -> DataFrame:
+        return streams.config_changes(spark, w.folder("table_process"))
+
+    return sync_dimensions(w, ch.parse(w.messages("topic_db")), config)
+
+
+def sync_dimensions(
+    w: Warehouse, changes: DataFrame, config_changes: Callable[[SparkSession], DataFrame]
+) -> StreamingQuery:
     target = w.dimensions()
 
     def sync(batch: DataFrame, batch_id: int) -> None:
-        config = dims.current_config(
-            streams.config_changes(batch.sparkSession, w.folder("table_process"))
-        )
+        config = dims.current_config(config_changes(batch.sparkSession))
         rows = dims.dimension_rows(batch, config)
         newest = latest(rows, ["sink_table", "pk"], "version", "seq")
         target.write(newest, batch_id)
 
     return (
-        ch.parse(w.messages("topic_db"))
-        .writeStream.foreachBatch(sync)
+        changes.writeStream.foreachBatch(sync)
         .option("checkpointLocation", target.checkpoint)
         .trigger(**w.trigger)
         .start()
