@@ -40,7 +40,11 @@ def topic(
 
 
 def text_lines(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
-    """Files of JSON lines.  Lines of one file keep their order of arrival."""
+    """Files of JSON lines.
+
+    The time of the file is the arrival number of all its lines; within a file
+    the records' own times give the order.
+    """
     lines = _reader(spark, stream).format("text").options(**options).load(path)
     return lines.select(
         "value", F.unix_micros("_metadata.file_modification_time").alias("seq")

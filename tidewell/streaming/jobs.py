@@ -82,7 +82,8 @@ class Warehouse:
     # must cover the disorder between the partitions of a topic.
     delay: str = "10 seconds"
     trigger: dict = field(default_factory=lambda: {"processingTime": "3 seconds"})
-    source: dict = field(default_factory=dict)  # options of the topic readers
+    source: dict = field(default_factory=dict)  # options of the raw topics' readers
+    kafka: str | None = None  # bootstrap servers, when the raw topics are in Kafka
 
     # -- folders ----------------------------------------------------------
     def folder(self, name: str) -> str:
@@ -93,6 +94,8 @@ class Warehouse:
 
     # -- readers ----------------------------------------------------------
     def messages(self, name: str) -> DataFrame:
+        if self.kafka:
+            return streams.kafka(self.spark, self.kafka, name, True, **self.source)
         return streams.messages(self.spark, self.folder(name), True, **self.source)
 
     def pages(self) -> DataFrame:
