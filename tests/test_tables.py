@@ -51,6 +51,10 @@ def test_replacing_upserts(spark, tmp_path):
     assert table_rows(table, spark) == [("a", 6, "d1"), ("a", 9, "d2"), ("b", 3, "d1")]
     table.compact(spark)
     assert table_rows(table, spark) == [("a", 6, "d1"), ("a", 9, "d2"), ("b", 3, "d1")]
+    table.drop_folded(spark)
+    assert table._committed(spark, "delta") == [] and table._committed(spark, "base") == [3]
+    put(4, ("c", 4, "d2"))
+    assert table_rows(table, spark)[-1] == ("c", 4, "d2")
     pruned = table.read(spark).where("day = 'd2'")
     assert "PartitionFilters: [isnotnull(day" in pruned._jdf.queryExecution().executedPlan().toString()
 

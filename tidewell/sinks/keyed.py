@@ -71,7 +71,21 @@ class KeyedTable:
         if batches:
             self._save(self._merged(self._rows(spark)), _folder("base", max(batches)))
 
+    def drop_folded(self, spark: SparkSession) -> None:
+        """Remove folders that the newest base already contains.
+
+        Run it when no reader still works on a plan made before that base.
+        """
+        base = self._base(spark)
+        for kind, numbers in (("delta", range(base + 1)), ("base", range(base))):
+            for number in set(numbers) & set(self._committed(spark, kind)):
+                path = self._hadoop(spark).Path(f"{self.path}/{_folder(kind, number)}")
+                path.getFileSystem(self._conf(spark)).delete(path, True)
+
     def _save(self, rows: DataFrame, folder: str) -> None:
+        if self.partition_by:
+            # Few files per partition, large partitions split: sizes known at run time.
+            rows = rows.hint("rebalance", *self.partition_by)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
@@ -105,7 +119,14 @@ class KeyedTable:
 
     def _committed(self, spark: SparkSession, kind: str) -> list[int]:
         """Numbers of the folders of one kind that carry the commit marker."""
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-        pattern = hadoop.Path(f"{self.path}/{KIND}={kind}/{BATCH}=*/_SUCCESS")
-        found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+        pattern = self._hadoop(spark).Path(f"{self.path}/{KIND}={kind}/{BATCH}=*/_SUCCESS")
+        found = pattern.getFileSystem(self._conf(spark)).globStatus(pattern)
         return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found or [])
+
+    @staticmethod
+    def _hadoop(spark: SparkSession):
+        return spark.sparkContext._jvm.org.apache.hadoop.fs
+
+    @staticmethod
+    def _conf(spark: SparkSession):
+        return spark.sparkContext._jsc.hadoopConfiguration()
