@@ -441,3 +441,18 @@ def test_the_dictionary_is_broadcast_on_its_size(spark):
         assert "Broadcast" not in plan(trade.order_wide(feed, dic))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scans_read_only_what_a_query_names(spark, tmp_path):
+    views, log = str(tmp_path / "pages"), str(tmp_path / "changes")
+    pages(spark, random_pages(1)).write.parquet(views)
+    text = plan(summary.page_window(spark.read.schema(s.PAGE_VIEW).parquet(views)))
+    assert "ReadSchema: struct<common:struct<mid:string>,page:struct<page_id:string>,ts:bigint>" in text
+
+    feed = change_rows(spark, ("cart_info", "insert", {"id": 1}, None), ("user_info", "insert", {"id": 1}, None))
+    rows = feed("cart_info").unionAll(feed("user_info"))
+    rows.write.partitionBy("table").parquet(log)
+    stored = ch.feed(spark.read.schema(s.TYPED_CHANGE).parquet(log))
+    text = plan(tool.user_register(stored))
+    assert "data:struct<id:string,create_time:string>" in text
+    assert "PartitionFilters: [isnotnull(table" in text and "PushedFilters: [IsNotNull(type)" in text
