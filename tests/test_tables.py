@@ -1,6 +1,5 @@
 """Keyed tables, append sinks, late records."""
 
-import json
 
 import pytest
 from pyspark.sql import functions as F

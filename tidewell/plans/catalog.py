@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell import schemas as s
 from tidewell.functions.text import keywords
 from tidewell.functions.time import day_of_millis
 from tidewell.operators.changes import Feed

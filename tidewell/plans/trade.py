@@ -26,7 +26,6 @@ from tidewell.operators import changes as ch
 from tidewell.operators.joins import bounded_join, lookup
 
 
-
 def cart_add(changes: ch.Feed, dictionary: DataFrame) -> DataFrame:
     """Quantity added to carts: new lines and raised quantities."""
     carts = ch.columns(
