@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lines, urlfilter
+from . import counts, decontaminate, jaccard, lines, packing, quality, suffixdedup, tokenfiles, toxicity, urlfilter
 
 #: (host, path, action) of the query over `pages`.
 URL_RULES = (
@@ -21,28 +21,68 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, folder, "labels"))
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.decontaminate(docs, table(spark, folder, "benchmark")).drop("text")
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, action string")
     pages = table(spark, folder, "pages").select("page_id", "url")
     return urlfilter.filter_urls(pages, rules).drop("url")
 
 
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return tokenfiles.read_documents(tokenfiles.write_tokens(docs))
+
+
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return suffixdedup.deduplicate(docs, keep_text=False)
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return lines.filter_lines(docs).drop("text", "source")
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return counts.length_sums(counts.histogram(table(spark, folder, "documents").select("text")))
+
+
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.quality(docs, table(spark, folder, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_decontamination": op2_decontamination,
-        "op5_url_filters": op5_url_filters,
-        "op8_quality_rules": op8_quality_rules,
-    }
+    found = (
+        op1_toxicity,
+        op2_decontamination,
+        op3_jaccard_join,
+        op4_best_fit_packing,
+        op5_url_filters,
+        op6_token_files,
+        op7_suffix_dedup,
+        op8_quality_rules,
+        op9_token_counts,
+        op10_quality_classifier,
+    )
+    return {f.__name__: f for f in found}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
