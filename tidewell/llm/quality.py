@@ -42,9 +42,35 @@ MAX_EXAMPLES = 2048
 #: At most so many terms, those of most examples first.
 MAX_TERMS, MIN_EXAMPLES = 8192, 3
 DIMENSIONS, NEIGHBOURS = 64, 25
+#: Weight of a mark beside that of a word, and the shares of words at which marks are set.
+MARK = 4.0
+LEVELS = (0.05, 0.1, 0.2, 0.35, 0.5, 0.7)
 BLOCK = 256
 
 
+def features(text: str | None) -> Counter:
+    """Counts of the tokens of a text, and marks (weighted MARK) of how it is written:
+    words equal to the word before, words in capitals, words seen before, symbols."""
+    text = text or ""
+    found = Counter(tokens_of(text))
+    words = text.split()
+    if words:
+        n = len(words)
+        shares = {
+            "same": sum(map(str.__eq__, words, words[1:])) / n,
+            "capitals": sum(w.isupper() and len(w) > 1 for w in words) / n,
+            "again": 1 - len(set(words)) / n if n >= 8 else 0.0,
+            "symbols": sum(k for t, k in found.items() if not t[0].isalnum() and len(t) > 1) / n,
+            "bars": found["|"] / n,
+            "few": 8 / (8 + n),
+        }
+        for name, share in shares.items():
+            for level in LEVELS:
+                if share > level:
+                    found[f"\x01{name}{level}"] = 1
+    return found
+
+
 @dataclass
 class Model:
     terms: dict[str, int]
@@ -58,11 +84,11 @@ class Model:
 
     def ids(self, text: str | None) -> set[int]:
         get = self.terms.get
-        return {i for i in map(get, set(tokens_of(text or ""))) if i is not None}
+        return {i for i in map(get, features(text)) if i is not None}
 
     def sparse(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         get = self.terms.get
-        found = [(i, n) for w, n in Counter(tokens_of(text or "")).items() if (i := get(w)) is not None]
+        found = [(i, n) for w, n in features(text).items() if (i := get(w)) is not None]
         t = np.array([i for i, _ in found], np.int64)
         w = (1 + np.log(np.array([n for _, n in found], float))) * self.idf[t]
         return t, (w / (np.sqrt((w * w).sum()) or 1.0)).astype(np.float32)
@@ -127,14 +153,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int =
         none = np.zeros((0, 1), np.float32)
         return Model({}, np.zeros(0), none, none, np.zeros(0), np.zeros(0), share, (np.zeros(1), np.zeros(1)))
     texts = known["text"].tolist()
-    with_term = Counter(t for x in texts for t in set(tokens_of(x)))
+    with_term = Counter(t for x in texts for t in features(x))
     names = [t for n, t in sorted((-n, t) for t, n in with_term.items() if n >= MIN_EXAMPLES)[:MAX_TERMS]]
     stands = label_weights(labels, label, y)
     model = Model(
         {t: i for i, t in enumerate(names)}, np.ones(len(names)), np.zeros((0, 1)), np.zeros((0, 1)), y, stands, 0.5, ()
     )
     df, n = document_counts(docs, len(names), model.ids)
-    model.idf = np.log((n + 1) / (df + 1)) + 1
+    model.idf = (np.log((n + 1) / (df + 1)) + 1) * np.array([MARK if t[0] == "\x01" else 1.0 for t in names])
     rows = [model.sparse(t) for t in texts]
     model.space = leading_space(rows, max(1, len(names)), DIMENSIONS)
     vectors = model.project(texts)

@@ -47,7 +47,8 @@ from .labelled import (
 MAX_EXAMPLES = 2048
 #: At most so many terms; a term is a word or the first four letters of a longer word.
 MAX_TERMS = 4096
-MIN_CHI2, MIN_RATIO, MIN_EXAMPLES = 15.0, 3.0, 3
+#: The chi-square is that of one in a million: a vocabulary holds many rare words by chance.
+MIN_CHI2, MIN_RATIO, MIN_EXAMPLES = 24.0, 3.0, 5
 NEIGHBOURS, BLOCK = 15, 64
 STEM = 4
 
