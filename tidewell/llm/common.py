@@ -86,8 +86,10 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All UTF-8 bytes of a string array one after another, and the n + 1 offsets."""
-    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    joined = b"".join(x.encode() for x in texts.to_pylist())
-    return np.frombuffer(joined, np.uint8), ends
+    """All UTF-8 bytes of a string array without nulls one after another, and the n + 1 offsets."""
+    _, offsets, data = texts.buffers()
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    ends = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    if data is None or not len(ends):
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]

@@ -80,7 +80,7 @@ def length_sums(hist: DataFrame) -> DataFrame:
 def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
     """(share, length): the smallest length that at least this share of documents does not exceed."""
     pick = [F.min(F.when(F.col("share_at_most") >= s, F.col("length"))).alias(str(s)) for s in shares]
-    return sums.agg(*pick).unpivot([], [str(s) for s in shares], "share", "length")
+    return sums.agg(*pick).unpivot([], [F.col(f"`{s}`") for s in shares], "share", "length")
 
 
 def truncated_totals(hist: DataFrame, limits: list[int]) -> DataFrame:
@@ -89,4 +89,4 @@ def truncated_totals(hist: DataFrame, limits: list[int]) -> DataFrame:
         F.coalesce(F.sum(F.least(F.col("length"), F.lit(n)) * F.col("n_docs")), F.lit(0).cast("long")).alias(str(n))
         for n in limits
     ]
-    return hist.agg(*pick).unpivot([], [str(n) for n in limits], "limit", "total")
+    return hist.agg(*pick).unpivot([], [F.col(f"`{n}`") for n in limits], "limit", "total")

@@ -60,13 +60,18 @@ def marked_in(words: np.ndarray, d: np.ndarray) -> np.ndarray:
     return (words[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63)).astype(np.int64)) & 1 > 0
 
 
+def marked(batches, words: np.ndarray, there: bool):
+    """The rows of Arrow batches whose number d is (or is not) marked in the bit map."""
+    for batch in batches:
+        d = batch.column(batch.schema.get_field_index("d")).to_numpy(zero_copy_only=False)
+        yield batch.filter(pa.array(marked_in(words, d) == there))
+
+
 def only(docs: DataFrame, words: np.ndarray, there: bool) -> DataFrame:
     """Rows whose number is (or is not) marked in the bit map."""
 
     def keep(batches):
-        for batch in batches:
-            d = batch.column(batch.schema.get_field_index("d")).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(marked_in(words, d) == there))
+        yield from marked(batches, words, there)
 
     return docs.mapInArrow(keep, docs.schema)
 

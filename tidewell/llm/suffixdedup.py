@@ -36,7 +36,6 @@ import hashlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame
@@ -44,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .bytehash import ByteHash, least_ahead, mix
 from .common import partitions, stored, text_batches, text_bytes
-from .rows import bit_map, numbered, only, slices_of
+from .rows import bit_map, marked, numbered, only, slices_of
 
 LENGTH, GRAM = 100, 32
 BATCHES = 8
@@ -346,27 +345,40 @@ def deduplicate(
     lists = stored(stretches.groupBy("d").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
     words = bit_map(lists)
 
+    names = OUTPUTS if keep_text else OUTPUTS[:-1]
+    kinds = dict(zip(OUTPUTS, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))
+
     def finish(source):
-        for batch, texts in text_batches(source, "text", 1 << 23):
-            at = batch.schema.get_field_index("spans")
-            spans = batch.column(at).to_pylist() if at >= 0 else [None] * batch.num_rows
-            out = []
-            for x, found in zip(texts.to_pylist(), spans, strict=True):
+        for batch, texts in text_batches(source, "text"):
+            spans_at = batch.schema.get_field_index("spans")
+            if spans_at >= 0:
+                spans = batch.column(spans_at)
+                size = np.nan_to_num(spans.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+                both = [spans.flatten().field(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
+            else:
+                size, both = np.zeros(batch.num_rows, np.int64), [np.zeros(0, np.int64)] * 2
+            ends = np.cumsum(size)
+            out: dict[str, list] = {c: [] for c in names}
+            for x, lo, hi in zip(texts.to_pylist(), ends - size, ends, strict=True):
                 data = x.encode()
-                a = np.array([s["a"] for s in found or []], np.int64)
-                a, b = merged(a, np.array([s["b"] for s in found or []], np.int64))
+                a, b = merged(both[0][lo:hi], both[1][lo:hi])
                 kept = cut(data, a, b) if len(a) else data
-                out.append((len(data), len(data) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
-            made = pd.DataFrame(out, columns=list(OUTPUTS))
-            names = OUTPUTS if keep_text else OUTPUTS[:-1]
-            kinds = dict(zip(OUTPUTS, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))
+                out["n_bytes"].append(len(data))
+                out["n_removed"].append(len(data) - len(kept))
+                out["n_spans"].append(len(a))
+                out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+                if keep_text:
+                    out["kept"].append(kept.decode(errors="ignore"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("row"))] + [pa.array(made[c].tolist(), kinds[c]) for c in names],
+                [batch.column(batch.schema.get_field_index("row"))] + [pa.array(out[c], kinds[c]) for c in names],
                 ["row", *names],
             )
 
+    def finish_untouched(source):
+        yield from finish(marked(source, words, False))
+
     schema = f"row {rows.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema += ", kept string" if keep_text else ""
-    whole = only(rows, words, False).mapInArrow(finish, schema)
+    whole = rows.mapInArrow(finish_untouched, schema)
     touched = only(rows, words, True).join(lists, "d", "left").mapInArrow(finish, schema)
-    return whole.unionByName(touched).select("row.*", *(OUTPUTS if keep_text else OUTPUTS[:-1]))
+    return whole.unionByName(touched).select("row.*", *names)

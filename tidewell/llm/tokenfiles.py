@@ -32,7 +32,7 @@ from .tokens import encoder, tokenizer_path
 BLOCK = 4096
 END_ID = 1
 #: magic, bits of an id, ids of a block, ids, documents, blocks, place of the block offsets
-FOOTER = struct.Struct("<8sIIQQQQ")
+FOOTER = "<8sIIQQQQ"
 MAGIC = b"TWPACK01"
 
 
@@ -84,8 +84,8 @@ class Writer:
         self.out.write(np.array([x or 0 for x in self.doc_ids], "<i8").tobytes())
         self.out.write(np.array(none, np.uint8).tobytes())
         self.out.write(
-            FOOTER.pack(
-                MAGIC, self.bits, BLOCK, self.starts[-1], len(self.doc_ids), len(self.offsets) - 1, self.offsets[-1]
+            struct.pack(
+                FOOTER, MAGIC, self.bits, BLOCK, self.starts[-1], len(self.doc_ids), len(self.offsets) - 1, self.offsets[-1]
             )
         )
 
@@ -96,8 +96,8 @@ class Reader:
     def __init__(self, source):
         self.source = source
         size = source.size()
-        magic, self.bits, self.block, self.n_ids, self.n_docs, blocks, at = FOOTER.unpack(
-            source.read_at(FOOTER.size, size - FOOTER.size)
+        magic, self.bits, self.block, self.n_ids, self.n_docs, blocks, at = struct.unpack(
+            FOOTER, source.read_at(struct.calcsize(FOOTER), size - struct.calcsize(FOOTER))
         )
         if magic != MAGIC:
             raise ValueError("not a packed token file")
