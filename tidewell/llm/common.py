@@ -69,7 +69,7 @@ def split_words(text: Column, separators: str) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 21):
+def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20):
     """Slices of Arrow batches of at most `limit` text bytes (or one row), null texts empty.
 
     Gives (slice, texts): the texts as a binary-compatible string array.
@@ -83,6 +83,21 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1
             hi = max(lo + 1, int(np.searchsorted(sizes, base + limit, "right")))
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo)
             lo = hi
+    pa.default_memory_pool().release_unused()  # workers live on and share the executor's memory
+
+
+def gathered(parts: Iterator[tuple[np.ndarray, ...]], limit: int) -> Iterator[list[np.ndarray]]:
+    """Tuples of arrays joined until their first arrays hold `limit` values."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= limit:
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held, size = [], 0
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

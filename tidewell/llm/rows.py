@@ -82,8 +82,12 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     Rows the bit map does not know pass by at once; only the others meet in an anti-join.
     """
     words = bit_map(dropped)
-    rest = only(docs, words, True).join(dropped.select("d").distinct(), "d", "left_anti").select(*docs.columns)
-    return only(docs, words, False).unionByName(rest)
+    return only(docs, words, False).unionByName(doubtful(docs, dropped, words))
+
+
+def doubtful(docs: DataFrame, dropped: DataFrame, words: np.ndarray) -> DataFrame:
+    """The rows of `without` that the bit map of `dropped` cannot tell apart from dropped ones."""
+    return only(docs, words, True).join(dropped.select("d").distinct(), "d", "left_anti").select(*docs.columns)
 
 
 def slices_of(sorted_keys: np.ndarray) -> tuple[list[int], list[slice]]:

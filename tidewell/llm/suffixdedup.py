@@ -42,12 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import ByteHash, least_ahead, mix
-from .common import partitions, stored, text_batches, text_bytes
+from .common import gathered, partitions, stored, text_batches, text_bytes
 from .rows import bit_map, marked, numbered, only, slices_of
 
 LENGTH, GRAM = 100, 32
 BATCHES = 8
-BUCKET_BYTES = 16 << 20
+#: Text bytes behind one bucket of the index, and entries or windows a task sends together.
+BUCKET_BYTES, SEND = 4 << 20, 1 << 19
 ENTRY = np.dtype([("z", "<u8"), ("y", "<u4"), ("n", "u1"), ("edge", "?"), ("d", "<i8"), ("lo", "<u4")])
 
 
@@ -118,6 +119,8 @@ def in_order(rows: np.ndarray) -> np.ndarray:
 
 def first_of(rows: np.ndarray) -> np.ndarray:
     """True for the first entry of each context of sorted rows."""
+    if not len(rows):
+        return np.zeros(0, bool)
     return np.concatenate([[True], (rows["z"][1:] != rows["z"][:-1]) | (rows["y"][1:] != rows["y"][:-1])])
 
 
@@ -185,29 +188,31 @@ def repeated_strings(
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(partitions(spark), -(-size // BUCKET_BYTES))
 
-    def entries(source):
+    def sample(source):
         for batch, texts in text_batches(source, "text"):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            buffer, ends = text_bytes(texts)
-            doc, lo, n, k, c = sampled(buffer, ends, length, gram)
+            doc, lo, n, k, c = sampled(*text_bytes(texts), length, gram)
             rows = np.zeros(len(doc), ENTRY)
             rows["z"] = (k << np.uint64(32)) | (c >> np.uint64(32))
             rows["y"] = c & np.uint64(0xFFFFFFFF)
             rows["n"], rows["d"], rows["lo"] = n, ids[doc], lo
-            bucket = ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            yield rows, ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+    def entries(source):
+        for rows, bucket in gathered(sample(source), SEND):
             order = np.lexsort((rows["lo"], rows["d"], rows["y"], rows["z"], bucket))
             rows, bucket = rows[order], bucket[order]
-            # Of equal contexts in this slice only the first is sent as an entry.
-            first = first_of(rows) | np.concatenate([[True], bucket[1:] != bucket[:-1]]) if len(rows) else np.zeros(0, bool)
+            # Of equal contexts at hand only the first is sent as an entry.
+            first = first_of(rows)
             out = []
             for b, at in zip(*slices_of(bucket), strict=True):
-                mine, head = rows[at], first[at]
-                out.append((b, *columns_of(mine[head]), mine[~head]["d"].tobytes(), mine[~head]["lo"].tobytes(), mine[~head]["n"].tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], pa.int32())] + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 9)],
-                    ["bucket", "z", "y", "n", "d", "lo", "gd", "glo", "gn"],
-                )
+                mine, gone = rows[at][first[at]], rows[at][~first[at]]
+                out.append((b, *columns_of(mine), *(gone[x].tobytes() for x in ("d", "lo", "n"))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[0] for o in out], pa.int32())]
+                + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 9)],
+                ["bucket", "z", "y", "n", "d", "lo", "gd", "glo", "gn"],
+            )
 
     def fold(table):
         from pyspark import TaskContext
@@ -245,7 +250,7 @@ def repeated_strings(
         texts = texts.unionByName(indexed.select("d", "text"))
     near = only(texts, bit_map(edges), True).join(edges, "d")
 
-    def windows(source):
+    def hashed(source):
         for batch, texts in text_batches(source, "text"):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             buffer, ends = text_bytes(texts)
@@ -256,22 +261,23 @@ def repeated_strings(
             s = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             doc = np.repeat(doc, n)
             at = s + ends[doc]
-            h = ByteHash(buffer).span(at, at + length)
-            order = np.lexsort((s, ids[doc], h))
-            h, d, s = h[order], ids[doc][order], s[order].astype(np.uint32)
-            first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+            yield ByteHash(buffer).span(at, at + length), ids[doc], s.astype(np.uint32)
+
+    def windows(source):
+        for h, d, s in gathered(hashed(source), SEND):
             bucket = (mix(h) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            h, d, s, first, bucket = h[order], d[order], s[order], first[order], bucket[order]
-            out = [
-                (b, h[at][first[at]].tobytes(), d[at][first[at]].tobytes(), s[at][first[at]].tobytes(), d[at][~first[at]].tobytes(), s[at][~first[at]].tobytes())
-                for b, at in zip(*slices_of(bucket), strict=True)
-            ]
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[0] for o in out], pa.int32())] + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 6)],
-                    ["bucket", "h", "d", "s", "gd", "gs"],
-                )
+            order = np.lexsort((s, d, h, bucket))
+            h, d, s, bucket = h[order], d[order], s[order], bucket[order]
+            first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+            out = []
+            for b, at in zip(*slices_of(bucket), strict=True):
+                head = first[at]
+                out.append((b, *(x[at][head].tobytes() for x in (h, d, s)), *(x[at][~head].tobytes() for x in (d, s))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[0] for o in out], pa.int32())]
+                + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 6)],
+                ["bucket", "h", "d", "s", "gd", "gs"],
+            )
 
     def repeats(table):
         h, d, s, gd, gs = (
