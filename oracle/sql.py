@@ -25,7 +25,7 @@ page_log AS (
          p_name AS item,
          CAST(floor(value * 100) AS BIGINT) AS during_time,
          ms AS ts, make_timestamp(ms * 1000) AS t, CAST(make_timestamp(ms * 1000) AS DATE) AS d
-  FROM ev LEFT JOIN part ON event_type = 'purchase' AND p_partkey = event_id % 200
+  FROM ev LEFT JOIN part ON event_type = 'purchase' AND p_partkey = event_id % (SELECT max(p_partkey) + 1 FROM part)
 )"""
 
 UNIQUE = """,
@@ -224,16 +224,18 @@ upserts AS (
   FROM part, (VALUES (1::BIGINT), (2::BIGINT)) versions(v) WHERE v = 1 OR p_size > 25
 )"""
 
-CJK = "぀-ヿ㐀-䶿一-鿿가-힯"
+WORD = r"[\p{L}\p{M}\p{N}]+"
+CJK = r"぀-ヿ㐀-䶿一-鿿가-힯\x{20000}-\x{3FFFF}"
 
 
 def words(table: str) -> str:
     return f"""
 WITH runs AS (
-  SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+|[{CJK}]+')) AS r FROM {table}
+  SELECT unnest(regexp_extract_all(
+    regexp_replace(lower(text), '([{CJK}]+)', ' \\1 ', 'g'), '{WORD}')) AS r FROM {table}
 ),
 words AS (
-  SELECT unnest(CASE WHEN regexp_matches(r, '^[a-z0-9]') OR length(r) < 2 THEN [r]
+  SELECT unnest(CASE WHEN NOT regexp_matches(r, '^[{CJK}]') OR length(r) < 2 THEN [r]
                      ELSE list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) END)
          AS keyword
   FROM runs
@@ -373,6 +375,10 @@ UNION ALL SELECT 'dim_sku', count(*), count(*) * 3 FROM part""",
 STREAMED = [
     "log_routed_topics", "unique_visitor_detail", "keyword_window_1d", "page_window_1d",
     "login_window_1d", "register_window_1d", "cart_window_1d", "dimension_sku",
+    "user_jump_detail_10s", "traffic_window_1d", "cart_add_detail", "comment_detail",
+    "coupon_get_detail", "coupon_order_detail", "coupon_pay_detail", "favor_add_detail",
+    "user_register_detail", "order_wide_upserted", "payment_detail", "payer_window_1d",
+    "order_refund_detail", "refund_payment_detail",
 ]
 
 
@@ -385,7 +391,7 @@ def _windows(n: str, size: str) -> dict[str, str]:
     return {
         f"keyword_window_{n}": f"""WITH {PAGES}, words AS (
   SELECT {window(size, "date_trunc('second', t)")} AS w,
-         unnest(regexp_extract_all(lower(item), '[a-z0-9]+')) AS keyword
+         unnest(regexp_extract_all(lower(item), '{WORD}')) AS keyword
   FROM page_log WHERE item IS NOT NULL AND last_page_id = 'search')
 SELECT {b}, 'SEARCH' AS source, keyword, count(*) AS keyword_count
 FROM words GROUP BY w, keyword""",

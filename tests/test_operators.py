@@ -15,7 +15,7 @@ from tidewell.operators import changes as ch
 from tidewell.operators import dims, joins, logs, merge, state
 from tidewell.operators.windows import as_text, tumble
 from tidewell.plans import summary, tool, trade, traffic
-from tidewell.sources import dictionary, literal, tables
+from tidewell.sources import literal, tables
 
 DAY = 86_400_000
 MONDAY = 1_700_006_400_000  # midnight UTC
@@ -339,11 +339,15 @@ def test_mixed_merge(spark):
 
 
 def test_keywords(spark):
-    texts = ["Apple iPhone (A2104) 256GB", "iPhone深空灰色 A手", None, "--", "ÉTÉ x"]
+    texts = [
+        "Apple iPhone (A2104) 256GB", "iPhone深空灰色 A手", None, "--", "ÉTÉ x",
+        "Größe ação niño", "Привет Ωμέγα سلام", "𠀀𠀁𠀂z",
+    ]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(keywords("t")).collect()
     assert [r[0] for r in rows] == [
         ["apple", "iphone", "a2104", "256gb"], ["iphone", "深空", "空灰", "灰色", "a", "手"],
-        None, [], ["t", "x"],
+        None, [], ["été", "x"],
+        ["größe", "ação", "niño"], ["привет", "ωμέγα", "سلام"], ["𠀀𠀁", "𠀁𠀂", "z"],
     ]
 
 
@@ -405,12 +409,6 @@ def test_bounded_join(spark):
     assert joins.bounded_join(left, right, on, ("a", "b"), None).count() == 2
 
 
-def test_dictionary_of_unknown_size(spark):
-    dic = tables.base_dic(spark)
-    assert dictionary.measured(dic).count() == dic.count()
-    assert dictionary.measured(dic, most=3) is dic
-
-
 # --------------------------------------------------------------------------
 # Plans
 # --------------------------------------------------------------------------

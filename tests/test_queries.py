@@ -4,10 +4,12 @@ import pytest
 from oracle_check import connect, difference
 
 import __spark_entry__ as entry
+from oracle.sql import oracle_sql
+from tidewell.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_the_entry_names_them_all():
+    assert set(QUERIES) <= set(entry.queries())
+    assert ORACLE.items() <= entry.oracle_sql().items()
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 

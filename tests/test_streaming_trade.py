@@ -41,18 +41,18 @@ def fixture_changes():
         status = {0: "1002", 1: "1003", 2: "1005"}[i % 3]
         order = {"id": i, "user_id": user, "province_id": i % 5, "order_status": "1001"}
         out.append(change("order_info", "insert", t, order))
-        for n in range(3):
+        for n in range(4):  # without promotion, with activity, with coupon, with both
             line = f"{i}-{n}"
             out.append(change("order_detail", "insert", t + n, {
                 "id": line, "order_id": i, "sku_id": n, "sku_name": f"sku {n}",
                 "create_time": clock(t), "source_id": n, "source_type": f"240{1 + (i + n) % 5}",
                 "sku_num": n + 1, "order_price": "10.5", "split_total_amount": "10.00"}))
-            if n == 1:
+            if n in (1, 3):
                 out.append(change("order_detail_activity", "insert", t + 3, {
                     "order_detail_id": line, "activity_id": i % 4, "activity_rule_id": 7}))
-            if n == 2:
-                # one in four coupons is too late for the join state
-                late = 1200 if i % 4 == 3 else 5
+            if n in (2, 3):
+                # one in four single coupons is too late for the join state
+                late = 1200 if i % 4 == 3 and n == 2 else 5
                 out.append(change("order_detail_coupon", "insert", t + late, {
                     "order_detail_id": line, "coupon_id": i}))
         changed = {**order, "order_status": status, "operate_time": clock(t + 120)}

@@ -157,22 +157,22 @@ def visits(spark, *seconds, vc="v1"):
 
 
 def test_late_records_correct_a_reported_window(spark, tmp_path):
-    """Thirteen seconds of lateness, then a record is dropped.
+    """Thirteen seconds of lateness in every feed, then a record is dropped.
 
     Spark drops by the watermark of the batch before, so the dropped record
     comes two batches after the one that moved the watermark.
     """
-    path = str(tmp_path / "pages")
-    none = str(tmp_path / "none")
-    visits(spark).write.parquet(none)
+    paths = [str(tmp_path / name) for name in ("pages", "uniques", "jumps")]
     table = KeyedTable(
         str(tmp_path / "t"), s.summary_schema(s.TRAFFIC_KEYS, s.TRAFFIC_METRICS), s.TRAFFIC_KEYS,
         ["cur_date"],
     )
 
     def arrive(*seconds):
-        visits(spark, *seconds).write.mode("append").parquet(path)
-        feeds = [streams.table(spark, p, s.PAGE_VIEW, True) for p in (path, none, none)]
+        # All three feeds are live; a bounce counts ten seconds after its page.
+        for path, shift in zip(paths, (0, 0, 10)):
+            visits(spark, *(n - shift for n in seconds)).write.mode("append").parquet(path)
+        feeds = [streams.table(spark, p, s.PAGE_VIEW, True) for p in paths]
         query = table.upsert(windows.traffic_window(*feeds), trigger={"availableNow": True})
         query.awaitTermination(120)
         assert query.exception() is None
@@ -187,6 +187,29 @@ def test_late_records_correct_a_reported_window(spark, tmp_path):
     assert arrive(29) == {0: 3, 20: 2, 40: 2}  # its window is still open
 
 
+def test_a_gap_in_the_page_feed_keeps_pending_bounces(spark, tmp_path):
+    """Pages jump an hour ahead before the bounces of the time before arrive."""
+    paths = [str(tmp_path / name) for name in ("pages", "uniques", "jumps")]
+    table = KeyedTable(
+        str(tmp_path / "t"), s.summary_schema(s.TRAFFIC_KEYS, s.TRAFFIC_METRICS), s.TRAFFIC_KEYS,
+        ["cur_date"],
+    )
+
+    def arrive(pages, uniques, jumps):
+        for path, seconds in zip(paths, (pages, uniques, jumps)):
+            visits(spark, *seconds).write.mode("append").parquet(path)
+        feeds = [streams.table(spark, p, s.PAGE_VIEW, True) for p in paths]
+        query = table.upsert(windows.traffic_window(*feeds), trigger={"availableNow": True})
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    arrive([1, 5], [1], [])
+    arrive([3601], [3601], [])
+    arrive([3602], [3602], [])
+    arrive([3603], [3603], [1, 5])
+    assert sum(r.uj_ct for r in table.read(spark).collect()) == 2
+
+
 def test_golden_bounce_stream(spark, tmp_path):
     path, out = str(tmp_path / "pages"), str(tmp_path / "out")
 

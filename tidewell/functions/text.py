@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What counts as a word, and as a run of CJK writing
-CJK = r"぀-ヿ㐀-䶿一-鿿가-힯"
-WORD_OR_RUN = rf"([a-z0-9]+|[{CJK}]+)"
+# What counts as a word of any script, and as a run of CJK writing
+WORD = r"[\p{L}\p{M}\p{N}]+"
+CJK = r"぀-ヿ㐀-䶿一-鿿가-힯\x{20000}-\x{3FFFF}"
 
 
 def _pairs(run: Column) -> Column:
@@ -17,11 +17,17 @@ def _pairs(run: Column) -> Column:
 
 
 def keywords(text: Column | str) -> Column:
-    """Words of a text: lower-case ASCII words, CJK runs as character pairs."""
+    """Words of a text: lower-case words of any script, CJK runs as character pairs."""
     lower = F.lower(F.col(text) if isinstance(text, str) else text)
-    parts = F.regexp_extract_all(lower, F.lit(WORD_OR_RUN), F.lit(1))
-    is_run = lambda part: F.ascii(part) > 127
+
+    def words(of: Column) -> Column:
+        return F.regexp_extract_all(of, F.lit(WORD), F.lit(0))
+
+    # A CJK run inside a word stands apart from it.
+    apart = words(F.regexp_replace(lower, f"([{CJK}]+)", " $1 "))
     cut = F.flatten(
-        F.transform(parts, lambda p: F.when(is_run(p), _pairs(p)).otherwise(F.array(p)))
+        F.transform(
+            apart, lambda p: F.when(p.rlike(f"^[{CJK}]"), _pairs(p)).otherwise(F.array(p))
+        )
     )
-    return F.when(lower.rlike(f"[{CJK}]"), cut).otherwise(parts)
+    return F.when(lower.rlike(f"[{CJK}]"), cut).otherwise(words(lower))

@@ -37,6 +37,14 @@ def clean(parsed: DataFrame) -> DataFrame:
     return parsed.where(_is_clean()).drop("value", CORRUPT)
 
 
+def heads(messages: DataFrame) -> DataFrame:
+    """Visitor, flag and time of the clean records, read without the rest of the text."""
+    schema = "common struct<mid:string,is_new:string>, ts bigint, _corrupt string"
+    record = F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = messages.where("value is not null").select("seq", F.inline(F.array(record)))
+    return parsed.where(_is_clean()).drop(CORRUPT)
+
+
 def dirty(parsed: DataFrame) -> DataFrame:
     """The untouched text of every other message."""
     return parsed.where(~_is_clean()).select("value", "seq")

@@ -13,36 +13,38 @@ from pyspark.sql import functions as F
 from tidewell.functions.time import day_of_millis
 
 
-def repair_new_visitors(log: DataFrame) -> DataFrame:
+def repair_new_visitors(log: DataFrame, heads: DataFrame | None = None) -> DataFrame:
     """Correct `common.is_new`.
 
     The first record of a visitor decides: if it says "new", the flag holds for
     records of that day only; if it says "known", the visitor is never new.
     Hence a record keeps the flag exactly when the visitor's first record is
-    flagged and lies on the same day.  Only flagged records can change, so only
-    they are joined; the others pass without a shuffle.
+    flagged and lies on the same day.
+
+    `heads` gives `common.mid`, `common.is_new`, `ts` and `seq` of the same records where
+    they can be had for less than the whole.  The records themselves are read once: those
+    without a flag get keys of their own in the join, which no visitor has, so they spread
+    evenly if it shuffles.
     """
-    flagged = F.col("common.is_new") == "1"
+    heads = log if heads is None else heads
     first = (
-        log.groupBy(F.col("common.mid").alias("_mid"))
+        heads.groupBy(F.col("common.mid").alias("_mid"))
         .agg(F.min(F.struct("ts", "seq", F.col("common.is_new").alias("is_new"))).alias("_first"))
         .where(F.col("_first.is_new") == "1")
-        .select("_mid", day_of_millis("_first.ts").alias("_day"))
+        .select(F.struct("_mid", day_of_millis("_first.ts").alias("_day")).alias("_new"))
+    )
+    flagged = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
+    day = F.when(flagged, day_of_millis("ts")).otherwise(F.date_from_unix_date((-1 - F.abs(F.col("seq")) % 100_000).cast("int")))
+    keyed = log.withColumns({"_visitor": F.when(flagged, F.col("common.mid")).otherwise("\0"), "_on": day})
+    joined = keyed.join(
+        first, (F.col("_visitor") == F.col("_new._mid")) & (F.col("_on") == F.col("_new._day")), "left"
+    )
+    is_new = (
+        F.when(~flagged, F.col("common.is_new")).when(F.col("_new").isNull(), "0").otherwise("1")
     )
-    checked = (
-        log.where(flagged)
-        .join(
-            first,
-            (F.col("common.mid") == F.col("_mid")) & (day_of_millis("ts") == F.col("_day")),
-            "left",
-        )
-        .withColumn(
-            "common",
-            F.col("common").withField("is_new", F.when(F.col("_mid").isNull(), "0").otherwise("1")),
-        )
-        .drop("_mid", "_day")
+    return joined.withColumn("common", F.col("common").withField("is_new", is_new)).drop(
+        "_visitor", "_on", "_new"
     )
-    return log.where(~F.coalesce(flagged, F.lit(False))).unionByName(checked)
 
 
 def first_rows_of_day(rows: DataFrame, key: Column | str, day: Column, *order: str) -> DataFrame:

@@ -39,6 +39,10 @@ class Inputs:
     def pages(self) -> DataFrame:
         return tables.page_views(self.spark, self.folder)
 
+    @property
+    def searched_pages(self) -> DataFrame:
+        return tables.page_views(self.spark, self.folder, items=True)
+
     @property
     def log(self) -> DataFrame:
         return traffic.clean_log(self.messages)
@@ -75,6 +79,12 @@ class Inputs:
     def payments(self) -> DataFrame:
         return trade.payment_detail(self.placed, self.changes, self.dic)
 
+    @property
+    def payers(self) -> DataFrame:
+        """Payments without activity and coupon, which a count of payers never reads."""
+        placed = trade.order_placed(trade.order_wide(self.changes, self.dic, widen=False))
+        return trade.payment_detail(placed, self.changes, self.dic)
+
     @property
     def cart_adds(self) -> DataFrame:
         return trade.cart_add(self.changes, self.dic)
@@ -236,7 +246,7 @@ def queries() -> dict[str, Query]:
     }
     for name, size in SIZES.items():
         named |= {
-            f"keyword_window_{name}": lambda i, z=size: as_text(summary.keyword_window(i.pages, z)),
+            f"keyword_window_{name}": lambda i, z=size: as_text(summary.keyword_window(i.searched_pages, z)),
             f"traffic_window_{name}": lambda i, z=size: as_text(
                 summary.traffic_window(
                     i.pages, traffic.unique_visitors(i.pages), traffic.user_jumps(i.pages), z
@@ -251,7 +261,7 @@ def queries() -> dict[str, Query]:
             f"cart_window_every_add_{name}": lambda i, z=size: as_text(
                 summary.cart_window(i.cart_adds, z, every_add=True)
             ),
-            f"payer_window_{name}": lambda i, z=size: as_text(summary.payer_window(i.payments, z)),
+            f"payer_window_{name}": lambda i, z=size: as_text(summary.payer_window(i.payers, z)),
         }
     named |= _streamed()
     return {name: _query(body) for name, body in named.items()}
@@ -276,6 +286,19 @@ def _streamed() -> dict[str, Callable[[Inputs], DataFrame]]:
         "stream_login_window_1d": lambda i: as_text(replay(i).login_window()),
         "stream_register_window_1d": lambda i: as_text(replay(i).register_window()),
         "stream_cart_window_1d": lambda i: as_text(replay(i).cart_window()),
+        "stream_user_jump_detail_10s": lambda i: _flat(replay(i).user_jumps()),
+        "stream_traffic_window_1d": lambda i: as_text(replay(i).traffic_window()),
+        "stream_cart_add_detail": lambda i: replay(i).cart_add(),
+        "stream_comment_detail": lambda i: replay(i).comment(),
+        **{
+            f"stream_{name}_detail": lambda i, n=name: replay(i).simple(n)
+            for name in ("coupon_get", "coupon_order", "coupon_pay", "favor_add", "user_register")
+        },
+        "stream_order_wide_upserted": lambda i: _settled(replay(i).order_wide_upserted()),
+        "stream_payment_detail": lambda i: _settled(replay(i).payment()),
+        "stream_payer_window_1d": lambda i: as_text(replay(i).payer_window()),
+        "stream_order_refund_detail": lambda i: _settled(replay(i).order_refund()),
+        "stream_refund_payment_detail": lambda i: _settled(replay(i).refund_payment()),
         "stream_dimension_sku": lambda i: dims.dimension_table(
             replay(i).dimensions(), "dim_sku", "p_partkey,p_name,p_brand"
         ),

@@ -52,21 +52,25 @@ def keyword_window(pages: DataFrame, size: str = DEFAULT_SIZE) -> DataFrame:
 # --------------------------------------------------------------------------
 # Traffic by version, channel, area and visitor kind
 # --------------------------------------------------------------------------
-def traffic_measures(pages: DataFrame, uniques: DataFrame, jumps: DataFrame) -> DataFrame:
+def traffic_measures(
+    pages: DataFrame, uniques: DataFrame, jumps: DataFrame, delay: str | None = None
+) -> DataFrame:
     """Unit measures of page views, unique visitors and bounces, one feed.
 
-    Bounces count ten seconds later: they are known only after the limit.
+    Bounces count ten seconds later: they are known only after the limit.  In a stream each
+    feed has a watermark of its own (`delay`), and the slowest holds the windows open.
     """
     dims = [F.col(f"common.{c}").alias(c) for c in ("vc", "ch", "ar", "is_new")]
     names = s.TRAFFIC_METRICS
     time = from_millis("ts")
 
     def unit(rows: DataFrame, at, **ones) -> DataFrame:
-        return rows.select(
+        measures = rows.select(
             at.alias("event_time"),
             *dims,
             *[ones.get(n, F.lit(0)).cast("bigint").alias(n) for n in names],
         )
+        return measures.withWatermark("event_time", delay) if delay else measures
 
     opened = F.when(F.col("page.last_page_id").isNull(), 1).otherwise(0)
     stay = F.coalesce("page.during_time", F.lit(0))

@@ -67,10 +67,14 @@ def order_wide(
     dictionary: DataFrame,
     bound: str | None = None,
     delay: str | None = None,
+    widen: bool = True,
 ) -> DataFrame:
     """One row per order detail and order version, widened by activity, coupon
     and source name.
 
+    Without `widen` the columns of activity and coupon stay null and their changes are not
+    read; these left joins never drop a row.
+
     The dictionary comes first: it drops details with an unknown source before
     anything is shuffled.  Activity and coupon share one partitioning by detail
     id; the orders, which multiply the rows by their versions, come last.
@@ -78,6 +82,27 @@ def order_wide(
     details = lookup(order_details(changes), dictionary, "source_type", "source_type_name")
     details = details.withColumnRenamed("event_time", "od_time")
     orders = order_versions(changes).withColumnRenamed("event_time", "oi_time")
+    if delay:
+        details = details.withWatermark("od_time", delay)
+        orders = orders.withWatermark("oi_time", delay)
+    wide = _promoted(details, changes, bound, delay) if widen else details.withColumns(
+        {c: F.lit(None).cast("string") for c in ("activity_id", "activity_rule_id", "coupon_id")}
+    )
+    wide = bounded_join(
+        wide, orders, F.col("order_id") == F.col("oi_id"), ("od_time", "oi_time"), bound
+    )
+    return (
+        wide.withColumn("date_id", text_date("create_time"))
+        .withColumn("operate_date_id", text_date("operate_time"))
+        .withColumn("row_op_ts", F.current_timestamp())
+        .select(*s.ORDER_WIDE)
+    )
+
+
+def _promoted(
+    details: DataFrame, changes: ch.Feed, bound: str | None, delay: str | None
+) -> DataFrame:
+    """Order details with their activity and coupon, where they have one."""
     activities = ch.columns(
         ch.table(changes, "order_detail_activity", "insert"),
         "activity_id", "activity_rule_id", act_detail=new("order_detail_id"),
@@ -87,25 +112,13 @@ def order_wide(
         "coupon_id", cou_detail=new("order_detail_id"),
     ).withColumnRenamed("event_time", "cou_time").drop("ts")
     if delay:
-        details = details.withWatermark("od_time", delay)
-        orders = orders.withWatermark("oi_time", delay)
         activities = activities.withWatermark("act_time", delay)
         coupons = coupons.withWatermark("cou_time", delay)
-
-    wide = bounded_join(
+    with_activity = bounded_join(
         details, activities, F.col("id") == F.col("act_detail"), ("od_time", "act_time"), bound, "left"
     )
-    wide = bounded_join(
-        wide, coupons, F.col("id") == F.col("cou_detail"), ("od_time", "cou_time"), bound, "left"
-    )
-    wide = bounded_join(
-        wide, orders, F.col("order_id") == F.col("oi_id"), ("od_time", "oi_time"), bound
-    )
-    return (
-        wide.withColumn("date_id", text_date("create_time"))
-        .withColumn("operate_date_id", text_date("operate_time"))
-        .withColumn("row_op_ts", F.current_timestamp())
-        .select(*s.ORDER_WIDE)
+    return bounded_join(
+        with_activity, coupons, F.col("id") == F.col("cou_detail"), ("od_time", "cou_time"), bound, "left"
     )
 
 
@@ -158,15 +171,21 @@ def payment_detail(
     require_success: bool = False,
     bound: str | None = None,
     delay: str | None = None,
+    held_back: str | None = None,
 ) -> DataFrame:
-    """Placed order details with the payment of their order."""
+    """Placed order details with the payment of their order.
+
+    `held_back` is how much later than its time a placed detail may arrive: the upstream
+    join keeps a detail without activity or coupon until its own bound has passed, and the
+    watermark of the details must wait for it.
+    """
     paid = lookup(
         payments(changes, require_success), dictionary, "payment_type_code", "payment_type_name"
     )
     placed = placed.withColumn("od_time", from_seconds("ts")).drop("ts")
     if delay:
         paid = paid.withWatermark("pay_time", delay)
-        placed = placed.withWatermark("od_time", delay)
+        placed = placed.withWatermark("od_time", held_back or delay)
     joined = bounded_join(
         placed, paid, F.col("order_id") == F.col("pay_order"), ("od_time", "pay_time"), bound
     )

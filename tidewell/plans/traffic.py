@@ -10,7 +10,7 @@ from tidewell.operators import logs, state
 
 def clean_log(messages: DataFrame) -> DataFrame:
     """Readable records with corrected new-visitor flags."""
-    return state.repair_new_visitors(logs.clean(logs.parse(messages)))
+    return state.repair_new_visitors(logs.clean(logs.parse(messages)), logs.heads(messages))
 
 
 def unique_visitors(pages: DataFrame) -> DataFrame:

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewell.schemas import DICTIONARY
 
-# A dictionary of at most this many entries is kept as a local relation.
-SMALL = 100_000
-
-
 def from_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(DICTIONARY).format(fmt).load(path)
 
@@ -17,16 +13,3 @@ def from_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 def from_database(spark: SparkSession, url: str, table: str = "base_dic", **options: str) -> DataFrame:
     """Over JDBC; driver class and credentials come as options."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-
-
-def measured(dictionary: DataFrame, most: int = SMALL) -> DataFrame:
-    """Give a dictionary of unknown size (JDBC) a known one.
-
-    At most `most` + 1 rows come to the driver.  A small dictionary returns as a
-    local relation, which Spark may broadcast on its exact size; a larger one
-    stays as it is and is joined by a shuffle.
-    """
-    head = dictionary.limit(most + 1).toArrow()
-    if head.num_rows > most:
-        return dictionary
-    return dictionary.sparkSession.createDataFrame(head)

@@ -7,6 +7,8 @@ Spark from whole tables; what varies per row comes from the row's own columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,11 +82,15 @@ TABLES = {
 }
 
 
-def table(spark: SparkSession, folder: str, name: str, stream: bool = False) -> DataFrame:
+# Another way to get a table by its name, such as a stream of it.
+Reader = Callable[[str], DataFrame]
+
+
+def table(spark: SparkSession, folder: str, name: str, stream: int = 0) -> DataFrame:
+    """A table; with `stream` as a stream of so many files of its folder at a time."""
     if stream:
-        # A stream reads a folder; the filter keeps the other tables out of it.
-        reader = spark.readStream.schema(TABLES[name])
-        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+        reader = spark.readStream.schema(TABLES[name]).option("maxFilesPerTrigger", stream)
+        return reader.parquet(f"{folder}/{name}.parquet")
     return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
@@ -103,9 +109,10 @@ def dim_config_log(spark: SparkSession) -> DataFrame:
 # --------------------------------------------------------------------------
 # Application log
 # --------------------------------------------------------------------------
-def _events(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+def _events(spark: SparkSession, folder: str, read: Reader | None = None) -> DataFrame:
+    events = read("events") if read else table(spark, folder, "events")
     return (
-        table(spark, folder, "events", stream)
+        events
         .withColumn("k", F.regexp_extract("props", "[0-9]+", 0).cast("int"))
         .withColumn("ts", F.col("ts").cast("timestamp"))
     )
@@ -144,14 +151,28 @@ def _last_page_id() -> Column:
     )
 
 
-def page_views(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
-    """Page views, one per event; purchases were found by searching a product."""
-    events = _events(spark, folder, stream).withColumn(
-        "searched", F.when(F.col("event_type") == "purchase", F.col("event_id") % 200)
-    )
-    products = table(spark, folder, "part").select("p_partkey", "p_name")
-    searched = events.join(products, F.col("searched") == F.col("p_partkey"), "left")
-    return searched.select(
+def page_views(
+    spark: SparkSession, folder: str, read: Reader | None = None, items: bool = False
+) -> DataFrame:
+    """Page views, one per event.
+
+    With `items` purchases carry the name of the product whose search led to them; only the
+    keyword summary reads it, so all other queries leave the products alone.
+    """
+    events = _events(spark, folder, read)
+    if items:
+        products = table(spark, folder, "part").select("p_partkey", "p_name")
+        parts = products.agg(F.max("p_partkey") + 1).scalar()
+        # Events without a search get keys that no product has, spread over all tasks.
+        searched = F.when(F.col("event_type") == "purchase", F.col("event_id") % parts).otherwise(
+            -1 - F.abs(F.col("event_id"))
+        )
+        events = events.withColumn("searched", searched).join(
+            products, F.col("searched") == F.col("p_partkey"), "left"
+        )
+    else:
+        events = events.withColumn("p_name", F.lit(None).cast("string"))
+    return events.select(
         _visitor().alias("common"),
         F.struct(
             _page_id().alias("page_id"),
@@ -165,7 +186,7 @@ def page_views(spark: SparkSession, folder: str, stream: bool = False) -> DataFr
     )
 
 
-def log_messages(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+def log_messages(spark: SparkSession, folder: str, read: Reader | None = None) -> DataFrame:
     """The raw log as JSON text.
 
     Views show items, clicks and purchases carry actions, some signups are
@@ -181,7 +202,7 @@ def log_messages(spark: SparkSession, folder: str, stream: bool = False) -> Data
             F.transform(ids, lambda i: F.struct(i.alias(name), F.lit("promotion").alias("type"))),
         )
 
-    events = _events(spark, folder, stream)
+    events = _events(spark, folder, read)
     record = F.struct(
         _visitor().alias("common"),
         F.when(
@@ -371,14 +392,14 @@ def _union(branches: list[DataFrame]) -> DataFrame:
     return log
 
 
-def change_feed(spark: SparkSession, folder: str, stream: bool = False) -> Feed:
+def change_feed(spark: SparkSession, folder: str, read: Reader | None = None) -> Feed:
     """Typed changes of one source table at a time."""
 
     def feed(name: str) -> DataFrame:
         columns = s.SOURCE_COLUMNS[name]
         branches = []
         for source, where, kind, time, seq, data, old in _SHOP_CHANGES[name]:
-            rows = table(spark, folder, source, stream)
+            rows = read(source) if read else table(spark, folder, source)
             rows = rows.selectExpr(*_PREPARED[source]).where(where)
             values, before = _struct(columns, data), _struct(columns, old)
             branches.append(
@@ -389,12 +410,12 @@ def change_feed(spark: SparkSession, folder: str, stream: bool = False) -> Feed:
     return feed
 
 
-def master_change_log(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
+def master_change_log(spark: SparkSession, folder: str, read: Reader | None = None) -> DataFrame:
     """Untyped changes of the master data, as one log."""
     return _union(
         [
             _changes(
-                table(spark, folder, name, stream).where(where), name, kind, str(ts), seq,
+                (read(name) if read else table(spark, folder, name)).where(where), name, kind, str(ts), seq,
                 _map(data), _map(old),
             )
             for name, where, kind, ts, seq, data, old in _MASTER_CHANGES

@@ -29,6 +29,12 @@ ORDER_BOUND = "905 seconds"
 REFUND_BOUND = "5 seconds"
 
 
+def _seconds(interval: str) -> int:
+    """Whole seconds of an interval such as `905 seconds` or `1 day`."""
+    amount, unit = interval.split()
+    return int(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}[unit.rstrip("s")]
+
+
 def _measures(names: list[str]) -> T.StructType:
     return T.StructType(
         [T.StructField("event_time", T.TimestampType())]
@@ -85,6 +91,11 @@ class Warehouse:
     source: dict = field(default_factory=dict)  # options of the raw topics' readers
     kafka: str | None = None  # bootstrap servers, when the raw topics are in Kafka
 
+    def held_back(self, joins: int) -> str:
+        """Delay of rows that came through so many bounded joins, one after another."""
+        bound, slack = _seconds(self.order_bound), _seconds(self.delay)
+        return f"{joins * (bound + slack) + slack} seconds"
+
     # -- folders ----------------------------------------------------------
     def folder(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -199,7 +210,7 @@ def order_cancelled(w: Warehouse) -> StreamingQuery:
 def payment(w: Warehouse) -> StreamingQuery:
     rows = trade.payment_detail(
         w.detail("order_placed"), w.changes, w.dictionary(),
-        bound=w.order_bound, delay=w.delay,
+        bound=w.order_bound, delay=w.delay, held_back=w.held_back(1),
     )
     return w.append("payment", rows)
 
@@ -309,7 +320,7 @@ def cart_measures(w: Warehouse) -> StreamingQuery:
 
 
 def payer_measures(w: Warehouse) -> StreamingQuery:
-    return _measured(w, "payer_window", windows.payer_measures(w.detail("payment"), w.size, w.delay))
+    return _measured(w, "payer_window", windows.payer_measures(w.detail("payment"), w.size, w.held_back(2)))
 
 
 def window_of(name: str):
@@ -317,7 +328,8 @@ def window_of(name: str):
 
     def job(w: Warehouse) -> StreamingQuery:
         rows = w.rows(f"measures/{name}", _measures(MEASURES[name]))
-        return w.upsert(name, windows.measures_window(rows, MEASURES[name], w.size, w.delay))
+        delay = w.held_back(2) if name == "payer_window" else w.delay
+        return w.upsert(name, windows.measures_window(rows, MEASURES[name], w.size, delay))
 
     return job
 

@@ -1,35 +1,44 @@
-"""Run streaming jobs over the input tables, once, to their end.
+"""Run streaming jobs over the input tables, in several micro-batches, to their end.
 
-Used by the named queries `stream_*`: the same tables arrive as a stream, the
-streaming operators process them, and the stored result is returned.
+Used by the named queries `stream_*`: the same tables arrive as streams, cut into slices of
+rising time that come one micro-batch each, the streaming operators process them with state
+carried from batch to batch, and the stored result is returned.  A last record far in the
+future moves the watermarks past everything; results leave it out.
 """
 
 from __future__ import annotations
 
-import tempfile
+import datetime
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewell import schemas as s
 from tidewell.operators import logs
+from tidewell.operators.merge import latest
 from tidewell.plans import tool, trade
 from tidewell.sources import tables
 from tidewell.streaming import jobs, state, windows
 
+SLICES = 4
+TIMES = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
+END = datetime.datetime(2100, 1, 1)
+FLUSH = {
+    "events": (-1, END, -1, "view", 0.0, '{"k": 99}'),
+    "orders": (-1, 0, "P", 0.0, END, ""),
+    "lineitem": (-1, 0, 0, -1, 1.0, 0.0, 0.09, 0.0, "R", "F", END),
+}
+# The test tables have order lines days after their orders, so records meet within years.
+BOUND = "7300 days"
 
-def work_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
 
-    Only a local session without that setting gets a temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="run-")
+def work_folder(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared checkpoint folder, or, where that setting is
+    absent, below the session's warehouse, which executors share as well."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/replay-{uuid.uuid4().hex}"
 
 
 class Replay:
@@ -38,39 +47,90 @@ class Replay:
     def __init__(self, spark: SparkSession, folder: str, size: str = "1 day"):
         self.spark = spark
         self.folder = folder
+        root = work_folder(spark)
+        self.input = f"{root}/tables"
+        self.files: dict[str, int] = {}
         self.w = jobs.Warehouse(
-            spark, work_folder(spark), size=size, trigger={"availableNow": True}
+            spark, root, size=size, order_bound=BOUND, refund_bound=BOUND,
+            trigger={"availableNow": True},
         )
 
+    # -- input ------------------------------------------------------------
+    def _sliced(self, name: str) -> DataFrame:
+        """The table as a stream: one slice of rising time to a micro-batch."""
+        if name not in self.files:
+            rows = tables.table(self.spark, self.folder, name)
+            path = f"{self.input}/{name}.parquet"
+            self.files[name] = rows.rdd.getNumPartitions()
+            if name not in TIMES:
+                rows.write.parquet(path)
+            else:
+                at = F.unix_micros(F.col(TIMES[name]).cast("timestamp"))
+                shares = [i / SLICES for i in range(1, SLICES)]
+                marks = rows.select(at.cast("double").alias("at")).approxQuantile("at", shares, 0.01)
+                for lo, hi in zip([None, *marks], [*marks, None]):
+                    part = rows if lo is None else rows.where(at >= lo)
+                    part = part if hi is None else part.where(at < hi)
+                    part.write.mode("append").parquet(path)
+                last = self.spark.createDataFrame([FLUSH[name]], rows.schema)
+                last.write.mode("append").parquet(path)
+        return tables.table(self.spark, self.input, name, self.files[name])
+
+    def _pages(self, items: bool = False) -> DataFrame:
+        return tables.page_views(self.spark, self.folder, self._sliced, items)
+
+    def _feed(self):
+        return tables.change_feed(self.spark, self.folder, self._sliced)
+
+    # -- running ----------------------------------------------------------
     def _finish(self, query: StreamingQuery) -> None:
         query.awaitTermination()
 
-    def _pages(self) -> DataFrame:
-        return tables.page_views(self.spark, self.folder, stream=True)
-
-    def _feed(self):
-        return tables.change_feed(self.spark, self.folder, stream=True)
+    def _detail(self, name: str, rows: DataFrame) -> DataFrame:
+        self._finish(self.w.append(name, rows))
+        return self.w.detail(name, stream=False)
 
     def _summed(self, name: str, measures: DataFrame) -> DataFrame:
         """Measures to their table, then windows to theirs."""
         self._finish(self.w.append(f"measures/{name}", measures))
         self._finish(jobs.window_of(name)(self.w))
-        return self.w.summary(name).read(self.spark)
+        return self._window(name)
+
+    def _window(self, name: str) -> DataFrame:
+        return self.w.summary(name).read(self.spark).where(F.col("stt") < F.lit(END))
+
+    def _rows(self, name: str) -> DataFrame:
+        return self.w.rows(name, s.PAGE_VIEW, stream=False).where("seq >= 0")
 
+    # -- traffic ----------------------------------------------------------
     def routed_topics(self) -> DataFrame:
-        messages = tables.log_messages(self.spark, self.folder, stream=True)
+        messages = tables.log_messages(self.spark, self.folder, self._sliced)
         routed = logs.route(state.repair_new_visitors(messages))
         self._finish(self.w.append("traffic", routed, ["topic"]))
-        return self.spark.read.schema(s.TOPIC_MESSAGE).parquet(self.w.folder("traffic"))
+        found = self.spark.read.schema(s.TOPIC_MESSAGE).parquet(self.w.folder("traffic"))
+        return found.where("seq >= 0")
 
     def unique_visitors(self) -> DataFrame:
         self._finish(self.w.append("unique_visitor", state.unique_visitors(self._pages())))
-        return self.w.rows("unique_visitor", s.PAGE_VIEW, stream=False)
+        return self._rows("unique_visitor")
+
+    def user_jumps(self) -> DataFrame:
+        self._finish(self.w.append("user_jump", state.bounces(self._pages(), self.w.jump_ms, self.w.delay)))
+        return self._rows("user_jump")
+
+    def traffic_window(self) -> DataFrame:
+        """Pages, unique visitors and bounces as three live feeds."""
+        self.unique_visitors()
+        self.user_jumps()
+        feeds = (self.w.rows(name, s.PAGE_VIEW) for name in ("unique_visitor", "user_jump"))
+        rows = windows.traffic_window(self._pages(), *feeds, self.w.size)
+        self._finish(self.w.upsert("traffic_window", rows))
+        return self._window("traffic_window")
 
     def keyword_window(self) -> DataFrame:
-        rows = windows.keyword_window(self._pages(), self.w.size)
+        rows = windows.keyword_window(self._pages(items=True), self.w.size)
         self._finish(self.w.upsert("keyword_window", rows))
-        return self.w.summary("keyword_window").read(self.spark)
+        return self._window("keyword_window")
 
     def page_window(self) -> DataFrame:
         return self._summed("page_window", windows.page_measures(self._pages()))
@@ -78,6 +138,7 @@ class Replay:
     def login_window(self) -> DataFrame:
         return self._summed("login_window", windows.login_measures(self._pages()))
 
+    # -- trade and users --------------------------------------------------
     def register_window(self) -> DataFrame:
         rows = tool.user_register(self._feed())
         return self._summed("register_window", windows.register_measures(rows))
@@ -86,7 +147,54 @@ class Replay:
         rows = trade.cart_add(self._feed(), tables.base_dic(self.spark))
         return self._summed("cart_window", windows.cart_measures(rows))
 
+    def cart_add(self) -> DataFrame:
+        return self._detail("cart_add", trade.cart_add(self._feed(), tables.base_dic(self.spark)))
+
+    def comment(self) -> DataFrame:
+        return self._detail("comment", tool.comment(self._feed(), tables.base_dic(self.spark)))
+
+    def simple(self, name: str) -> DataFrame:
+        """A detail that only filters and names: coupons, favourites, registrations."""
+        return self._detail(name, getattr(tool, name)(self._feed())).where("id <> '-1'")
+
+    def order_wide(self) -> DataFrame:
+        rows = trade.order_wide(
+            self._feed(), tables.base_dic(self.spark), self.w.order_bound, self.w.delay
+        )
+        return self._detail("order_wide", rows).where("order_id <> '-1'")
+
+    def order_wide_upserted(self) -> DataFrame:
+        return latest(self.order_wide(), ["id"], F.col("oi_ts").cast("bigint"))
+
+    def payment(self) -> DataFrame:
+        self.order_wide()
+        self._finish(jobs.order_placed(self.w))
+        rows = trade.payment_detail(
+            self.w.detail("order_placed"), self._feed(), tables.base_dic(self.spark),
+            bound=self.w.order_bound, delay=self.w.delay, held_back=self.w.held_back(1),
+        )
+        return self._detail("payment", rows).where("order_id <> '-1'")
+
+    def payer_window(self) -> DataFrame:
+        self.payment()
+        self._finish(jobs.payer_measures(self.w))
+        self._finish(jobs.window_of("payer_window")(self.w))
+        return self._window("payer_window")
+
+    def order_refund(self) -> DataFrame:
+        rows = trade.order_refund(
+            self._feed(), tables.base_dic(self.spark), self.w.refund_bound, self.w.delay
+        )
+        return self._detail("order_refund", rows).where("order_id <> '-1'")
+
+    def refund_payment(self) -> DataFrame:
+        rows = trade.refund_payment(
+            self._feed(), tables.base_dic(self.spark), bound=self.w.refund_bound, delay=self.w.delay
+        )
+        return self._detail("refund_payment", rows).where("order_id <> '-1'")
+
+    # -- dimensions -------------------------------------------------------
     def dimensions(self) -> DataFrame:
-        changes = tables.master_change_log(self.spark, self.folder, stream=True)
+        changes = tables.master_change_log(self.spark, self.folder, self._sliced)
         self._finish(jobs.sync_dimensions(self.w, changes, tables.dim_config_log))
         return self.w.dimensions().read(self.spark)

@@ -168,29 +168,39 @@ def unique_visitors(pages: DataFrame, delay: str = IN_ORDER) -> DataFrame:
 def bounces(pages: DataFrame, within_ms: int = 10_000, delay: str = IN_ORDER) -> DataFrame:
     """Session starts left without a second page within `within_ms`.
 
-    The state is the visitor's open session start; an event-time timer at its
-    end emits it when nothing follows.
+    The state is the open session start of a visitor in a time slice; an event-time timer
+    at its end emits it when nothing follows.  As in the batch form the rows in the first
+    `within_ms` of a slice are shown to the slice before, so a visitor with most of the
+    rows is many small groups.
     """
     flat = flatten_pages(pages)
     names = flat.columns
     schema = flat.schema
+    slice_ms = 10 * within_ms
+    home = F.expr(f"ts div {slice_ms}")
+    near_begin = (F.col("ts") - home * slice_ms) < within_ms
+    sliced = flat.withColumns({"event_time": from_millis("ts"), "home": home}).withColumn(
+        "slice", F.explode(F.when(near_begin, F.array(home, home - 1)).otherwise(F.array(home)))
+    )
 
-    def advance(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
+    def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
             open_start = state.get
             state.remove()
             yield pd.DataFrame([open_start], columns=names)
             return
-        rows = pd.concat(list(chunks), ignore_index=True)[names]
+        rows = pd.concat(list(chunks), ignore_index=True)[[*names, "home"]]
         if state.exists:
-            rows = pd.concat([pd.DataFrame([state.get], columns=names), rows])
+            before = pd.DataFrame([(*state.get, key[1])], columns=[*names, "home"])
+            rows = pd.concat([before, rows])
         rows = rows.sort_values(["ts", "seq"], ignore_index=True)
         start = rows["last_page_id"].isna()
+        own = start & (rows["home"] == key[1])
         next_start = start.shift(-1, fill_value=False)
-        alone = start & (next_start | (rows["ts"].shift(-1) >= rows["ts"] + within_ms))
+        alone = own & (next_start | (rows["ts"].shift(-1) >= rows["ts"] + within_ms))
         last = rows.iloc[-1]
         ends = int(last["ts"]) + within_ms
-        if not start.iloc[-1]:
+        if not own.iloc[-1]:
             if state.exists:
                 state.remove()
         elif ends <= state.getCurrentWatermarkMs():
@@ -198,14 +208,13 @@ def bounces(pages: DataFrame, within_ms: int = 10_000, delay: str = IN_ORDER) ->
             if state.exists:
                 state.remove()
         else:
-            state.update(_native(last))
+            state.update(_native(last[names]))
             state.setTimeoutTimestamp(ends)
-        yield rows[alone]
+        yield rows.loc[alone, names]
 
     found = (
-        flat.withColumn("event_time", from_millis("ts"))
-        .withWatermark("event_time", delay)
-        .groupBy("mid")
+        sliced.withWatermark("event_time", delay)
+        .groupBy("mid", "slice")
         .applyInPandasWithState(
             advance, schema, schema, "append", GroupStateTimeout.EventTimeTimeout
         )

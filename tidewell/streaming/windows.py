@@ -36,9 +36,7 @@ def keyword_window(pages: DataFrame, size: str = DEFAULT_SIZE) -> DataFrame:
 def traffic_window(
     pages: DataFrame, uniques: DataFrame, jumps: DataFrame, size: str = DEFAULT_SIZE
 ) -> DataFrame:
-    measures = summary.traffic_measures(pages, uniques, jumps).withWatermark(
-        "event_time", OUT_OF_ORDER_AND_LATE
-    )
+    measures = summary.traffic_measures(pages, uniques, jumps, OUT_OF_ORDER_AND_LATE)
     keys = ["vc", "ch", "ar", "is_new"]
     summed = tumble(measures, "event_time", keys, _sums(s.TRAFFIC_METRICS), size)
     return summed.select(*s.TRAFFIC_KEYS, *s.TRAFFIC_METRICS)
