@@ -277,6 +277,17 @@ SELECT seq, mid, CASE WHEN is_new = '1'
         },
         "cart_add_detail": f"WITH {EVENT_CHANGES} SELECT id, user_id, sku_id, source_id, "
         "source_type_code, source_type_name, sku_num, ts FROM cart_add",
+        "cart_add_messages": f"""WITH {EVENT_CHANGES} SELECT '{{"id":"' || id || '","user_id":"' || user_id
+  || '","sku_id":"' || sku_id || '","source_id":"' || source_id || '","source_type_code":"' || source_type_code
+  || '","source_type_name":"' || source_type_name || '","sku_num":"' || sku_num || '","ts":"' || ts || '"}}' AS value
+FROM cart_add""",
+        "event_time_texts": """
+SELECT event_id, epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d') AS day,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS second, strftime(ts, '%Y%m%d') AS partition,
+  strftime(CAST(ts AS DATE) - 1, '%Y-%m-%d') AS day_before,
+  date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS days,
+  epoch_ms(date_trunc('day', ts)) AS day_ms, epoch_ms(date_trunc('second', ts)) AS second_ms
+FROM events""",
         "order_wide_detail": f"WITH {ORDERS} SELECT * FROM wide",
         "order_wide_upserted": f"WITH {ORDERS} SELECT * EXCLUDE (old_status) FROM wide "
         "QUALIFY row_number() OVER (PARTITION BY id ORDER BY CAST(oi_ts AS BIGINT) DESC) = 1",
@@ -368,6 +379,7 @@ UNION ALL SELECT 'dim_sku', count(*), count(*) * 3 FROM part""",
     }
     for n, size in SIZES.items():
         sql |= _windows(n, size)
+    sql |= {f"{n}_from_messages": sql[f"{n}_detail"] for n in ("cart_add", "coupon_order")}
     return sql | {f"stream_{name}": sql[name] for name in STREAMED}
 
 

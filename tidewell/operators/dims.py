@@ -55,6 +55,17 @@ def sink_schema(sink_columns: str) -> T.StructType:
     return T.StructType([T.StructField(c.strip(), T.StringType()) for c in sink_columns.split(",")])
 
 
+def configured_table(rows: DataFrame, config: DataFrame, sink_table: str) -> DataFrame:
+    """A dimension with the columns that its configuration names (one small row is read).
+
+    A table that is configured but has no rows yet is there, empty.
+    """
+    found = config.where(F.col("sink_table") == sink_table).select("sink_columns").head(1)
+    if not found:
+        raise LookupError(f"no configuration for {sink_table}")
+    return dimension_table(rows, sink_table, found[0]["sink_columns"])
+
+
 def dimension_table(rows: DataFrame, sink_table: str, sink_columns: str) -> DataFrame:
     """One dimension as a plain table, from its upsert rows."""
     schema = sink_schema(sink_columns)

@@ -11,13 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell import schemas as s
+from tidewell.functions import time
 from tidewell.functions.text import keywords
 from tidewell.functions.time import day_of_millis
+from tidewell.operators import changes as ch
 from tidewell.operators.changes import Feed
 from tidewell.operators import dims, joins, logs, merge, state
 from tidewell.operators.windows import as_text
 from tidewell.plans import dim, summary, tool, trade, traffic
 from tidewell.session import tune
+from tidewell.sinks.messages import to_messages
 from tidewell.sources import tables
 from tidewell.streaming.replay import Replay
 
@@ -145,7 +149,38 @@ def _dimension_cells(i: Inputs) -> DataFrame:
 
 def _sku(i: Inputs) -> DataFrame:
     rows = dim.dimension_state(i.master, i.config)
-    return dims.dimension_table(rows, "dim_sku", "p_partkey,p_name,p_brand")
+    return dims.configured_table(rows, dims.current_config(i.config), "dim_sku")
+
+
+def _landed(i: Inputs) -> Feed:
+    """Cart and coupon changes as JSON messages of one topic, read back from their text."""
+    fields = F.struct("database", "table", "type", "data", "old", "ts")
+    texts = [
+        i.changes(name).select(F.to_json(fields).alias("value"), "seq")
+        for name in ("cart_info", "coupon_use")
+    ]
+    return ch.feed(ch.parse(texts[0].unionByName(texts[1]), s.TYPED_CHANGE))
+
+
+def _time_texts(i: Inputs) -> DataFrame:
+    """Dates and times as text and back, yesterday, and days since a fixed day."""
+    events = tables.table(i.spark, i.folder, "events")
+    ms = events.select("event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    texts = ms.select(
+        "event_id",
+        "ms",
+        time.date_text("ms").alias("day"),
+        time.date_time_text("ms").alias("second"),
+        time.partition_date_text("ms").alias("partition"),
+        time.yesterday("ms").cast("string").alias("day_before"),
+        time.days_between(day_of_millis("ms"), F.to_date(F.lit("2024-01-01"))).alias("days"),
+    )
+    return texts.withColumns(
+        {
+            "day_ms": time.millis_of_text("day"),
+            "second_ms": time.millis_of_text("second", with_time=True),
+        }
+    )
 
 
 def _dimension_sizes(i: Inputs) -> DataFrame:
@@ -204,6 +239,10 @@ def queries() -> dict[str, Query]:
         },
         # Trade layer
         "cart_add_detail": lambda i: i.cart_adds,
+        "cart_add_from_messages": lambda i: trade.cart_add(_landed(i), i.dic),
+        "coupon_order_from_messages": lambda i: tool.coupon_order(_landed(i)),
+        "cart_add_messages": lambda i: to_messages(i.cart_adds, s.CART_ADD),
+        "event_time_texts": _time_texts,
         "order_wide_detail": lambda i: i.wide.withColumn(
             "old_status", F.col("old")["order_status"]
         ).drop("old", "row_op_ts"),
@@ -299,7 +338,7 @@ def _streamed() -> dict[str, Callable[[Inputs], DataFrame]]:
         "stream_payer_window_1d": lambda i: as_text(replay(i).payer_window()),
         "stream_order_refund_detail": lambda i: _settled(replay(i).order_refund()),
         "stream_refund_payment_detail": lambda i: _settled(replay(i).refund_payment()),
-        "stream_dimension_sku": lambda i: dims.dimension_table(
-            replay(i).dimensions(), "dim_sku", "p_partkey,p_name,p_brand"
+        "stream_dimension_sku": lambda i: dims.configured_table(
+            replay(i).dimensions(), dims.current_config(i.config), "dim_sku"
         ),
     }

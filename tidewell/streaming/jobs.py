@@ -146,8 +146,10 @@ class Warehouse:
             version=["version"],
         )
 
-    def dimension(self, sink_table: str, sink_columns: str) -> DataFrame:
-        return dims.dimension_table(self.dimensions().read(self.spark), sink_table, sink_columns)
+    def dimension(self, sink_table: str) -> DataFrame:
+        """A dimension with the columns its configuration names."""
+        config = dims.current_config(streams.config_changes(self.spark, self.folder("table_process")))
+        return dims.configured_table(self.dimensions().read(self.spark), config, sink_table)
 
     # -- writers ----------------------------------------------------------
     def append(self, name: str, rows: DataFrame, partition_by: list[str] | None = None):
