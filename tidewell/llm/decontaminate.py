@@ -67,7 +67,8 @@ def matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
     places = windows.select("w", F.size("words").alias("size"), F.posexplode("words").alias("off", "term"))
     terms = places.select("term").distinct()
 
-    counts = postings(docs).join(terms, "term").groupBy("term").agg(F.count("*").alias("n"))
+    # Summed in each task before anything is shuffled or joined, so a frequent word is no hot key.
+    counts = postings(docs).groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
     rare = Window.partitionBy("w").orderBy("n", "term", "off")
     ranked = (
         places.join(counts, "term", "left")

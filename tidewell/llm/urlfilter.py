@@ -19,13 +19,15 @@ other columns stay. Empty tables give empty results, no rules give the default v
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import UPPER, partitions
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+#: Top labels with rules that are broadcast (a few MB); beyond them pages meet them in a shuffle
+#: that adaptive execution splits.
+MAX_LABELS = 100_000
 OUTPUTS = ("host", "path", "rule", "verdict")
 
 
@@ -106,6 +108,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", url:
     whole = sizes.agg(F.sum("count")).scalar()
     share = F.greatest(F.lit(1), F.ceil(whole / (4 * partitions(spark))))
     plan = sizes.join(ruled, "label").select("label", F.ceil(F.col("count") / share).cast("long").alias("slices"))
+    if ruled.count() <= MAX_LABELS:
+        # One row per top label with rules: small enough to spare the pages an exchange by label.
+        plan = F.broadcast(plan)
     slices = F.coalesce(F.col("slices"), F.lit(1 << 40))
     dealt = judged.join(plan, "label", "left").select(
         "label",
