@@ -6,6 +6,8 @@ written to a folder that only one machine sees.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,10 +42,23 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Fewer rows in an Arrow batch while a job runs: whole texts may be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written once as a table in the shared folder and read back: its lineage ends there."""
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -83,7 +98,15 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1
             hi = max(lo + 1, int(np.searchsorted(sizes, base + limit, "right")))
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo)
             lo = hi
-    pa.default_memory_pool().release_unused()  # workers live on and share the executor's memory
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on and share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def gathered(parts: Iterator[tuple[np.ndarray, ...]], limit: int) -> Iterator[list[np.ndarray]]:

@@ -40,13 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import TABLE, ByteHash, mix
-from .common import partitions, stored, text_batches, text_bytes
+from .common import gathered, give_back, partitions, stored, text_batches, text_bytes
 from .components import connected
-from .rows import numbered, slices_of, without
+from .rows import bit_map, doubtful, marked, numbered, slices_of, without
 
 SHINGLE, PERCENT = 5, 75
 GROUP = 128
-BUCKET_BYTES = 16 << 20
+#: Text bytes behind one bucket of shingles, and shingles a task sends together.
+BUCKET_BYTES, SEND = 4 << 20, 1 << 19
 #: A shingle in this share of the documents of a slice, and of half this share of all, is hot.
 HOT_SHARE = 0.01
 QUERIES = 512
@@ -148,32 +149,37 @@ def classes(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     return table, np.sort(hot.to_numpy(np.int64).view(np.uint64))
 
 
-def shared_shingles(docs: DataFrame, hot: np.ndarray, size: int, percent: int) -> DataFrame:
+def shared_shingles(docs: DataFrame, copies: DataFrame, hot: np.ndarray, size: int, percent: int) -> DataFrame:
     """Stored (d, n, k, lead, t) of the classes that have enough shared shingles to link.
 
     t: shared shingles, rarest first; lead: how many of them lead; k: the least shingle hash.
+    `copies` (d) are the documents of `docs` that a class is not named by; they are left out.
     """
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(partitions(spark), -(-total // BUCKET_BYTES))
+    words = bit_map(copies)
 
-    def send(source):
+    def sets(source):
         for batch, texts in text_batches(source, "text"):
             d = batch.column(0).to_numpy(zero_copy_only=False)
             doc, value = shingle_sets(*text_bytes(texts), size)
-            n = np.bincount(doc, minlength=len(d))
+            yield value, d[doc], d, np.bincount(doc, minlength=len(d))
+
+    def send(source):
+        for value, d, nd, nn in gathered(sets(source), SEND):
             is_hot = np.isin(value, hot)
             out: dict[int, dict[str, bytes]] = {}
-            home = (mix(d.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
             def deal(bucket, out=out, **columns):
                 order = np.argsort(bucket, kind="stable")
                 for b, at in zip(*slices_of(bucket[order]), strict=True):
-                    out.setdefault(b, {}).update({c: x[order][at].tobytes() for c, x in columns.items()})
+                    out.setdefault(b, {}).update({c: x[order[at]].tobytes() for c, x in columns.items()})
 
-            deal((value[~is_hot] % np.uint64(buckets)).astype(np.int64), t=value[~is_hot], d=d[doc[~is_hot]])
-            deal(home, nd=d, nn=n)
-            deal(home[doc[is_hot]], ht=value[is_hot], hd=d[doc[is_hot]])
+            deal((value[~is_hot] % np.uint64(buckets)).astype(np.int64), t=value[~is_hot], d=d[~is_hot])
+            deal((mix(nd.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64), nd=nd, nn=nn)
+            home = (mix(d[is_hot].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            deal(home, ht=value[is_hot], hd=d[is_hot])
             names = ("t", "d", "nd", "nn", "ht", "hd")
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(out), pa.int32())]
@@ -181,10 +187,14 @@ def shared_shingles(docs: DataFrame, hot: np.ndarray, size: int, percent: int) -
                 ["bucket", *names],
             )
 
+    def send_unmarked(source):
+        yield from send(marked(source, words, False))
+
     def column(table, name, kind):
         return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
     def count(table):
+        give_back()
         t, d = column(table, "t", "<u8"), column(table, "d", "<i8")
         order = np.argsort(t, kind="stable")
         t, d = t[order], d[order]
@@ -210,6 +220,7 @@ def shared_shingles(docs: DataFrame, hot: np.ndarray, size: int, percent: int) -
         return pa.table({c: pa.array([r[i] for r in rows], kinds[i]) for i, c in enumerate(names)})
 
     def gather(table):
+        give_back()
         nd, nn = column(table, "nd", "<i8"), column(table, "nn", "<i8")
         t, d, f = column(table, "t", "<u8"), column(table, "d", "<i8"), column(table, "f", "<u4")
         order = np.lexsort((t, f, d))
@@ -231,7 +242,8 @@ def shared_shingles(docs: DataFrame, hot: np.ndarray, size: int, percent: int) -
         return pa.table({c: pa.array(x, kinds[c]) for c, x in got.items()})
 
     binary = "t binary, d binary, nd binary, nn binary, ht binary, hd binary"
-    sent = docs.select("d", "text").mapInArrow(send, f"bucket int, {binary}")
+    schema = f"bucket int, {binary}"
+    sent = docs.mapInArrow(send_unmarked, schema).unionByName(doubtful(docs, copies, words).mapInArrow(send, schema))
     counted = sent.groupBy("bucket").applyInArrow(
         count, "home int, t binary, d binary, f binary, nd binary, nn binary"
     )
@@ -286,7 +298,8 @@ def open_groups(percent: int):
     """Compare queries with the groups whose token union lets them reach the threshold."""
 
     def across(members, queries):
-        m_ids, m_n = members["d"].to_numpy(), members["n"].to_numpy()
+        give_back()
+        m_ids, m_n, m_component = (members[c].to_numpy() for c in ("d", "n", "component"))
         sets = [np.frombuffer(x, "<u8") for x in members["t"].to_pylist()]
         edges = []
         if len(sets) and queries.num_rows:
@@ -304,8 +317,10 @@ def open_groups(percent: int):
                 size = begin[at + 1] - begin[at]
                 places = np.arange(size.sum()) + np.repeat(begin[at] - np.cumsum(size) + size, size)
                 inter = np.bincount(owner[places], minlength=len(sets))
-                for j in np.flatnonzero(links(inter, n, m_n, percent) & (m_ids != q)):
-                    edges.append((q, int(m_ids[j])))
+                # One link to each component of the group says all.
+                linked = np.flatnonzero(links(inter, n, m_n, percent) & (m_ids != q))
+                _, first = np.unique(m_component[linked], return_index=True)
+                edges += [(q, int(m_ids[j])) for j in linked[first]]
         return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
 
     return across
@@ -337,12 +352,16 @@ def cross_links(
     linked classes, `members` (g, d, n, t) of the groups to open.
     """
     tokens = matrix.join(component, "d", "left").withColumn("component", F.coalesce("component", "d"))
-    several = (
-        tokens.groupBy("t")
-        .agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        .where("x <> y")
-        .select("t")
+    # Shingles of one passage are led by the same classes: of those with equal lists of
+    # classes (128-bit signature and length) one stands for all.
+    lists = tokens.groupBy("t").agg(
+        F.min("component").alias("x"),
+        F.max("component").alias("y"),
+        F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("d")).alias("h1"),
+        F.bit_xor(F.xxhash64("d", F.lit(1))).alias("h2"),
     )
+    several = lists.where("x <> y").groupBy("size", "h1", "h2").agg(F.min("t").alias("t")).select("t")
     tokens = stored(tokens.join(several, "t", "left_semi"), "matrix")
     unions = tokens.groupBy("t", "g", F.col("component").alias("other")).agg(
         F.min("n").alias("least"), F.max("n").alias("most")
@@ -359,8 +378,9 @@ def cross_links(
     asked = asked.join(shared.select("d", "n", "t"), "d").select(
         "g", "slot", F.col("d").alias("q"), F.col("n").alias("q_n"), F.col("t").alias("q_t")
     )
-    offered = members.join(slots, "g").select(
-        "d", "n", "t", "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot")
+    placed = members.join(slots, "g").join(component, "d", "left")
+    offered = placed.select(
+        "d", "n", "t", F.coalesce("component", "d").alias("component"), "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot")
     )
     return (
         offered.groupBy("g", "slot").cogroup(asked.groupBy("g", "slot")).applyInArrow(open_groups(percent), EDGES)
@@ -400,30 +420,33 @@ def class_components(shared: DataFrame, percent: int) -> DataFrame:
         F.col("d").alias("g"), "d", "n", "t"
     )
     first_links = stored(cross_links(shared, by_component, component, firsts, percent), "links")
-    component = connected(inside.unionByName(first_links))
+    component = connected(stars(component).unionByName(first_links))
 
     # Second pass: all groups.
     group = F.xxhash64("k", "chunk").alias("g")
     by_group = lead.join(placed.select("d", group), "d")
     members = placed.select(group, "d", "n", "t")
     rest = stored(cross_links(shared, by_group, component, members, percent), "links")
-    return connected(inside.unionByName(first_links).unionByName(rest))
+    return connected(stars(component).unionByName(rest))
+
+
+def stars(component: DataFrame) -> DataFrame:
+    """The components so far as edges, one for each class."""
+    return component.where("d <> component").select(F.col("d").alias("a"), F.col("component").alias("b"))
 
 
 def with_components(rows: DataFrame, unique: bool, size: int, percent: int) -> DataFrame:
     """(d, n_shingles, component): for each d of `rows` (d, text) the smallest d of its component."""
-    texts = rows.select("d", F.coalesce("text", F.lit("")).alias("text"))
-    table, hot = classes(texts if unique else texts.dropDuplicates(["d"]), size)
+    texts = rows.select("d", "text")
+    texts = texts if unique else texts.dropDuplicates(["d"])
+    table, hot = classes(texts, size)
     named = (
         table.where("digest is not null").groupBy("digest").agg(F.min("d").alias("first"), F.count("*").alias("copies"))
     )
     copies = stored(
         table.join(named.where("copies > 1"), "digest").where("d <> first").select("d", "first"), "copies"
     )
-    singles = without(texts, copies)
-    if not unique:
-        singles = singles.dropDuplicates(["d"])
-    shared = shared_shingles(singles, hot, size, percent)
+    shared = shared_shingles(texts, copies, hot, size, percent)
     component = class_components(shared, percent).select(F.col("d").alias("first"), "component")
     found = (
         table.select("d", F.col("n").alias("n_shingles"))

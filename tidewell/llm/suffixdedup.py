@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import ByteHash, least_ahead, mix
-from .common import gathered, partitions, stored, text_batches, text_bytes
+from .common import gathered, give_back, partitions, stored, text_batches, text_bytes
 from .rows import bit_map, marked, numbered, only, slices_of
 
 LENGTH, GRAM = 100, 32
@@ -215,6 +215,7 @@ def repeated_strings(
             )
 
     def fold(table):
+        give_back()
         from pyspark import TaskContext
 
         bucket = table["bucket"][0].as_py()
@@ -280,6 +281,7 @@ def repeated_strings(
             )
 
     def repeats(table):
+        give_back()
         h, d, s, gd, gs = (
             np.frombuffer(b"".join(table[x].to_pylist()), t)
             for x, t in (("h", "<u8"), ("d", "<i8"), ("s", "<u4"), ("gd", "<i8"), ("gs", "<u4"))
