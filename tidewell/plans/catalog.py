@@ -20,7 +20,7 @@ from tidewell.operators.changes import Feed
 from tidewell.operators import dims, joins, logs, merge, state
 from tidewell.operators.windows import as_text
 from tidewell.plans import dim, summary, tool, trade, traffic
-from tidewell.session import tune
+from tidewell.session import tuned
 from tidewell.sinks.messages import to_messages
 from tidewell.sources import tables
 from tidewell.streaming.replay import Replay
@@ -35,8 +35,7 @@ class Inputs:
     """The warehouse's inputs over one folder of tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        tune(spark, time_zone="UTC")
-        self.spark = spark
+        self.spark = tuned(spark, "UTC")
         self.folder = folder
 
     @property

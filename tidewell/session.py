@@ -40,6 +40,14 @@ def tune(spark: SparkSession, time_zone: str | None = None) -> SparkSession:
     return spark
 
 
+def tuned(spark: SparkSession, time_zone: str) -> SparkSession:
+    """A session beside the caller's with the runtime settings; the caller's stays as it is."""
+    beside = spark.newSession()
+    for key in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold"):
+        beside.conf.set(key, spark.conf.get(key))
+    return tune(beside, time_zone)
+
+
 def build_session(app: str = "tidewell", time_zone: str = "Asia/Shanghai", **conf: str) -> SparkSession:
     """Start (or reuse) a session with the warehouse's settings."""
     builder = SparkSession.builder.appName(app)
