@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tidewell.llm import counts, packing, tokenfiles
 from tidewell.llm.tokens import PieceEncoder, tokenizer_path
 
-ODD = ["", "a", "  A b\tc\n", "e\u0301 \u0301x é", "don't we'll 'sé", "<|endoftext|> x<|startoftext|>y", "\x1cq\x85r\xa0s", "Σίσυφοσ ΣΑΣ", "x" * 5000, "日本 語\u3000字"]
+ODD = ["", "a", "  A b\tc\n", "e\u0301 \u0301x é", "don't we'll 'sé", "<|endoftext|> x<|startoftext|>y", "\x1cq\x85r\xa0s", "Σίσυφοσ ΣΑΣ", "x" * 5000, "日本 語\u3000字", "It's a1b2.c'd 'S. e\u0301x.y É.É x\u2014.y '.' (Q)a. <|EndOfText|>", "A'RE'll.'s x.'t \u212a.K"]
 
 
 @pytest.fixture(scope="module")

@@ -1,21 +1,29 @@
 """Encoding of whole texts with a public tokenizer, white-space piece by white-space piece.
 
 The tokenizer drops white space and none of its rules looks across ASCII white space, so a
-text's ids are those of its pieces one after another. Each worker keeps the ids of pieces
-it has met (at most CACHE of them), which makes encoding a table look-up.
+text's ids are those of its pieces one after another. It lowers all letters itself, and a
+run of letters always ends before an ASCII character that is no letter, so A-Z are lowered
+and a space is put there beforehand: fewer pieces differ. (Not in texts with `<|`, where a
+special token could be meant.) Each worker keeps the ids of pieces it has met, which makes
+encoding a table look-up; of more than CACHE those met once are forgotten, with equal ids.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 from itertools import chain
 
 import numpy as np
 
-#: Pieces a worker remembers; beyond it the memory starts anew, with the same ids.
-CACHE = 200_000
+#: Pieces a worker remembers.
+CACHE = 800_000
+#: A letter and what always begins a new token (an apostrophe may belong to the letters).
+LETTER_END = re.compile(rb"([a-z])([^a-z'\s\x80-\xff])")
+#: Unknown pieces encoded in one call.
+TOGETHER = 2000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -24,6 +32,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def pieces_of(data: bytes) -> list[bytes]:
+    if b"<|" in data:
+        return data.split()
+    return LETTER_END.sub(rb"\1 \2", data.lower()).split()
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -31,34 +45,58 @@ class PieceEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.forget()
-
-    def forget(self) -> None:
         self.index: dict[bytes, int] = {}
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
+        self.hits = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    def forget(self) -> None:
+        """Keep the pieces met more than once, or none if they are too many."""
+        kept = np.flatnonzero(self.hits > 1)
+        kept = kept if 2 * len(kept) <= CACHE else kept[:0]
+        names = list(self.index)
+        self.pool = self.pool[self.source(kept)]
+        self.size = self.size[kept]
+        self.begin = np.cumsum(self.size) - self.size
+        self.hits = np.zeros(len(kept), np.int64)
+        self.index = {names[k]: i for i, k in enumerate(kept.tolist())}
+
+    def source(self, at: np.ndarray) -> np.ndarray:
+        """Where in the pool the ids of the pieces `at` stand, one piece after another."""
+        size = self.size[at]
+        ends = np.cumsum(size)
+        return np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[at] - ends + size, size)
+
     def learn(self, pieces: list[bytes]) -> None:
-        made = self.tokenizer.encode_batch([p.decode() for p in pieces], add_special_tokens=False)
-        ids = [m.ids for m in made]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        ids, sizes = [], []
+        for lo in range(0, len(pieces), TOGETHER):
+            # One call for many pieces; where a token begins tells whose it is.
+            words = [p.decode() for p in pieces[lo : lo + TOGETHER]]
+            made = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            first = np.cumsum([0, *(len(w) + 1 for w in words)])
+            begins = np.fromiter((a for a, _ in made.offsets), np.int64, len(made.ids))
+            ids.append(np.array(made.ids, np.uint32))
+            sizes.append(np.bincount(np.searchsorted(first, begins, "right") - 1, minlength=len(words)))
+        size = np.concatenate(sizes)
         self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
+        self.hits = np.concatenate([self.hits, np.zeros(len(size), np.int64)])
+        self.pool = np.concatenate([self.pool, *ids])
         self.index.update(zip(pieces, range(len(self.index), len(self.index) + len(pieces)), strict=True))
 
     def places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Where the pieces' ids are kept, and the number of pieces of each text."""
-        pieces = [t.encode().split() for t in texts]
+        pieces = [pieces_of(t.encode()) for t in texts]
         flat = list(chain.from_iterable(pieces))
         missing = set(flat).difference(self.index)
         if missing and len(self.index) + len(missing) > CACHE:
             self.forget()
-            missing = set(flat)
+            missing = set(flat).difference(self.index)
         if missing:
             self.learn(sorted(missing))
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        self.hits += np.bincount(at, minlength=len(self.hits))
         return at, np.fromiter(map(len, pieces), np.int64, len(pieces))
 
     def counts(self, texts: list[str]) -> np.ndarray:
@@ -70,12 +108,9 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has."""
         at, pieces = self.places(texts)
-        size = self.size[at]
-        ends = np.cumsum(size)
-        source = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[at] - ends + size, size)
-        total = np.concatenate([[0], ends])
+        total = np.concatenate([[0], np.cumsum(self.size[at])])
         last = np.cumsum(pieces)
-        return self.pool[source], total[last] - total[last - pieces]
+        return self.pool[self.source(at)], total[last] - total[last - pieces]
 
 
 def encoder(path: str) -> PieceEncoder:
