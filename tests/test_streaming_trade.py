@@ -229,3 +229,48 @@ def test_dimensions(spark, warehouse, messages):
     region = warehouse.dimension("dim_region", "r_regionkey,r_name").collect()
     assert [tuple(r) for r in region] == [("1", "it's")]
     assert warehouse.dimension("dim_supplier", "s_suppkey").count() == 0
+
+
+def test_lines_that_upstream_joins_held_back_are_paid(spark, dictionary, tmp_path):
+    """Lines with neither, one and both partners in small parts: none comes too late for its
+    payment, also when `order_wide` runs no batch without data between the parts."""
+    bound, out = "60 seconds", []
+    for i in range(50):
+        t = START + 5 * i
+        out.append(change("order_info", "insert", t, {"id": i, "user_id": i, "order_status": "1001"}))
+        out.append(change("order_detail", "insert", t, {
+            "id": i, "order_id": i, "sku_id": 1, "create_time": clock(t), "source_type": "2401", "sku_num": 1}))
+        if i % 4 in (1, 3):
+            out.append(change("order_detail_activity", "insert", t + 1, {"order_detail_id": i, "activity_id": 1}))
+        if i % 4 in (2, 3):
+            out.append(change("order_detail_coupon", "insert", t + 1, {"order_detail_id": i, "coupon_id": 1}))
+        out.append(change("payment_info", "insert", t + 30, {
+            "user_id": i, "order_id": i, "payment_type": "1101", "callback_time": clock(t + 30)}))
+    parts = [[c for c in out if (int(c["ts"]) - START) // 50 == n] for n in range(6)]
+    far = START + 10_000_000
+    parts.append([
+        change("order_info", "insert", far, {"id": "flush"}),
+        change("order_detail", "insert", far, {"id": "flush", "order_id": "flush", "source_type": "2401"}),
+        change("order_detail_activity", "insert", far, {"order_detail_id": "flush"}),
+        change("order_detail_coupon", "insert", far, {"order_detail_id": "flush"}),
+    ])
+    w = jobs.Warehouse(
+        spark, str(tmp_path), size="1 minute", order_bound=bound, trigger={"availableNow": True}
+    )
+    dictionary.write.parquet(w.folder("base_dic"))
+    idle = "spark.sql.streaming.noDataMicroBatches.enabled"
+    for n, part in enumerate(parts):
+        rows = [(json.dumps(c), 1000 * n + k) for k, c in enumerate(part)]
+        spark.createDataFrame(rows, s.MESSAGE).coalesce(1).write.mode("append").parquet(w.folder("topic_db"))
+        for name in ("changes", "order_wide", "order_placed", "payment", "payer_measures", "payer_window"):
+            spark.conf.set(idle, str(name != "order_wide" or part is parts[-1]).lower())
+            try:
+                query = jobs.JOBS[name](w)
+                query.awaitTermination(240)
+            finally:
+                spark.conf.unset(idle)
+            assert query.exception() is None, name
+    paid = stored(w, "payment")
+    assert sorted(int(r[0]) for r in paid.select("order_detail_id").collect()) == list(range(50))
+    want = summary.payer_window(paid, "1 minute")
+    same(as_text(w.summary("payer_window").read(spark)), as_text(want))

@@ -175,9 +175,9 @@ def payment_detail(
 ) -> DataFrame:
     """Placed order details with the payment of their order.
 
-    `held_back` is how much later than its time a placed detail may arrive: the upstream
-    join keeps a detail without activity or coupon until its own bound has passed, and the
-    watermark of the details must wait for it.
+    `held_back` is how much later than its time a placed detail may arrive: each of the two
+    upstream left joins keeps a detail without activity or coupon until its own bound has
+    passed, one after the other, and the watermark of the details must wait for both.
     """
     paid = lookup(
         payments(changes, require_success), dictionary, "payment_type_code", "payment_type_name"

@@ -27,6 +27,8 @@ from tidewell.streaming import state, windows
 
 ORDER_BOUND = "905 seconds"
 REFUND_BOUND = "5 seconds"
+#: Left joins of `order_wide`, activity and coupon, that hold a line back one after another.
+PROMOTED = 2
 
 
 def _seconds(interval: str) -> int:
@@ -87,14 +89,20 @@ class Warehouse:
     # How late a record may come: Spark keeps one watermark per query, so this
     # must cover the disorder between the partitions of a topic.
     delay: str = "10 seconds"
+    # How far event time may go on in one micro-batch: what a join upstream releases comes
+    # one batch late. More only keeps state of chained joins longer.
+    span: str = "1 hour"
     trigger: dict = field(default_factory=lambda: {"processingTime": "3 seconds"})
     source: dict = field(default_factory=dict)  # options of the raw topics' readers
     kafka: str | None = None  # bootstrap servers, when the raw topics are in Kafka
 
     def held_back(self, joins: int) -> str:
-        """Delay of rows that came through so many bounded joins, one after another."""
+        """Delay of rows that came through so many bounded joins, one after another.
+
+        Each left join of a chain counts: its watermark is one bound behind the one before.
+        """
         bound, slack = _seconds(self.order_bound), _seconds(self.delay)
-        return f"{joins * (bound + slack) + slack} seconds"
+        return f"{joins * (bound + slack) + slack + _seconds(self.span)} seconds"
 
     # -- folders ----------------------------------------------------------
     def folder(self, name: str) -> str:
@@ -212,7 +220,7 @@ def order_cancelled(w: Warehouse) -> StreamingQuery:
 def payment(w: Warehouse) -> StreamingQuery:
     rows = trade.payment_detail(
         w.detail("order_placed"), w.changes, w.dictionary(),
-        bound=w.order_bound, delay=w.delay, held_back=w.held_back(1),
+        bound=w.order_bound, delay=w.delay, held_back=w.held_back(PROMOTED),
     )
     return w.append("payment", rows)
 
@@ -322,7 +330,7 @@ def cart_measures(w: Warehouse) -> StreamingQuery:
 
 
 def payer_measures(w: Warehouse) -> StreamingQuery:
-    return _measured(w, "payer_window", windows.payer_measures(w.detail("payment"), w.size, w.held_back(2)))
+    return _measured(w, "payer_window", windows.payer_measures(w.detail("payment"), w.size, w.held_back(PROMOTED + 1)))
 
 
 def window_of(name: str):
@@ -330,7 +338,7 @@ def window_of(name: str):
 
     def job(w: Warehouse) -> StreamingQuery:
         rows = w.rows(f"measures/{name}", _measures(MEASURES[name]))
-        delay = w.held_back(2) if name == "payer_window" else w.delay
+        delay = w.held_back(PROMOTED + 1) if name == "payer_window" else w.delay
         return w.upsert(name, windows.measures_window(rows, MEASURES[name], w.size, delay))
 
     return job

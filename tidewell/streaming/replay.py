@@ -171,7 +171,7 @@ class Replay:
         self._finish(jobs.order_placed(self.w))
         rows = trade.payment_detail(
             self.w.detail("order_placed"), self._feed(), tables.base_dic(self.spark),
-            bound=self.w.order_bound, delay=self.w.delay, held_back=self.w.held_back(1),
+            bound=self.w.order_bound, delay=self.w.delay, held_back=self.w.held_back(jobs.PROMOTED),
         )
         return self._detail("payment", rows).where("order_id <> '-1'")
 
