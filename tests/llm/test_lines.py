@@ -55,3 +55,13 @@ def test_repeated_rows_null_ids_clashing_columns_and_empty(spark):
     # Twelve equal rows are one document, with the other null id there are two: not above 3.
     assert {r["kept"] for r in got.where("doc_id = 1").collect()} == {True}
     assert lines.filter_lines(df.limit(0)).count() == 0
+
+
+def test_lines_above_the_limit_are_taken_out_of_the_text(spark):
+    rows = [(i, "h", f"Own {i}\r\n\n MENU  Home \nx\tx\n\nown {i} b\nmenu home") for i in range(5)]
+    rows += [(5, "g", "menu home\nmine"), (6, "h", "menu home"), (7, "h", None), (8, "h", ""), (6, "h", "menu home")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = lines.filter_lines(df, max_documents=4).collect()
+    want = {i: f"Own {i}\r\n\n\nown {i} b" for i in range(5)}
+    want |= {5: "menu home\nmine", 6: "", 7: None, 8: ""}
+    assert len(got) == 10 and all(r["kept_text"] == want[r["doc_id"]] for r in got)

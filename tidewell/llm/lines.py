@@ -1,8 +1,8 @@
 """Quality rules: counts of one text, and lines that many documents of a host repeat.
 
 Lines are lower-cased, their white space is made single, and they are hashed. Distinct
-documents are counted for each host and line; lines above the limit are taken out, and a
-document of which too little is left is rejected. All of it is DataFrame functions: the
+documents are counted for each host and line; lines above the limit are taken out
+(kept_text is what is left), and a document of which too little is left is rejected. All of it is DataFrame functions: the
 counts of one text stay inside its row, the line counts are partial sums before the
 shuffle, and the join of lines with frequent lines is an equi-join that adaptive execution
 can split where one line holds a third of all rows.
@@ -107,7 +107,8 @@ def filter_lines(
     max_documents: int = MAX_DOCUMENTS,
     min_share: float = MIN_SHARE,
 ) -> DataFrame:
-    """`docs` with the base counts, n_common_words (words in lines above the limit), kept."""
+    """`docs` with the base counts, n_common_words (words in lines above the limit), kept, and
+    kept_text: the text without these lines, all other lines as they were."""
     key = [F.coalesce(F.col(id_column), F.lit(-1)).alias("_k1"), F.xxhash64(id_column, host, text).alias("_k2")]
     counted = base_counts(docs.select("*", *key), text)
     lines = line_rows(docs, text, host, key)
@@ -115,16 +116,25 @@ def filter_lines(
     once = lines.groupBy("_k1", "_k2", "_pos").agg(
         F.first("_host").alias("_host"), F.first("_line").alias("_line"), F.first("_n").alias("_n")
     )
-    per_document = once.groupBy("_k1", "_k2", "_host", "_line").agg(F.sum("_n").alias("_n"))
+    per_document = once.groupBy("_k1", "_k2", "_host", "_line").agg(
+        F.sum("_n").alias("_n"), F.collect_list("_pos").alias("_at")
+    )
     frequent = (
         per_document.groupBy("_host", "_line").agg(F.count("*").alias("_docs")).where(F.col("_docs") > max_documents)
     )
     common = (
         per_document.join(frequent, ["_host", "_line"], "left_semi")
         .groupBy("_k1", "_k2")
-        .agg(F.sum("_n").alias("n_common_words"))
+        .agg(F.sum("_n").alias("n_common_words"), F.flatten(F.collect_list("_at")).alias("_at"))
     )
     joined = counted.join(common, ["_k1", "_k2"], "left")
     removed = F.coalesce(F.col("n_common_words"), F.lit(0).cast("long"))
     kept = ~F.col("base_failed") & (F.col("n_words") - removed >= min_share * F.col("n_words"))
-    return joined.withColumns({"n_common_words": removed, "kept": kept}).drop("_k1", "_k2")
+    # A column of its own: the lambda below must not split the text for each line.
+    split = joined.withColumn("_split", F.split(text, "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), "_at")
+    rest = F.array_join(F.transform(left, lambda i: F.get("_split", i)), "\n")
+    kept_text = F.when(F.col("_at").isNull(), F.col(text)).otherwise(rest)
+    return split.withColumns({"n_common_words": removed, "kept": kept, "kept_text": kept_text}).drop(
+        "_k1", "_k2", "_at", "_split"
+    )
