@@ -86,3 +86,31 @@ def test_batches_and_an_index_that_goes_on_give_the_same(spark, docs, tmp_path,
     second = sd.repeated_strings(new, batches=batches, index=folder, indexed=old)
     assert covered(first) | covered(second) == covered(whole)
     assert covered(whole)
+
+
+def test_an_index_goes_on_with_batches_of_other_sizes(spark, docs, tmp_path, monkeypatch):
+    """The first run has many buckets, the later ones would have fewer by their own size."""
+    base = docs.where("doc_id < 120").select("doc_id", "text")
+    want = result(sd.deduplicate(base, keep_text=False))
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 4096)
+    folder, got, start = f"file://{tmp_path}/index", {}, 0
+    for end in (90, 100, 120):
+        new, old = base.where(f"doc_id >= {start} and doc_id < {end}"), base.where(f"doc_id < {start}")
+        got |= result(sd.deduplicate(new, keep_text=False, index=folder, indexed=old))
+        start = end
+    assert got == want and any(got[i][1] for i in range(90, 120) if i in got)
+    # The last run once more from where it began, and not from its own entries.
+    again = sd.deduplicate(
+        base.where("doc_id >= 100"), keep_text=False, index=folder, indexed=base.where("doc_id < 100"), version=2
+    )
+    assert result(again) == {i: x for i, x in want.items() if i >= 100}
+    with pytest.raises(ValueError):
+        sd.deduplicate(base, index=folder, indexed=base)
+
+
+def test_a_repeated_task_does_not_meet_its_own_entries(spark, docs, tmp_path, monkeypatch):
+    base = docs.where("doc_id < 60").selectExpr("doc_id as d", "coalesce(text, '') as text")
+    want = sorted(map(tuple, sd.repeated_strings(base).collect()))
+    monkeypatch.setattr(sd, "stored", lambda df, name, to=sd.stored: (df.collect(), to(df, name))[1])
+    got = sd.repeated_strings(base, index=f"file://{tmp_path}/index")  # each task runs twice
+    assert sorted(map(tuple, got.collect())) == want

@@ -14,7 +14,8 @@ documents. A batch is sorted into a suffix array by (k, c) and merge-scanned aga
 levels of the family: a context that is there already, or earlier in the batch, is a long
 match and all its bytes go. New contexts become the smallest level, and levels of similar
 size merge, so an entry is rewritten a logarithmic number of times. `index` keeps the levels
-of a bucket as a file, and a later run with more (higher) doc ids goes on from it.
+of a bucket as a file, and a later run with more (higher) doc ids goes on from it, with the
+number of buckets of the first run.
 
 Edges. Contexts that differ but have the same k agree in part: at ends of passages and
 around edits. Only for these, single windows are hashed (64 bits) and the first of each
@@ -33,6 +34,8 @@ text. Input columns named like an output are replaced. An empty table gives an e
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -147,10 +150,37 @@ def dedup_bucket(rows: np.ndarray, family: Family, batches: int) -> tuple[np.nda
     return np.concatenate([none, *gone]), np.concatenate([none, *edges])
 
 
-def load_family(folder: str | None, bucket: int) -> Family:
-    if folder:
-        files, root = pyarrow.fs.FileSystem.from_uri(folder)
-        path = f"{root}/bucket-{bucket:06d}.npy"
+def index_version(index: str) -> int:
+    """The newest version of an index folder, 0 where there is none yet."""
+    files, root = pyarrow.fs.FileSystem.from_uri(index)
+    found = files.get_file_info(pyarrow.fs.FileSelector(root, allow_not_found=True))
+    names = [x.base_name for x in found]
+    return max((int(x[9:15]) for x in names if x.startswith("manifest-") and x.endswith(".json")), default=0)
+
+
+def read_manifest(index: str, version: int) -> dict | None:
+    """What a version was made with (buckets, length, gram) and its folders of levels, newest last."""
+    if not version:
+        return None
+    files, root = pyarrow.fs.FileSystem.from_uri(index)
+    with files.open_input_stream(f"{root}/manifest-{version:06d}.json") as f:
+        return json.loads(f.read())
+
+
+def write_manifest(index: str, manifest: dict) -> None:
+    files, root = pyarrow.fs.FileSystem.from_uri(index)
+    files.create_dir(root, recursive=True)
+    path = f"{root}/manifest-{index_version(index) + 1:06d}.json"
+    with files.open_output_stream(f"{path}.new") as f:
+        f.write(json.dumps(manifest).encode())
+    files.move(f"{path}.new", path)
+
+
+def load_family(index: str, folders: list[str], bucket: int) -> Family:
+    """The levels of a bucket from the newest of the folders that has it."""
+    files, root = pyarrow.fs.FileSystem.from_uri(index)
+    for folder in reversed(folders):
+        path = f"{root}/{folder}/bucket-{bucket:06d}.npy"
         if files.get_file_info(path).type == pyarrow.fs.FileType.File:
             with files.open_input_stream(path) as f:
                 rows = np.frombuffer(f.read(), ENTRY).copy()
@@ -159,10 +189,13 @@ def load_family(folder: str | None, bucket: int) -> Family:
     return Family([])
 
 
-def save_family(folder: str, bucket: int, family: Family, attempt: int) -> None:
-    files, root = pyarrow.fs.FileSystem.from_uri(folder)
-    files.create_dir(root, recursive=True)
-    path = f"{root}/bucket-{bucket:06d}.npy"
+def save_family(index: str, folder: str, bucket: int, family: Family, attempt: int) -> None:
+    """The levels of a bucket as a file; what an earlier attempt of the task left stays."""
+    files, root = pyarrow.fs.FileSystem.from_uri(index)
+    files.create_dir(f"{root}/{folder}", recursive=True)
+    path = f"{root}/{folder}/bucket-{bucket:06d}.npy"
+    if files.get_file_info(path).type == pyarrow.fs.FileType.File:
+        return
     mark = np.zeros(1, ENTRY)
     mark["d"] = np.iinfo(np.int64).max
     with files.open_output_stream(f"{path}.{attempt}") as f:
@@ -178,15 +211,27 @@ def repeated_strings(
     batches: int = BATCHES,
     index: str | None = None,
     indexed: DataFrame | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """(d, a, b): stretches of bytes to remove, stored. `docs` has d and text, each d once.
 
     `index` is a folder for the levels; a run that goes on from it gives the documents that
-    are in it as `indexed` (d, text), and all numbers of `docs` must be above theirs.
+    are in it as `indexed` (d, text), and all numbers of `docs` must be above theirs. The
+    number of buckets is that of the first run. A run reads the levels of `version` (the
+    newest if None) and writes its own to a new folder, which counts as a version once all
+    stretches are stored; so a repeated task never meets its own entries. To repeat a whole
+    run, give the version that it went on from.
     """
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(partitions(spark), -(-size // BUCKET_BYTES))
+    folders, folder = [], f"levels-{uuid.uuid4().hex}"
+    if index:
+        before = read_manifest(index, index_version(index) if version is None else version)
+        if before:
+            if (before["length"], before["gram"]) != (length, gram):
+                raise ValueError(f"the index has length {before['length']} and gram {before['gram']}")
+            buckets, folders = before["buckets"], before["folders"]
 
     def sample(source):
         for batch, texts in text_batches(source, "text"):
@@ -225,10 +270,10 @@ def repeated_strings(
         rows = np.zeros(len(joined["z"]), ENTRY)
         for x in ("z", "y", "n", "d", "lo"):
             rows[x] = joined[x]
-        family = load_family(index, bucket)
+        family = load_family(index, folders, bucket) if index else Family([])
         gone, edges = dedup_bucket(rows, family, batches)
         if index:
-            save_family(index, bucket, family, TaskContext.get().taskAttemptId())
+            save_family(index, folder, bucket, family, TaskContext.get().taskAttemptId())
         d = np.concatenate([joined["gd"], gone["d"], edges["d"]])
         a = np.concatenate([joined["glo"], gone["lo"], edges["lo"]]).astype(np.int64)
         b = a + np.concatenate([joined["gn"], gone["n"], edges["n"]]).astype(np.int64) + length
@@ -302,7 +347,12 @@ def repeated_strings(
         windows, "bucket int, h binary, d binary, s binary, gd binary, gs binary"
     )
     single = sent.groupBy("bucket").applyInArrow(repeats, "d long, a long, b long")
-    return stored(found.where("not edge").select("d", "a", "b").unionByName(single), "stretches")
+    stretches = stored(found.where("not edge").select("d", "a", "b").unionByName(single), "stretches")
+    if index:
+        write_manifest(
+            index, {"buckets": buckets, "length": length, "gram": gram, "folders": [*folders, folder]}
+        )
+    return stretches
 
 
 def columns_of(rows: np.ndarray) -> tuple[bytes, ...]:
@@ -337,10 +387,17 @@ def deduplicate(
     text: str = "text",
     id_column: str = "doc_id",
     keep_text: bool = True,
+    index: str | None = None,
+    indexed: DataFrame | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """`docs` with n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes), and, if
     `keep_text`, kept: the remaining bytes as text, without characters that a cut has split.
-    The text itself is not returned."""
+    The text itself is not returned.
+
+    With `index`, `indexed` and `version` (see repeated_strings) the documents come after all
+    those of earlier runs, given as `indexed` with the same id and text columns. Then ids must
+    be unique whole numbers, not null, and above those of `indexed`."""
     base = docs.select(
         F.struct(*[c for c in docs.columns if c != text and c not in OUTPUTS]).alias("row"),
         F.col(id_column).alias("_doc"),
@@ -348,8 +405,17 @@ def deduplicate(
     )
     rows, unique = numbered(base, "text", "_doc")
     rows = rows.drop("_doc")
+    if index and not unique:
+        raise ValueError("an index needs ids that are unique and not null")
+    if indexed is not None:
+        if not index:
+            raise ValueError("indexed is given without an index")
+        indexed = indexed.select(F.col(id_column).cast("long").alias("d"), F.col(text).alias("text"))
+        last, first = indexed.agg(F.max("d")).head()[0], rows.agg(F.min("d")).head()[0]
+        if None not in (last, first) and first <= last:
+            raise ValueError("ids must be above those of the index")
     texts = rows.select("d", "text")
-    stretches = repeated_strings(texts if unique else texts.dropDuplicates(["d"]), length)
+    stretches = repeated_strings(texts if unique else texts.dropDuplicates(["d"]), length, index=index, indexed=indexed, version=version)
     lists = stored(stretches.groupBy("d").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
     words = bit_map(lists)
 
