@@ -35,9 +35,14 @@ BOUND = "7300 days"
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder, or, where that setting is
-    absent, below the session's warehouse, which executors share as well."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder below the cluster's shared checkpoint folder.
+
+    Only a session of one machine may lack that setting; it gets a folder below its warehouse.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/replay-{uuid.uuid4().hex}"
 
 
@@ -69,8 +74,9 @@ class Replay:
                 shares = [i / SLICES for i in range(1, SLICES)]
                 marks = rows.select(at.cast("double").alias("at")).approxQuantile("at", shares, 0.01)
                 for lo, hi in zip([None, *marks], [*marks, None]):
+                    # Rows without a time come with the first slice.
                     part = rows if lo is None else rows.where(at >= lo)
-                    part = part if hi is None else part.where(at < hi)
+                    part = part if hi is None else part.where((at < hi) | (at.isNull() if lo is None else F.lit(False)))
                     part.write.mode("append").parquet(path)
                 last = self.spark.createDataFrame([FLUSH[name]], rows.schema)
                 last.write.mode("append").parquet(path)
@@ -155,7 +161,8 @@ class Replay:
 
     def simple(self, name: str) -> DataFrame:
         """A detail that only filters and names: coupons, favourites, registrations."""
-        return self._detail(name, getattr(tool, name)(self._feed())).where("id <> '-1'")
+        key = jobs.DETAILS[name][0]
+        return self._detail(name, getattr(tool, name)(self._feed())).where(F.col(key) != "-1")
 
     def order_wide(self) -> DataFrame:
         rows = trade.order_wide(
