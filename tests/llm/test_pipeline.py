@@ -81,7 +81,7 @@ def test_executors_need_no_package(tmp_path):
 import sys
 sys.path.insert(0, {str(entry.__file__.rpartition('/')[0])!r})
 from pyspark.sql import SparkSession
-spark = SparkSession.builder.master("local-cluster[1,1,1024]").config("spark.ui.enabled", "false").getOrCreate()
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
 from tidewell.llm import counts
 df = spark.createDataFrame([("a b",), (None,)], "text string")
 print("ROWS", sorted(map(tuple, counts.histogram(df).collect())))

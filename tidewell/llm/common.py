@@ -27,9 +27,11 @@ WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset, as in tests, one of our own."""
+    """The folder in spark.checkpoint.dir; only a session of one machine may do without it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    if not path and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not path:
         path = context.getCheckpointDir() or tempfile.mkdtemp(prefix="tidewell-")
     if context.getCheckpointDir() is None:
