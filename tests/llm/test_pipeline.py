@@ -71,7 +71,7 @@ def test_query_equals_its_sql(spark, sf, name):
 def test_all_are_registered():
     found = entry.queries()
     assert "pipeline" in found
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in found) == 1
 
 
