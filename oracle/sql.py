@@ -264,6 +264,29 @@ def oracle_sql() -> dict[str, str]:
   UNION ALL SELECT 'dwd_traffic_action_log', seq FROM acted
   UNION ALL SELECT 'dwd_traffic_page_log', seq FROM log WHERE NOT is_start)
 SELECT topic, seq, count(*) AS n FROM routed GROUP BY topic, seq""",
+        "log_routed_messages": f"""WITH {LOG}, texts AS (
+  SELECT *, '"common":{{"mid":"' || mid || '"' || coalesce(',"uid":"' || uid || '"', '') || ',"vc":"' || vc
+      || '","ch":"' || ch || '","ar":"' || ar || '","is_new":"' || is_new || '"}}' AS common,
+    CASE WHEN NOT is_start THEN ',"page":{{"page_id":"' || page_id || '"'
+      || coalesce(',"last_page_id":"' || last_page_id || '"', '') || ',"during_time":' || during_time || '}}' ELSE '' END AS page,
+    CASE WHEN is_start THEN ',"start":{{"entry":"icon","loading_time":' || k || '}}' ELSE '' END AS start,
+    CASE WHEN event_type = 'view' AND k % 4 > 0 THEN ',"displays":[' || array_to_string(list_transform(
+      range(1, k % 4 + 1), lambda i: '{{"item":' || i || ',"type":"promotion"}}'), ',') || ']' ELSE '' END AS displays,
+    CASE WHEN event_type IN ('click', 'purchase') AND k % 3 > 0 THEN ',"actions":[' || array_to_string(list_transform(
+      range(1, k % 3 + 1), lambda i: '{{"action_id":' || i || ',"type":"promotion"}}'), ',') || ']' ELSE '' END AS actions,
+    ',"ts":' || ts || '}}' AS stamp
+  FROM log)
+SELECT 'dwd_traffic_error_log' AS topic, seq,
+  '{{' || common || page || start || displays || actions || ',"err":{{"error_code":' || k || '}}' || stamp AS value
+FROM texts WHERE event_type = 'error' OR (is_start AND k < 10)
+UNION ALL SELECT 'dwd_traffic_start_log', seq, '{{' || common || page || start || displays || actions || stamp
+FROM texts WHERE is_start
+UNION ALL SELECT 'dwd_traffic_display_log', seq, '{{"display":{{"item":' || unnest(range(1, k % 4 + 1))
+  || ',"type":"promotion"}},' || common || page || stamp FROM texts WHERE NOT is_start AND event_type = 'view'
+UNION ALL SELECT 'dwd_traffic_action_log', seq, '{{"action":{{"action_id":' || unnest(range(1, k % 3 + 1))
+  || ',"type":"promotion"}},' || common || page || '}}' FROM texts
+  WHERE NOT is_start AND event_type IN ('click', 'purchase')
+UNION ALL SELECT 'dwd_traffic_page_log', seq, '{{' || common || page || stamp FROM texts WHERE NOT is_start""",
         "visitor_flag_repair": f"""WITH {PAGES}, marked AS (
   SELECT *, first_value(is_new) OVER o AS first_new, first_value(d) OVER o AS first_d
   FROM page_log WINDOW o AS (PARTITION BY mid ORDER BY ts, seq))
@@ -379,8 +402,11 @@ UNION ALL SELECT 'dim_sku', count(*), count(*) * 3 FROM part""",
     }
     for n, size in SIZES.items():
         sql |= _windows(n, size)
+    sql["payment_upserted"] = f"""SELECT * FROM ({sql["payment_detail"]})
+QUALIFY row_number() OVER (PARTITION BY order_detail_id ORDER BY CAST(ts AS BIGINT) DESC) = 1"""
     sql |= {f"{n}_from_messages": sql[f"{n}_detail"] for n in ("cart_add", "coupon_order")}
-    return sql | {f"stream_{name}": sql[name] for name in STREAMED}
+    streamed = {f"stream_{name}": sql[name] for name in STREAMED}
+    return sql | streamed | {"stream_payer_window_changes": sql["payer_window_1d"]}
 
 
 # Results that the streaming operators give as well.
@@ -390,7 +416,9 @@ STREAMED = [
     "user_jump_detail_10s", "traffic_window_1d", "cart_add_detail", "comment_detail",
     "coupon_get_detail", "coupon_order_detail", "coupon_pay_detail", "favor_add_detail",
     "user_register_detail", "order_wide_upserted", "payment_detail", "payer_window_1d",
-    "order_refund_detail", "refund_payment_detail",
+    "order_refund_detail", "refund_payment_detail", "log_routed_messages", "log_dirty",
+    "order_placed_detail", "order_cancel_detail", "payment_upserted", "payment_order_within_905s",
+    "aggregate_key_merge",
 ]
 
 

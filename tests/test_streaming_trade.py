@@ -17,7 +17,7 @@ CHAIN = [
     "changes", "dimensions", "cart_add", "order_wide", "order_placed", "order_cancelled", "payment",
     "order_refund", "refund_payment", "coupon_get", "coupon_order", "coupon_pay", "favor_add",
     "comment", "user_register", "register_measures", "register_window", "cart_measures",
-    "cart_window", "payer_measures", "payer_window",
+    "cart_window", "payer_measures", "payer_window", "order_wide_keyed", "payment_keyed",
 ]
 
 

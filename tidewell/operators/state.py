@@ -31,8 +31,14 @@ def repair_new_visitors(log: DataFrame, heads: DataFrame | None = None) -> DataF
         heads.groupBy(F.col("common.mid").alias("_mid"))
         .agg(F.min(F.struct("ts", "seq", F.col("common.is_new").alias("is_new"))).alias("_first"))
         .where(F.col("_first.is_new") == "1")
-        .select(F.struct("_mid", day_of_millis("_first.ts").alias("_day")).alias("_new"))
+        .select("_mid", day_of_millis("_first.ts").alias("_day"))
     )
+    return keep_flags(log, first)
+
+
+def keep_flags(log: DataFrame, first: DataFrame) -> DataFrame:
+    """`log` with the new-visitor flag only on the days `first` (_mid, _day) names."""
+    first = first.select(F.struct("_mid", "_day").alias("_new"))
     flagged = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
     day = F.when(flagged, day_of_millis("ts")).otherwise(F.date_from_unix_date((-1 - F.abs(F.col("seq")) % 100_000).cast("int")))
     keyed = log.withColumns({"_visitor": F.when(flagged, F.col("common.mid")).otherwise("\0"), "_on": day})

@@ -119,8 +119,8 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     return words.groupBy("keyword").agg(F.count("*").alias("keyword_count"))
 
 
-def _event_days(i: Inputs) -> DataFrame:
-    events = tables.table(i.spark, i.folder, "events")
+def _event_days(i: Inputs, events: DataFrame | None = None) -> DataFrame:
+    events = tables.table(i.spark, i.folder, "events") if events is None else events
     return events.select(
         "user_id", "event_type", "event_id",
         F.date_format("ts", "yyyy-MM-dd").alias("day"),
@@ -189,10 +189,22 @@ def _dimension_sizes(i: Inputs) -> DataFrame:
     )
 
 
+DAY_KEYS = ["user_id", "day", "event_type"]
+DAY_RULES = {"last_visit": "replace", "cost": "sum", "max_dwell": "max", "min_dwell": "min"}
+
+
+def _dwells(days: DataFrame) -> DataFrame:
+    return days.withColumns({"max_dwell": F.col("cost"), "min_dwell": F.col("cost")})
+
+
 def _merged_days(i: Inputs) -> DataFrame:
-    rows = _event_days(i).withColumns({"max_dwell": F.col("cost"), "min_dwell": F.col("cost")})
-    rules = {"last_visit": "replace", "cost": "sum", "max_dwell": "max", "min_dwell": "min"}
-    return merge.aggregate_key_merge(rows, ["user_id", "day", "event_type"], rules, "event_id")
+    return merge.aggregate_key_merge(_dwells(_event_days(i)), DAY_KEYS, DAY_RULES, "event_id")
+
+
+def _merged_stream(i: Inputs, replay: Replay) -> DataFrame:
+    """The same rules in a keyed table fed by several micro-batches, each of them repeated."""
+    rows = _dwells(_event_days(i, replay.sliced("events")))
+    return replay.merged(rows, DAY_KEYS, {**DAY_RULES, "event_id": "max"}).where("user_id >= 0").drop("event_id")
 
 
 def _login_days(i: Inputs) -> DataFrame:
@@ -226,6 +238,7 @@ def queries() -> dict[str, Query]:
         "log_routed_topics": lambda i: logs.route(i.log)
         .groupBy("topic", "seq")
         .agg(F.count("*").alias("n")),
+        "log_routed_messages": lambda i: logs.route(i.log),
         "visitor_flag_repair": lambda i: state.repair_new_visitors(i.pages).select(
             "seq", "common.mid", "common.is_new"
         ),
@@ -251,6 +264,9 @@ def queries() -> dict[str, Query]:
         "order_placed_detail": lambda i: _settled(i.placed),
         "order_cancel_detail": lambda i: _settled(trade.order_cancelled(i.wide)),
         "payment_detail": lambda i: _settled(i.payments),
+        "payment_upserted": lambda i: _settled(
+            merge.latest(i.payments, ["order_detail_id"], F.col("ts").cast("bigint"))
+        ),
         "payment_order_within_905s": lambda i: _paid_near_update(i, "905 seconds"),
         "payment_order_within_5s": lambda i: _paid_near_update(i, "5 seconds"),
         "order_refund_detail": lambda i: _settled(
@@ -311,32 +327,49 @@ def _streamed() -> dict[str, Callable[[Inputs], DataFrame]]:
     def replay(i: Inputs) -> Replay:
         return Replay(i.spark, i.folder)
 
+    def measured(*names: str):
+        return lambda i: as_text(replay(i).window(*names))
+
+    def detail(*names: str):
+        return lambda i: _settled(replay(i).detail(*names))
+
+    placed = ("order_wide", "order_placed")
     return {
         "stream_log_routed_topics": lambda i: replay(i)
         .routed_topics()
         .groupBy("topic", "seq")
         .agg(F.count("*").alias("n")),
+        "stream_log_routed_messages": lambda i: replay(i).routed_topics(),
+        "stream_log_dirty": lambda i: replay(i).dirty(),
         "stream_unique_visitor_detail": lambda i: _flat(
-            replay(i).unique_visitors(), "page.during_time"
+            replay(i).visits("unique_visitor"), "page.during_time"
+        ),
+        "stream_user_jump_detail_10s": lambda i: _flat(replay(i).visits("user_jump")),
+        "stream_traffic_window_1d": measured("unique_visitor", "user_jump", "traffic_window"),
+        "stream_keyword_window_1d": measured("keyword_window"),
+        "stream_page_window_1d": measured("page_measures", "page_window"),
+        "stream_login_window_1d": measured("login_measures", "login_window"),
+        "stream_register_window_1d": measured("user_register", "register_measures", "register_window"),
+        "stream_cart_window_1d": measured("cart_add", "cart_measures", "cart_window"),
+        "stream_payer_window_1d": measured(*placed, "payment", "payer_measures", "payer_window"),
+        "stream_payer_window_changes": lambda i: as_text(
+            replay(i).summed_changes(*placed, "payment", "payer_measures", "payer_window")
         ),
-        "stream_keyword_window_1d": lambda i: as_text(replay(i).keyword_window()),
-        "stream_page_window_1d": lambda i: as_text(replay(i).page_window()),
-        "stream_login_window_1d": lambda i: as_text(replay(i).login_window()),
-        "stream_register_window_1d": lambda i: as_text(replay(i).register_window()),
-        "stream_cart_window_1d": lambda i: as_text(replay(i).cart_window()),
-        "stream_user_jump_detail_10s": lambda i: _flat(replay(i).user_jumps()),
-        "stream_traffic_window_1d": lambda i: as_text(replay(i).traffic_window()),
-        "stream_cart_add_detail": lambda i: replay(i).cart_add(),
-        "stream_comment_detail": lambda i: replay(i).comment(),
+        "stream_cart_add_detail": detail("cart_add"),
+        "stream_comment_detail": detail("comment"),
         **{
-            f"stream_{name}_detail": lambda i, n=name: replay(i).simple(n)
+            f"stream_{name}_detail": detail(name)
             for name in ("coupon_get", "coupon_order", "coupon_pay", "favor_add", "user_register")
         },
-        "stream_order_wide_upserted": lambda i: _settled(replay(i).order_wide_upserted()),
-        "stream_payment_detail": lambda i: _settled(replay(i).payment()),
-        "stream_payer_window_1d": lambda i: as_text(replay(i).payer_window()),
-        "stream_order_refund_detail": lambda i: _settled(replay(i).order_refund()),
-        "stream_refund_payment_detail": lambda i: _settled(replay(i).refund_payment()),
+        "stream_order_placed_detail": detail(*placed),
+        "stream_order_cancel_detail": detail("order_wide", "order_cancelled"),
+        "stream_order_wide_upserted": lambda i: _settled(replay(i).upserted("order_wide")),
+        "stream_payment_detail": detail(*placed, "payment"),
+        "stream_payment_upserted": lambda i: _settled(replay(i).upserted("payment", *placed)),
+        "stream_payment_order_within_905s": lambda i: replay(i).paid_near_update("905 seconds"),
+        "stream_order_refund_detail": detail("order_refund"),
+        "stream_refund_payment_detail": detail("refund_payment"),
+        "stream_aggregate_key_merge": lambda i: _merged_stream(i, replay(i)),
         "stream_dimension_sku": lambda i: dims.configured_table(
             replay(i).dimensions(), dims.current_config(i.config), "dim_sku"
         ),

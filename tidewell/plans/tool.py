@@ -46,7 +46,7 @@ def favor_add(changes: ch.Feed) -> DataFrame:
     ).select(*s.FAVOR_ADD)
 
 
-def comment(changes: ch.Feed, dictionary: DataFrame) -> DataFrame:
+def comment(changes: ch.Feed, dictionary: DataFrame | None) -> DataFrame:
     """Comments with the name of their grade."""
     rows = ch.columns(
         ch.table(changes, "comment_info", "insert"),

@@ -23,10 +23,10 @@ from tidewell.functions.changes import (
 )
 from tidewell.functions.time import from_seconds, text_date
 from tidewell.operators import changes as ch
-from tidewell.operators.joins import bounded_join, lookup
+from tidewell.operators.joins import bounded_join, keyed_join, lookup
 
 
-def cart_add(changes: ch.Feed, dictionary: DataFrame) -> DataFrame:
+def cart_add(changes: ch.Feed, dictionary: DataFrame | None) -> DataFrame:
     """Quantity added to carts: new lines and raised quantities."""
     carts = ch.columns(
         ch.table(changes, "cart_info").where(has_added("sku_num")),
@@ -64,7 +64,7 @@ def order_versions(changes: ch.Feed) -> DataFrame:
 
 def order_wide(
     changes: ch.Feed,
-    dictionary: DataFrame,
+    dictionary: DataFrame | None,
     bound: str | None = None,
     delay: str | None = None,
     widen: bool = True,
@@ -167,28 +167,22 @@ def payments(changes: ch.Feed, require_success: bool = False) -> DataFrame:
 def payment_detail(
     placed: DataFrame,
     changes: ch.Feed,
-    dictionary: DataFrame,
+    dictionary: DataFrame | None,
     require_success: bool = False,
     bound: str | None = None,
-    delay: str | None = None,
-    held_back: str | None = None,
+    join=keyed_join,
 ) -> DataFrame:
     """Placed order details with the payment of their order.
 
-    `held_back` is how much later than its time a placed detail may arrive: each of the two
-    upstream left joins keeps a detail without activity or coupon until its own bound has
-    passed, one after the other, and the watermark of the details must wait for both.
+    In streams `join` is `streaming.meet.stateful_join`: placed details come late and out of
+    order, as the joins upstream release them.
     """
     paid = lookup(
         payments(changes, require_success), dictionary, "payment_type_code", "payment_type_name"
     )
-    placed = placed.withColumn("od_time", from_seconds("ts")).drop("ts")
-    if delay:
-        paid = paid.withWatermark("pay_time", delay)
-        placed = placed.withWatermark("od_time", held_back or delay)
-    joined = bounded_join(
-        placed, paid, F.col("order_id") == F.col("pay_order"), ("od_time", "pay_time"), bound
-    )
+    wanted = [c for c in s.ORDER_PLACED if c in s.PAYMENT or c in ("id", "split_total_amount", "ts")]
+    placed = placed.select(*wanted).withColumn("od_time", from_seconds("ts")).drop("ts")
+    joined = join(placed, paid, ("order_id", "pay_order"), ("od_time", "pay_time"), bound)
     return joined.withColumnsRenamed(
         {"id": "order_detail_id", "split_total_amount": "split_payment_amount", "pay_ts": "ts"}
     ).select(*s.PAYMENT)
@@ -196,7 +190,7 @@ def payment_detail(
 
 def order_refund(
     changes: ch.Feed,
-    dictionary: DataFrame,
+    dictionary: DataFrame | None,
     bound: str | None = None,
     delay: str | None = None,
 ) -> DataFrame:
@@ -231,7 +225,7 @@ def order_refund(
 
 def refund_payment(
     changes: ch.Feed,
-    dictionary: DataFrame,
+    dictionary: DataFrame | None,
     strict: bool = False,
     bound: str | None = None,
     delay: str | None = None,

@@ -6,6 +6,7 @@ that starts one streaming query with a checkpoint of its own.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -17,24 +18,19 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewell import schemas as s
 from tidewell.operators import changes as ch
 from tidewell.operators import dims, logs
+from tidewell.operators.joins import name_codes
 from tidewell.operators.merge import latest
-from tidewell.operators.windows import DEFAULT_SIZE
+from tidewell.operators.windows import DEFAULT_SIZE, tumble
 from tidewell.plans import tool, trade
+from tidewell.sinks.batches import BATCH, land
 from tidewell.sinks.keyed import KeyedTable
 from tidewell.sinks.messages import append
-from tidewell.sources import streams
+from tidewell.sources import dictionary, streams
 from tidewell.streaming import state, windows
+from tidewell.streaming.meet import micros, stateful_join
 
 ORDER_BOUND = "905 seconds"
 REFUND_BOUND = "5 seconds"
-#: Left joins of `order_wide`, activity and coupon, that hold a line back one after another.
-PROMOTED = 2
-
-
-def _seconds(interval: str) -> int:
-    """Whole seconds of an interval such as `905 seconds` or `1 day`."""
-    amount, unit = interval.split()
-    return int(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86_400}[unit.rstrip("s")]
 
 
 def _measures(names: list[str]) -> T.StructType:
@@ -74,6 +70,17 @@ SUMMARIES = {
 }
 # Keys and versions of the details that replace earlier rows of their key.
 UPSERTED = {"order_wide": ("id", "oi_ts"), "payment": ("order_detail_id", "ts")}
+# Codes that the dictionary names, when the rows of a micro-batch are stored.
+CODES = {
+    "cart_add": {"source_type_code": "source_type_name"},
+    "order_wide": {"source_type": "source_type_name"},
+    "payment": {"payment_type_code": "payment_type_name"},
+    "order_refund": {
+        "refund_type_code": "refund_type_name", "refund_reason_type_code": "refund_reason_type_name",
+    },
+    "refund_payment": {"payment_type_code": "payment_type_name"},
+    "comment": {"appraise_code": "appraise_name"},
+}
 
 
 @dataclass(frozen=True)
@@ -89,20 +96,14 @@ class Warehouse:
     # How late a record may come: Spark keeps one watermark per query, so this
     # must cover the disorder between the partitions of a topic.
     delay: str = "10 seconds"
-    # How far event time may go on in one micro-batch: what a join upstream releases comes
-    # one batch late. More only keeps state of chained joins longer.
-    span: str = "1 hour"
+    # How long on the wall clock a placed detail or a payment waits for the other.
+    keep: str = "7 days"
+    # The dictionary is read again for a micro-batch when it is older than this.
+    reload: str = "0 seconds"
     trigger: dict = field(default_factory=lambda: {"processingTime": "3 seconds"})
     source: dict = field(default_factory=dict)  # options of the raw topics' readers
     kafka: str | None = None  # bootstrap servers, when the raw topics are in Kafka
-
-    def held_back(self, joins: int) -> str:
-        """Delay of rows that came through so many bounded joins, one after another.
-
-        Each left join of a chain counts: its watermark is one bound behind the one before.
-        """
-        bound, slack = _seconds(self.order_bound), _seconds(self.delay)
-        return f"{joins * (bound + slack) + slack + _seconds(self.span)} seconds"
+    database: dict | None = None  # options of the dictionary's JDBC reader; else it is a folder
 
     # -- folders ----------------------------------------------------------
     def folder(self, name: str) -> str:
@@ -128,26 +129,52 @@ class Warehouse:
         return rows.where(F.col("table") == table)
 
     def rows(self, name: str, schema: T.StructType, stream: bool = True) -> DataFrame:
-        return streams.table(self.spark, self.folder(name), schema, stream)
+        """Rows of a folder, written by a file sink or batch by batch."""
+        batched = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+        return streams.table(self.spark, self.folder(name), batched, stream).drop(BATCH)
 
     def detail(self, name: str, stream: bool = True) -> DataFrame:
         return self.rows(name, s.detail_schema(DETAILS[name]), stream)
 
-    def upserted(self, name: str) -> DataFrame:
-        """Latest row per key of a detail whose later rows replace earlier ones."""
-        key, version = UPSERTED[name]
-        return latest(self.detail(name, False), [key], F.col(version).try_cast("bigint"))
+    def dictionary(self, spark: SparkSession) -> DataFrame:
+        """The newest entry of each code, read now."""
+        if self.database:
+            rows = dictionary.from_database(spark, **self.database)
+        else:
+            rows = dictionary.from_files(spark, self.folder("base_dic"))
+        return latest(rows, ["dic_code"], F.coalesce("operate_time", "create_time"))
+
+    def named(self, name: str) -> Callable[[DataFrame], DataFrame]:
+        """Looks the codes of a micro-batch up in the dictionary as it is then."""
+        held: dict = {}
+
+        def finish(batch: DataFrame) -> DataFrame:
+            now = time.monotonic()
+            if not held or now - held["at"] >= micros(self.reload) / 10**6:
+                held.update(at=now, rows=self.dictionary(batch.sparkSession))
+            return name_codes(batch, held["rows"], CODES[name])
 
-    def dictionary(self) -> DataFrame:
-        return self.spark.read.schema(s.DICTIONARY).parquet(self.folder("base_dic"))
+        return finish
 
     # -- keyed tables -----------------------------------------------------
     def summary(self, name: str) -> KeyedTable:
         keys, metrics = SUMMARIES[name]
+        rules = dict.fromkeys(metrics, "sum") if name == "payer_window" else None
         return KeyedTable(
-            self.folder(f"summary/{name}"), s.summary_schema(keys, metrics), keys, ["cur_date"]
+            self.folder(f"summary/{name}"), s.summary_schema(keys, metrics), keys, ["cur_date"], rules
         )
 
+    def keyed(self, name: str) -> KeyedTable:
+        """One row per key of a detail whose later rows replace earlier ones."""
+        key, version = UPSERTED[name]
+        return KeyedTable(
+            self.folder(f"keyed/{name}"), s.detail_schema(DETAILS[name]), [key],
+            version=[F.col(version).try_cast("bigint")], buckets=16, fold_every=1, deletes=True,
+        )
+
+    def upserted(self, name: str) -> DataFrame:
+        return self.keyed(name).read(self.spark)
+
     def dimensions(self) -> KeyedTable:
         return KeyedTable(
             self.folder("dimensions"), s.DIM_ROW, ["sink_table", "pk"], ["sink_table"],
@@ -165,6 +192,10 @@ class Warehouse:
             rows, self.folder(name), self.checkpoint(name), partition_by, trigger=self.trigger
         )
 
+    def land(self, name: str, rows: DataFrame) -> StreamingQuery:
+        """Append the rows of a detail, their codes named batch by batch."""
+        return land(rows, self.folder(name), self.checkpoint(name), self.named(name), trigger=self.trigger)
+
     def upsert(self, name: str, rows: DataFrame) -> StreamingQuery:
         return self.summary(name).upsert(rows, trigger=self.trigger)
 
@@ -173,9 +204,20 @@ class Warehouse:
 # Traffic
 # --------------------------------------------------------------------------
 def traffic(w: Warehouse) -> StreamingQuery:
-    """Clean, repair and route the raw log; one sink partitioned by topic."""
-    log = state.repair_new_visitors(w.messages("topic_log"))
-    return w.append("traffic", logs.route(log), ["topic"])
+    """Clean, repair and route the raw log; one sink partitioned by topic.
+
+    A micro-batch is stored once with the days of its visitors and read again for the repair,
+    so the keyed state is advanced once and no record passes through it.
+    """
+
+    def repaired(batch: DataFrame) -> DataFrame:
+        aside = f"{w.folder('traffic')}/_raw"
+        batch.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(aside)
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(aside)
+        return logs.route(state.repair_new_visitors(stored))
+
+    rows = state.messages_with_days(w.messages("topic_log"))
+    return land(rows, w.folder("traffic"), w.checkpoint("traffic"), repaired, ["topic"], w.trigger)
 
 
 def dirty(w: Warehouse) -> StreamingQuery:
@@ -201,12 +243,11 @@ def changes(w: Warehouse) -> StreamingQuery:
 
 
 def cart_add(w: Warehouse) -> StreamingQuery:
-    return w.append("cart_add", trade.cart_add(w.changes, w.dictionary()))
+    return w.land("cart_add", trade.cart_add(w.changes, None))
 
 
 def order_wide(w: Warehouse) -> StreamingQuery:
-    rows = trade.order_wide(w.changes, w.dictionary(), w.order_bound, w.delay)
-    return w.append("order_wide", rows)
+    return w.land("order_wide", trade.order_wide(w.changes, None, w.order_bound, w.delay))
 
 
 def order_placed(w: Warehouse) -> StreamingQuery:
@@ -219,22 +260,27 @@ def order_cancelled(w: Warehouse) -> StreamingQuery:
 
 def payment(w: Warehouse) -> StreamingQuery:
     rows = trade.payment_detail(
-        w.detail("order_placed"), w.changes, w.dictionary(),
-        bound=w.order_bound, delay=w.delay, held_back=w.held_back(PROMOTED),
+        w.detail("order_placed"), w.changes, None, bound=w.order_bound, join=stateful_join(w.keep)
     )
-    return w.append("payment", rows)
+    return w.land("payment", rows)
 
 
 def order_refund(w: Warehouse) -> StreamingQuery:
-    rows = trade.order_refund(w.changes, w.dictionary(), w.refund_bound, w.delay)
-    return w.append("order_refund", rows)
+    return w.land("order_refund", trade.order_refund(w.changes, None, w.refund_bound, w.delay))
 
 
 def refund_payment(w: Warehouse) -> StreamingQuery:
-    rows = trade.refund_payment(
-        w.changes, w.dictionary(), bound=w.refund_bound, delay=w.delay
-    )
-    return w.append("refund_payment", rows)
+    rows = trade.refund_payment(w.changes, None, bound=w.refund_bound, delay=w.delay)
+    return w.land("refund_payment", rows)
+
+
+def keyed_of(name: str):
+    """The job that keeps one row per key of a detail."""
+
+    def job(w: Warehouse) -> StreamingQuery:
+        return w.keyed(name).upsert(w.detail(name), "append", w.trigger)
+
+    return job
 
 
 def coupon_get(w: Warehouse) -> StreamingQuery:
@@ -254,7 +300,7 @@ def favor_add(w: Warehouse) -> StreamingQuery:
 
 
 def comment(w: Warehouse) -> StreamingQuery:
-    return w.append("comment", tool.comment(w.changes, w.dictionary()))
+    return w.land("comment", tool.comment(w.changes, None))
 
 
 def user_register(w: Warehouse) -> StreamingQuery:
@@ -330,7 +376,24 @@ def cart_measures(w: Warehouse) -> StreamingQuery:
 
 
 def payer_measures(w: Warehouse) -> StreamingQuery:
-    return _measured(w, "payer_window", windows.payer_measures(w.detail("payment"), w.size, w.held_back(PROMOTED + 1)))
+    return _measured(w, "payer_window", windows.payer_measures(w.detail("payment")))
+
+
+def payer_window(w: Warehouse) -> StreamingQuery:
+    """Sums the signed measures of each micro-batch; the table adds the sums up."""
+    table = w.summary("payer_window")
+
+    def add(batch: DataFrame, number: int) -> None:
+        sums = {n: F.sum(n) for n in s.PAYER_METRICS}
+        table.write(tumble(batch, "event_time", [], sums, w.size), number)
+
+    return (
+        w.rows("measures/payer_window", _measures(s.PAYER_METRICS))
+        .writeStream.foreachBatch(add)
+        .option("checkpointLocation", table.checkpoint)
+        .trigger(**w.trigger)
+        .start()
+    )
 
 
 def window_of(name: str):
@@ -338,8 +401,7 @@ def window_of(name: str):
 
     def job(w: Warehouse) -> StreamingQuery:
         rows = w.rows(f"measures/{name}", _measures(MEASURES[name]))
-        delay = w.held_back(PROMOTED + 1) if name == "payer_window" else w.delay
-        return w.upsert(name, windows.measures_window(rows, MEASURES[name], w.size, delay))
+        return w.upsert(name, windows.measures_window(rows, MEASURES[name], w.size, w.delay))
 
     return job
 
@@ -372,5 +434,7 @@ JOBS = {
     "register_measures": register_measures,
     "cart_measures": cart_measures,
     "payer_measures": payer_measures,
-    **{name: window_of(name) for name in MEASURES},
+    **{name: window_of(name) for name in MEASURES if name != "payer_window"},
+    "payer_window": payer_window,
+    **{f"{name}_keyed": keyed_of(name) for name in UPSERTED},
 }

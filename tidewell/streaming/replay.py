@@ -10,17 +10,20 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tidewell import schemas as s
 from tidewell.operators import logs
-from tidewell.operators.merge import latest
-from tidewell.plans import tool, trade
+from tidewell.plans import trade
+from tidewell.sinks.batches import BATCH
+from tidewell.sinks.keyed import KeyedTable
+from tidewell.sinks.messages import append
 from tidewell.sources import tables
-from tidewell.streaming import jobs, state, windows
+from tidewell.streaming import jobs
+from tidewell.streaming.meet import meet
 
 SLICES = 4
 TIMES = {"events": "ts", "orders": "o_orderdate", "lineitem": "l_shipdate"}
@@ -46,6 +49,25 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/replay-{uuid.uuid4().hex}"
 
 
+@dataclass(frozen=True)
+class Tables(jobs.Warehouse):
+    """A warehouse whose raw topics are the input tables; all else is as it is in production."""
+
+    replay: Replay | None = None
+
+    def pages(self) -> DataFrame:
+        return tables.page_views(self.spark, self.replay.folder, self.replay.sliced, items=True)
+
+    def messages(self, name: str) -> DataFrame:
+        return tables.log_messages(self.spark, self.replay.folder, self.replay.sliced)
+
+    def changes(self, table: str) -> DataFrame:
+        return tables.change_feed(self.spark, self.replay.folder, self.replay.sliced)(table)
+
+    def dictionary(self, spark: SparkSession) -> DataFrame:
+        return tables.base_dic(spark)
+
+
 class Replay:
     """The streaming jobs over one folder of tables."""
 
@@ -55,13 +77,13 @@ class Replay:
         root = work_folder(spark)
         self.input = f"{root}/tables"
         self.files: dict[str, int] = {}
-        self.w = jobs.Warehouse(
+        self.w = Tables(
             spark, root, size=size, order_bound=BOUND, refund_bound=BOUND,
-            trigger={"availableNow": True},
+            trigger={"availableNow": True}, replay=self,
         )
 
     # -- input ------------------------------------------------------------
-    def _sliced(self, name: str) -> DataFrame:
+    def sliced(self, name: str) -> DataFrame:
         """The table as a stream: one slice of rising time to a micro-batch."""
         if name not in self.files:
             rows = tables.table(self.spark, self.folder, name)
@@ -82,126 +104,78 @@ class Replay:
                 last.write.mode("append").parquet(path)
         return tables.table(self.spark, self.input, name, self.files[name])
 
-    def _pages(self, items: bool = False) -> DataFrame:
-        return tables.page_views(self.spark, self.folder, self._sliced, items)
-
-    def _feed(self):
-        return tables.change_feed(self.spark, self.folder, self._sliced)
-
     # -- running ----------------------------------------------------------
-    def _finish(self, query: StreamingQuery) -> None:
-        query.awaitTermination()
-
-    def _detail(self, name: str, rows: DataFrame) -> DataFrame:
-        self._finish(self.w.append(name, rows))
-        return self.w.detail(name, stream=False)
-
-    def _summed(self, name: str, measures: DataFrame) -> DataFrame:
-        """Measures to their table, then windows to theirs."""
-        self._finish(self.w.append(f"measures/{name}", measures))
-        self._finish(jobs.window_of(name)(self.w))
-        return self._window(name)
-
-    def _window(self, name: str) -> DataFrame:
-        return self.w.summary(name).read(self.spark).where(F.col("stt") < F.lit(END))
-
-    def _rows(self, name: str) -> DataFrame:
+    def run(self, *names: str) -> None:
+        """Run jobs to their end, one after the other."""
+        for name in names:
+            jobs.JOBS[name](self.w).awaitTermination()
+
+    def detail(self, *names: str) -> DataFrame:
+        """The detail of the last of these jobs, without the record that moves the watermarks."""
+        self.run(*names)
+        key = "order_id" if "order_id" in jobs.DETAILS[names[-1]] else jobs.DETAILS[names[-1]][0]
+        return self.w.detail(names[-1], stream=False).where(F.col(key) != "-1")
+
+    def window(self, *names: str) -> DataFrame:
+        """The summary of the last of these jobs."""
+        self.run(*names)
+        return self.w.summary(names[-1]).read(self.spark).where(F.col("stt") < F.lit(END))
+
+    def visits(self, name: str) -> DataFrame:
+        self.run(name)
         return self.w.rows(name, s.PAGE_VIEW, stream=False).where("seq >= 0")
 
-    # -- traffic ----------------------------------------------------------
     def routed_topics(self) -> DataFrame:
-        messages = tables.log_messages(self.spark, self.folder, self._sliced)
-        routed = logs.route(state.repair_new_visitors(messages))
-        self._finish(self.w.append("traffic", routed, ["topic"]))
-        found = self.spark.read.schema(s.TOPIC_MESSAGE).parquet(self.w.folder("traffic"))
-        return found.where("seq >= 0")
-
-    def unique_visitors(self) -> DataFrame:
-        self._finish(self.w.append("unique_visitor", state.unique_visitors(self._pages())))
-        return self._rows("unique_visitor")
-
-    def user_jumps(self) -> DataFrame:
-        self._finish(self.w.append("user_jump", state.bounces(self._pages(), self.w.jump_ms, self.w.delay)))
-        return self._rows("user_jump")
-
-    def traffic_window(self) -> DataFrame:
-        """Pages, unique visitors and bounces as three live feeds."""
-        self.unique_visitors()
-        self.user_jumps()
-        feeds = (self.w.rows(name, s.PAGE_VIEW) for name in ("unique_visitor", "user_jump"))
-        rows = windows.traffic_window(self._pages(), *feeds, self.w.size)
-        self._finish(self.w.upsert("traffic_window", rows))
-        return self._window("traffic_window")
-
-    def keyword_window(self) -> DataFrame:
-        rows = windows.keyword_window(self._pages(items=True), self.w.size)
-        self._finish(self.w.upsert("keyword_window", rows))
-        return self._window("keyword_window")
-
-    def page_window(self) -> DataFrame:
-        return self._summed("page_window", windows.page_measures(self._pages()))
-
-    def login_window(self) -> DataFrame:
-        return self._summed("login_window", windows.login_measures(self._pages()))
-
-    # -- trade and users --------------------------------------------------
-    def register_window(self) -> DataFrame:
-        rows = tool.user_register(self._feed())
-        return self._summed("register_window", windows.register_measures(rows))
-
-    def cart_window(self) -> DataFrame:
-        rows = trade.cart_add(self._feed(), tables.base_dic(self.spark))
-        return self._summed("cart_window", windows.cart_measures(rows))
-
-    def cart_add(self) -> DataFrame:
-        return self._detail("cart_add", trade.cart_add(self._feed(), tables.base_dic(self.spark)))
-
-    def comment(self) -> DataFrame:
-        return self._detail("comment", tool.comment(self._feed(), tables.base_dic(self.spark)))
-
-    def simple(self, name: str) -> DataFrame:
-        """A detail that only filters and names: coupons, favourites, registrations."""
-        key = jobs.DETAILS[name][0]
-        return self._detail(name, getattr(tool, name)(self._feed())).where(F.col(key) != "-1")
-
-    def order_wide(self) -> DataFrame:
-        rows = trade.order_wide(
-            self._feed(), tables.base_dic(self.spark), self.w.order_bound, self.w.delay
-        )
-        return self._detail("order_wide", rows).where("order_id <> '-1'")
-
-    def order_wide_upserted(self) -> DataFrame:
-        return latest(self.order_wide(), ["id"], F.col("oi_ts").cast("bigint"))
-
-    def payment(self) -> DataFrame:
-        self.order_wide()
-        self._finish(jobs.order_placed(self.w))
-        rows = trade.payment_detail(
-            self.w.detail("order_placed"), self._feed(), tables.base_dic(self.spark),
-            bound=self.w.order_bound, delay=self.w.delay, held_back=self.w.held_back(jobs.PROMOTED),
-        )
-        return self._detail("payment", rows).where("order_id <> '-1'")
-
-    def payer_window(self) -> DataFrame:
-        self.payment()
-        self._finish(jobs.payer_measures(self.w))
-        self._finish(jobs.window_of("payer_window")(self.w))
-        return self._window("payer_window")
-
-    def order_refund(self) -> DataFrame:
-        rows = trade.order_refund(
-            self._feed(), tables.base_dic(self.spark), self.w.refund_bound, self.w.delay
-        )
-        return self._detail("order_refund", rows).where("order_id <> '-1'")
-
-    def refund_payment(self) -> DataFrame:
-        rows = trade.refund_payment(
-            self._feed(), tables.base_dic(self.spark), bound=self.w.refund_bound, delay=self.w.delay
+        self.run("traffic")
+        return self.w.rows("traffic", s.TOPIC_MESSAGE, stream=False).where("seq >= 0")
+
+    def dirty(self) -> DataFrame:
+        self.run("dirty")
+        return self.w.rows(logs.DIRTY, s.MESSAGE, stream=False)
+
+    def upserted(self, name: str, *before: str) -> DataFrame:
+        """One row per key, as the keyed table holds it."""
+        self.run(*before, name, f"{name}_keyed")
+        return self.w.upserted(name).where("order_id <> '-1'")
+
+    def paid_near_update(self, bound: str) -> DataFrame:
+        """Payments and order updates that meet in the stateful join."""
+        updates = trade.order_versions(self.w.changes).where("type = 'update'").select(
+            "oi_id", "order_status", F.col("event_time").alias("oi_time")
         )
-        return self._detail("refund_payment", rows).where("order_id <> '-1'")
+        paid = trade.payments(self.w.changes).select("pay_order", "callback_time", "pay_time")
+        met = meet(paid, updates, ("pay_order", "oi_id"), ("pay_time", "oi_time"), bound)
+        path = self.w.folder("paid_near_update")
+        append(met, path, self.w.checkpoint("paid_near_update"), trigger=self.w.trigger).awaitTermination()
+        rows = self.spark.read.schema(met.schema).parquet(path).where("oi_id <> '-1'")
+        return rows.select(F.col("pay_order").alias("order_id"), "callback_time", "order_status")
+
+    def merged(self, rows: DataFrame, keys: list[str], rules: dict[str, str], times: int = 2) -> DataFrame:
+        """A stream added to a keyed table by merge rules; its batches come `times` times."""
+        table = KeyedTable(self.w.folder("merged"), rows.schema, keys, rules=rules, version=["event_id"], fold_every=2)
+
+        def write(batch: DataFrame, number: int) -> None:
+            for _ in range(times):
+                table.write(batch, number)
+
+        rows.writeStream.foreachBatch(write).option("checkpointLocation", table.checkpoint).trigger(
+            **self.w.trigger
+        ).start().awaitTermination()
+        return table.read(self.spark)
+
+    def summed_changes(self, *names: str) -> DataFrame:
+        """What the batches of a summary held, read as a stream out of its keyed table."""
+        self.run(*names)
+        table = self.w.summary(names[-1])
+        path = self.w.folder("summed_changes")
+        rows = table.changes(self.spark).drop(BATCH)
+        append(rows, path, self.w.checkpoint("summed_changes"), trigger=self.w.trigger).awaitTermination()
+        metrics = [c for c in table.schema.names if c not in table.keys]
+        found = self.spark.read.schema(table.schema).parquet(path).where(F.col("stt") < F.lit(END))
+        return found.groupBy(*table.keys).agg(*[F.sum(m).alias(m) for m in metrics])
 
     # -- dimensions -------------------------------------------------------
     def dimensions(self) -> DataFrame:
-        changes = tables.master_change_log(self.spark, self.folder, self._sliced)
-        self._finish(jobs.sync_dimensions(self.w, changes, tables.dim_config_log))
+        changes = tables.master_change_log(self.spark, self.folder, self.sliced)
+        jobs.sync_dimensions(self.w, changes, tables.dim_config_log).awaitTermination()
         return self.w.dimensions().read(self.spark)

@@ -19,6 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewell.functions.time import day_of_millis, from_millis
 from tidewell.operators import logs
+from tidewell.operators.state import keep_flags
 from tidewell.schemas import COMMON, PAGE
 
 DAY_MS = 86_400_000
@@ -54,44 +55,54 @@ def _native(row: pd.Series) -> tuple:
 # --------------------------------------------------------------------------
 # New-visitor flag
 # --------------------------------------------------------------------------
-def _repair(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
-    rows = _in_order(chunks)
-    if state.exists:
-        (new_day,) = state.get
-    else:
-        first = rows.iloc[0]
-        new_day = int(first["day"]) if first["is_new"] == "1" else -1
-        state.update((new_day,))
-    flagged = rows["is_new"] == "1"
-    rows.loc[flagged & (rows["day"] != new_day), "is_new"] = "0"
-    yield rows[["is_new", "value", "seq"]]
-
-
-def repair_new_visitors(messages: DataFrame) -> DataFrame:
-    """Clean log records with corrected new-visitor flags.
-
-    Only the flag, the visitor and the time are parsed ahead of the shuffle; the
-    record travels as its text.
+def new_visitor_days(messages: DataFrame) -> DataFrame:
+    """(mid, day) of the visitors of each micro-batch whose flag holds on that day.
+
+    Only visitor, flag and time are parsed, and each Arrow batch is cut to a visitor's first
+    record and its first flagged record of a day, so a visitor with most of the rows costs a
+    few rows for each task. The state is the one day on which a visitor was new, -1 for none.
     """
-    head = "common struct<mid:string,is_new:string>, ts bigint"
-    clean = logs.parse(messages).where("_corrupt is null and common is not null").select(
-        "value", "seq"
-    )
-    keyed = clean.select(F.inline(F.array(F.from_json("value", head))), "value", "seq").select(
-        "common.mid", "common.is_new", "ts", _days(day_of_millis("ts")).alias("day"), "seq", "value"
-    )
-    fixed = keyed.groupBy("mid").applyInPandasWithState(
-        _repair,
-        "is_new string, value string, seq bigint",
-        "new_day int",
-        "append",
-        GroupStateTimeout.NoTimeout,
+    heads = logs.heads(messages).select(
+        "common.mid", (F.col("common.is_new") == "1").alias("flag"), "ts", "seq", _days(day_of_millis("ts")).alias("day")
     )
-    record = F.from_json("value", logs.RAW_LOG)
-    return fixed.select(F.inline(F.array(record)), "is_new", "seq").select(
-        F.col("common").withField("is_new", F.col("is_new")).alias("common"),
-        "page", "start", "displays", "actions", "err", "ts", "seq",
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch.assign(flag=batch["flag"].eq(True)).sort_values(["ts", "seq"])
+            first = ~batch.duplicated("mid")
+            yield batch[first | (batch["flag"] & ~batch.duplicated(["mid", "day", "flag"]))]
+
+    def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
+        rows = _in_order(chunks)
+        if state.exists:
+            (new_day,) = state.get
+        else:
+            first = rows.iloc[0]
+            new_day = int(first["day"]) if first["flag"] and not pd.isna(first["day"]) else -1
+            state.update((new_day,))
+        if (rows["flag"] & (rows["day"] == new_day)).any():
+            yield pd.DataFrame({"mid": [key[0]], "day": [new_day]})
+
+    found = (
+        heads.mapInPandas(reduce, heads.schema)
+        .groupBy("mid")
+        .applyInPandasWithState(advance, "mid string, day int", "new_day int", "append", GroupStateTimeout.NoTimeout)
     )
+    return found.select(F.col("mid").alias("_mid"), F.date_from_unix_date("day").alias("_day"))
+
+
+def messages_with_days(messages: DataFrame) -> DataFrame:
+    """Messages and, as rows without a value, what `new_visitor_days` says about their batch."""
+    return messages.select("value", "seq").unionByName(new_visitor_days(messages), allowMissingColumns=True)
+
+
+def repair_new_visitors(batch: DataFrame) -> DataFrame:
+    """Clean records with corrected flags, from one stored micro-batch of `messages_with_days`.
+
+    The records meet their visitor's day in a join on visitor and day; none is grouped.
+    """
+    log = logs.clean(logs.parse(batch.select("value", "seq")))
+    return keep_flags(log, batch.where("_mid is not null").select("_mid", "_day"))
 
 
 # --------------------------------------------------------------------------

@@ -7,8 +7,12 @@ is how late records correct a window that was already reported.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewell import schemas as s
 from tidewell.functions.time import day_of_millis, day_of_seconds, from_millis, from_seconds
@@ -93,17 +97,54 @@ def cart_measures(
     return firsts.select("event_time", F.lit(1).cast("bigint").alias("cart_add_uu_ct"))
 
 
-def payer_measures(
-    payments: DataFrame, size: str = DEFAULT_SIZE, delay: str = IN_ORDER
-) -> DataFrame:
-    """Also yields zero rows, so that windows of repeat payments appear."""
-    slot = F.window("event_time", size).getField("start")
-    rows = _seconds(payments, "user_id").withColumn("slot", slot)
-    firsts = state.first_of_day(rows, "user_id", forget=False, slot="slot", delay=delay)
+def earliest(rows: DataFrame) -> DataFrame:
+    """(ever, ts, n): n = 1 for a user's first payment of a day (`ever` false) and of all (`ever`
+    true), taken back by n = -1 when an earlier one comes.
+
+    `rows` has user_id, ts (ms) and day. The state of a key is the earliest time so far, one number
+    for each user and day on which the user paid.
+    """
+    always = -1
+    day = F.explode(F.array(state._days(F.col("day")), F.lit(always)))
+    flat = rows.where("ts is not null").select("user_id", day.alias("day"), "ts")
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.sort_values("ts").drop_duplicates(["user_id", "day"])
+
+    def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
+        first = min(int(chunk["ts"].min()) for chunk in chunks)
+        before = state.get[0] if state.exists else None
+        out = []
+        if before is None or first < before:
+            out = [(first, 1)] if before is None else [(first, 1), (before, -1)]
+            state.update((first,))
+        yield pd.DataFrame(out, columns=["ts", "n"]).assign(ever=bool(key[1] == always))
+
+    return (
+        flat.mapInPandas(reduce, flat.schema)
+        .groupBy("user_id", "day")
+        .applyInPandasWithState(
+            advance, "ever boolean, ts long, n long", "ts long", "append", GroupStateTimeout.NoTimeout
+        )
+    )
+
+
+def payer_measures(payments: DataFrame) -> DataFrame:
+    """Signed measures of paying users: sums are right whatever the order of arrival.
+
+    Every payment gives a zero row, so that windows of repeat payments appear. A user's first
+    payment of a day counts in its window, and the first ever too; when an earlier one comes
+    later, the row that was counted is taken back.
+    """
+    rows = _seconds(payments, "user_id")
     unique, first_ever = s.PAYER_METRICS
-    new = F.col("is_first") & F.col("previous_day").isNull()
-    return firsts.select(
-        "event_time",
-        F.when(F.col("is_first"), 1).otherwise(0).cast("bigint").alias(unique),
-        F.when(new, 1).otherwise(0).cast("bigint").alias(first_ever),
+    zero = F.lit(0).cast("bigint")
+    time = from_millis("ts").alias("event_time")
+    counted = earliest(rows).select(
+        time,
+        F.when(F.col("ever"), zero).otherwise(F.col("n")).alias(unique),
+        F.when(F.col("ever"), F.col("n")).otherwise(zero).alias(first_ever),
     )
+    seen = rows.select(time, zero.alias(unique), zero.alias(first_ever))
+    return seen.unionByName(counted).where("event_time is not null")
