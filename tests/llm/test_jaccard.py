@@ -100,3 +100,33 @@ def test_shingles_of_a_buffer():
     doc, value = jaccard.shingle_sets(np.frombuffer(data, np.uint8), ends)
     assert doc.tolist() == [0, 0, 2, 3]
     assert value[2] == value[3]
+
+
+def template_pages(rng, count, own):
+    """Documents of 100 words of one template and `own` words of their own, some of them shared with one other."""
+    template = [f"t{i}" for i in range(100)]
+    docs = []
+    for i in range(count):
+        words = [f"p{i // 2}x{j}" for j in range(own // 2)] + [f"o{i}x{j}" for j in range(own - own // 2)]
+        docs.append((i, " ".join(template + words)))
+    rng.shuffle(docs)
+    return docs
+
+
+def test_pages_of_one_template_do_not_all_meet(spark, monkeypatch):
+    rng, seen = random.Random(4), []
+
+    def spy(df, name, stored=jaccard.stored):
+        out = stored(df, name)
+        if name == "pairs":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", spy)
+    for count in (100, 200):
+        rows = template_pages(rng, count, 30) + [(1000 + i, t) for i, t in template_pages(rng, 20, 4)]
+        found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()}
+        assert got == brute(rows)
+    # Two passes each: at most two groups for a document, where all pairs would be thousands.
+    assert len(seen) == 4 and max(seen[:2]) <= 240 and max(seen[2:]) <= 440, seen

@@ -14,7 +14,8 @@ Two documents link when 100 * |A and B| >= 75 * |A or B| on their sets of five-w
    placed in each of its groups, which ties them together without pairs between groups.
 4. Token-group matrix: for each group the union of the leading (rare) shingles of its
    members. Two sets that link share a leading shingle, so a class needs only those groups
-   that share one with it and hold another component. For these, the overlap with the union
+   that share one with it early enough to leave room for the overlap of a link (so that pages of
+   one template, alike in less than a link needs, do not meet) and hold another component. For these, the overlap with the union
    of all the group's shingles bounds every similarity; groups whose bound reaches the
    threshold are opened and compared set by set. A first pass opens only the first member
    of each component, which joins most of a large family of near copies at once.
@@ -327,7 +328,7 @@ def open_groups(percent: int):
 
 
 def leading(shared: DataFrame) -> DataFrame:
-    """(t, d, n): the leading shingles of every class."""
+    """(t, d, n, rest): the leading shingles of every class; rest: its shared shingles from there on."""
 
     def lead(source):
         for batch in source:
@@ -335,12 +336,14 @@ def leading(shared: DataFrame) -> DataFrame:
             sets = [np.frombuffer(x, "<i8")[:m] for x, m in zip(blobs, k, strict=True)]
             if sets:
                 size = [len(s) for s in sets]
+                rest = [len(x) // 8 - np.arange(m) for x, m in zip(blobs, size, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sets)), pa.array(np.repeat(d, size)), pa.array(np.repeat(n, size))],
-                    ["t", "d", "n"],
+                    [pa.array(np.concatenate(sets)), pa.array(np.repeat(d, size)), pa.array(np.repeat(n, size))]
+                    + [pa.array(np.concatenate(rest).astype(np.int64))],
+                    ["t", "d", "n", "rest"],
                 )
 
-    return stored(shared.select("d", "n", "lead", "t").mapInArrow(lead, "t long, d long, n long"), "leading")
+    return stored(shared.select("d", "n", "lead", "t").mapInArrow(lead, "t long, d long, n long, rest long"), "leading")
 
 
 def cross_links(
@@ -348,28 +351,35 @@ def cross_links(
 ) -> DataFrame:
     """Links between components: queries meet the groups that share a leading shingle.
 
-    `matrix` has (t, d, n, g) of the leading shingles, `component` (d, component) of the
+    The shingles have one order for all classes, so what two sets have in common lies at or after
+    their first common shingle: its `rest` in both bounds the overlap, and a link of sets of a
+    and b shingles needs percent * (a + b) / (100 + percent).
+
+    `matrix` has (t, d, n, rest, g) of the leading shingles, `component` (d, component) of the
     linked classes, `members` (g, d, n, t) of the groups to open.
     """
     tokens = matrix.join(component, "d", "left").withColumn("component", F.coalesce("component", "d"))
     # Shingles of one passage are led by the same classes: of those with equal lists of
-    # classes (128-bit signature and length) one stands for all.
+    # classes (128-bit signature and length) the first in the order, whose rests are the
+    # longest, stands for all.
     lists = tokens.groupBy("t").agg(
         F.min("component").alias("x"),
         F.max("component").alias("y"),
         F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("d")).alias("h1"),
         F.bit_xor(F.xxhash64("d", F.lit(1))).alias("h2"),
+        F.sum("rest").alias("rests"),
     )
-    several = lists.where("x <> y").groupBy("size", "h1", "h2").agg(F.min("t").alias("t")).select("t")
+    several = lists.where("x <> y").groupBy("size", "h1", "h2").agg(F.max_by("t", F.struct("rests", "t")).alias("t")).select("t")
     tokens = stored(tokens.join(several, "t", "left_semi"), "matrix")
     unions = tokens.groupBy("t", "g", F.col("component").alias("other")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most")
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("longest")
     )
-    met = tokens.select("t", "d", "n", "component").join(unions, "t").where(
+    met = tokens.select("t", "d", "n", "rest", "component").join(unions, "t").where(
         (F.col("component") != F.col("other"))
         & (100 * F.col("most") >= percent * F.col("n"))
         & (percent * F.col("least") <= 100 * F.col("n"))
+        & (percent * (F.col("n") + F.col("least")) <= (100 + percent) * F.least("rest", "longest"))
     )
     pairs = stored(met.select("d", "g").distinct(), "pairs")
     # A group that many classes ask for is repeated, once for every QUERIES of them.
@@ -415,7 +425,7 @@ def class_components(shared: DataFrame, percent: int) -> DataFrame:
 
     # First pass: one group for each component, of which only the first member is opened.
     known = lead.join(component, "d", "left")
-    by_component = known.select("t", "d", "n", F.coalesce("component", "d").alias("g"))
+    by_component = known.select("t", "d", "n", "rest", F.coalesce("component", "d").alias("g"))
     firsts = shared.join(component.where("d <> component"), "d", "left_anti").select(
         F.col("d").alias("g"), "d", "n", "t"
     )
