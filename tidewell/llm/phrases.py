@@ -22,6 +22,8 @@ does); no part depends on another. Columns other than the text and the language
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -310,10 +312,12 @@ def _scored(known: DataFrame, twos: DataFrame, long: DataFrame, totals: DataFram
     )
     if top is None:
         return found.join(totals, "lang").select("lang", "phrase", "a", "l", "r", "n", "score")
-    # The first of each part of a language, then the first of the language: no task gets one whole.
+    # The first of many parts of a language, then of fewer, then of the language: a task gets at
+    # most the first of as many parts as the root of their number.
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    dealt = found.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(partitions(found.sparkSession))))
-    near = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))).where(F.col("_n") <= top)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
-    best = near.withColumn("rank", rank).where(F.col("rank") <= top)
+    many = partitions(found.sparkSession)
+    best = found.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(many)))
+    for parts in (many, math.isqrt(many), 1):
+        near = Window.partitionBy("lang", F.col("_part") % parts).orderBy(*order)
+        best = best.withColumn("rank", F.row_number().over(near).cast("long")).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
