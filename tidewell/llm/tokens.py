@@ -75,7 +75,7 @@ class PieceEncoder:
             words = [p.decode() for p in pieces[lo : lo + TOGETHER]]
             made = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
             first = np.cumsum([0, *(len(w) + 1 for w in words)])
-            begins = np.fromiter((a for a, _ in made.offsets), np.int64, len(made.ids))
+            begins = np.fromiter(chain.from_iterable(made.offsets), np.int64, 2 * len(made.ids))[::2]
             ids.append(np.array(made.ids, np.uint32))
             sizes.append(np.bincount(np.searchsorted(first, begins, "right") - 1, minlength=len(words)))
         size = np.concatenate(sizes)
