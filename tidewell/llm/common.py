@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -86,11 +87,15 @@ def split_words(text: Column, separators: str) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20):
+def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20, encode: bool = False):
     """Slices of Arrow batches of at most `limit` text bytes (or one row), null texts empty.
 
-    Gives (slice, texts): the texts as a binary-compatible string array.
+    Gives (slice, texts): the texts as a binary-compatible string array. A worker that goes on to
+    other work than to encode texts drops the encoder it has kept.
     """
+    worker = sys.modules.get("_tidewell_worker")
+    if worker and not encode and worker.__dict__.pop("encoders", None):
+        give_back()
     for batch in batches:
         texts = pc.fill_null(batch.column(column), "")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))

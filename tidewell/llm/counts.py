@@ -27,7 +27,7 @@ def histogram(docs: DataFrame, text: str = "text", path: str | None = None) -> D
 
     def count(batches):
         seen: dict[int, int] = {}
-        for _, texts in text_batches(batches, "text"):
+        for _, texts in text_batches(batches, "text", encode=True):
             for n, c in zip(*np.unique(encoder(path).counts(texts.to_pylist()), return_counts=True), strict=True):
                 seen[int(n)] = seen.get(int(n), 0) + int(c)
         yield pa.RecordBatch.from_arrays(

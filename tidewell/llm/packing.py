@@ -65,7 +65,7 @@ def token_lengths(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
 
     def count(batches):
-        for batch, texts in text_batches(batches, "text"):
+        for batch, texts in text_batches(batches, "text", encode=True):
             n = encoder(path).counts(texts.to_pylist()) + 1
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n)], ["doc_id", "n_tokens"])
 

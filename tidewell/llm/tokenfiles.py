@@ -163,7 +163,7 @@ def write_tokens(
         enc = encoder(path)
         with files.open_output_stream(own) as out:
             writer = Writer(out, width(enc.vocabulary))
-            for batch, texts in text_batches(batches, "text"):
+            for batch, texts in text_batches(batches, "text", encode=True):
                 ids, counts = enc.encode(texts.to_pylist())
                 ids = np.insert(ids, np.cumsum(counts), np.uint32(END_ID))
                 writer.add(ids, counts + 1, batch.column(0).to_pylist())

@@ -115,7 +115,8 @@ class PieceEncoder:
 
 def encoder(path: str) -> PieceEncoder:
     """The encoder of this process: loaded once, kept between tasks of a worker."""
-    kept = sys.modules.setdefault("_tidewell_worker", types.ModuleType("_tidewell_worker")).__dict__
+    worker = sys.modules.setdefault("_tidewell_worker", types.ModuleType("_tidewell_worker")).__dict__
+    kept = worker.setdefault("encoders", {})
     if path not in kept:
         kept[path] = PieceEncoder(path)
     return kept[path]
