@@ -65,3 +65,12 @@ def test_lines_above_the_limit_are_taken_out_of_the_text(spark):
     want = {i: f"Own {i}\r\n\n\nown {i} b" for i in range(5)}
     want |= {5: "menu home\nmine", 6: "", 7: None, 8: ""}
     assert len(got) == 10 and all(r["kept_text"] == want[r["doc_id"]] for r in got)
+
+
+def test_columns_named_like_outputs_and_work_columns(spark):
+    names = ("n_common_words", "kept", "kept_text", "_k1", "_k2", "_at", "_split", "base_failed")
+    rows = [(i, "h", "menu home\n" + f"own {i} " * 60, *["x"] * len(names)) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, " + ", ".join(f"{n} string" for n in names))
+    got = lines.filter_lines(df, max_documents=3)
+    assert len(set(got.columns)) == len(got.columns)
+    assert result(got) == brute([r[:3] for r in rows], 3, lines.MIN_SHARE)

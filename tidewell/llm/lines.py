@@ -9,7 +9,9 @@ can split where one line holds a third of all rows.
 
 Defined cases: a null or empty text has no words, fails the base rule and is not kept. A
 null host is a host of its own. Repeated rows (same id, host and text) count as one
-document and get the same result each. Ties do not occur: every rule is a threshold.
+document and get the same result each. Ties do not occur: every rule is a threshold. An empty
+table gives no rows. Very long texts are counted whole, inside their row. Input columns named
+like an output or a work column (`_k1`, `_k2`, `_at`, `_split`) are replaced.
 """
 
 from __future__ import annotations
@@ -109,6 +111,7 @@ def filter_lines(
 ) -> DataFrame:
     """`docs` with the base counts, n_common_words (words in lines above the limit), kept, and
     kept_text: the text without these lines, all other lines as they were."""
+    docs = docs.drop("n_common_words", "kept", "kept_text", "_k1", "_k2", "_at", "_split")
     key = [F.coalesce(F.col(id_column), F.lit(-1)).alias("_k1"), F.xxhash64(id_column, host, text).alias("_k2")]
     counted = base_counts(docs.select("*", *key), text)
     lines = line_rows(docs, text, host, key)
