@@ -406,7 +406,13 @@ UNION ALL SELECT 'dim_sku', count(*), count(*) * 3 FROM part""",
 QUALIFY row_number() OVER (PARTITION BY order_detail_id ORDER BY CAST(ts AS BIGINT) DESC) = 1"""
     sql |= {f"{n}_from_messages": sql[f"{n}_detail"] for n in ("cart_add", "coupon_order")}
     streamed = {f"stream_{name}": sql[name] for name in STREAMED}
-    return sql | streamed | {"stream_payer_window_changes": sql["payer_window_1d"]}
+    tables = f"""WITH {DIMENSIONS}
+SELECT sink_table, pk, cell.name AS name, cell.value AS value FROM upserts
+QUALIFY rank() OVER (PARTITION BY sink_table, pk ORDER BY version DESC) = 1"""
+    return sql | streamed | {
+        "stream_payer_window_changes": sql["payer_window_1d"],
+        "stream_dimension_tables": tables,
+    }
 
 
 # Results that the streaming operators give as well.

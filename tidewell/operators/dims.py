@@ -11,17 +11,19 @@ from tidewell.operators import changes as ch
 DEFAULT_KEY = "id"
 
 
-def current_config(config_changes: DataFrame) -> DataFrame:
-    """Fold the configuration's change log: latest entry per source table,
-    without the tables whose latest change is a delete."""
+def latest_changes(config_changes: DataFrame) -> DataFrame:
+    """Fold the configuration's change log: the latest change of each source table, deletes too.
+
+    The result is a change log again, so folding it with later changes equals folding all.
+    """
     source = F.coalesce("after.source_table", "before.source_table")
-    entry = F.max_by(F.struct("op", "after"), F.col("seq"))
-    return (
-        config_changes.groupBy(source.alias("_source"))
-        .agg(entry.alias("_last"))
-        .where("_last.op <> 'd'")
-        .select("_last.after.*")
-    )
+    entry = F.max_by(F.struct("op", "before", "after", "seq"), F.col("seq"))
+    return config_changes.groupBy(source.alias("_source")).agg(entry.alias("_last")).select("_last.*")
+
+
+def current_config(config_changes: DataFrame) -> DataFrame:
+    """The latest entry per source table, without the tables whose latest change is a delete."""
+    return latest_changes(config_changes).where("op <> 'd'").select("after.*")
 
 
 def dimension_rows(changes: DataFrame, config: DataFrame) -> DataFrame:
@@ -34,7 +36,7 @@ def dimension_rows(changes: DataFrame, config: DataFrame) -> DataFrame:
     configured = config.select(
         F.col("source_table").alias("_source"),
         "sink_table",
-        F.transform(F.split("sink_columns", ","), F.trim).alias("_columns"),
+        F.transform(F.split("sink_columns", ","), lambda c: F.trim(c)).alias("_columns"),
         F.coalesce("sink_pk", F.lit(DEFAULT_KEY)).alias("_pk"),
     )
     rows = ch.data_rows(changes).join(configured, F.col("table") == F.col("_source"), "inner")

@@ -370,6 +370,7 @@ def _streamed() -> dict[str, Callable[[Inputs], DataFrame]]:
         "stream_order_refund_detail": detail("order_refund"),
         "stream_refund_payment_detail": detail("refund_payment"),
         "stream_aggregate_key_merge": lambda i: _merged_stream(i, replay(i)),
+        "stream_dimension_tables": lambda i: replay(i).dimension_tables(),
         "stream_dimension_sku": lambda i: dims.configured_table(
             replay(i).dimensions(), dims.current_config(i.config), "dim_sku"
         ),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,13 @@ from tidewell.operators.joins import name_codes
 from tidewell.operators.merge import latest
 from tidewell.operators.windows import DEFAULT_SIZE, tumble
 from tidewell.plans import tool, trade
-from tidewell.sinks.batches import BATCH, land
+from tidewell.sinks.batches import BATCH, folder, land
+from tidewell.sinks.catalog import CatalogTables
 from tidewell.sinks.keyed import KeyedTable
 from tidewell.sinks.messages import append
 from tidewell.sources import dictionary, streams
 from tidewell.streaming import state, windows
+from tidewell.streaming.config import ConfigSnapshots
 from tidewell.streaming.meet import micros, stateful_join
 
 ORDER_BOUND = "905 seconds"
@@ -104,6 +107,8 @@ class Warehouse:
     source: dict = field(default_factory=dict)  # options of the raw topics' readers
     kafka: str | None = None  # bootstrap servers, when the raw topics are in Kafka
     database: dict | None = None  # options of the dictionary's JDBC reader; else it is a folder
+    # Database of the session's catalog in which configured dimensions are tables, if any.
+    catalog: str | None = None
 
     # -- folders ----------------------------------------------------------
     def folder(self, name: str) -> str:
@@ -181,6 +186,12 @@ class Warehouse:
             version=["version"],
         )
 
+    def config(self) -> ConfigSnapshots:
+        return ConfigSnapshots(f"{self.dimensions().path}/_config")
+
+    def dimension_tables(self) -> CatalogTables:
+        return CatalogTables(self.folder("dimension_tables"), self.catalog)
+
     def dimension(self, sink_table: str) -> DataFrame:
         """A dimension with the columns its configuration names."""
         config = dims.current_config(streams.config_changes(self.spark, self.folder("table_process")))
@@ -311,7 +322,7 @@ def user_register(w: Warehouse) -> StreamingQuery:
 # Dimensions
 # --------------------------------------------------------------------------
 def dimensions(w: Warehouse) -> StreamingQuery:
-    """Upsert dimension rows; each micro-batch reads the configuration anew."""
+    """Upsert dimension rows; each micro-batch sees the configuration as it is then."""
 
     def config(spark: SparkSession) -> DataFrame:
         return streams.config_changes(spark, w.folder("table_process"))
@@ -322,13 +333,27 @@ def dimensions(w: Warehouse) -> StreamingQuery:
 def sync_dimensions(
     w: Warehouse, changes: DataFrame, config_changes: Callable[[SparkSession], DataFrame]
 ) -> StreamingQuery:
-    target = w.dimensions()
+    """Upsert dimension rows by the configuration's newest snapshot.
+
+    A micro-batch first advances the snapshot by the configuration's changes since the last one;
+    tables of the catalog are made and widened by these changes, before their first rows.
+    """
+    target, snapshots = w.dimensions(), w.config()
+    catalog = w.dimension_tables() if w.catalog else None
+    if catalog:  # the catalog of a new session may not know the tables yet
+        catalog.provide(w.spark, dims.current_config(snapshots.newest(w.spark)))
 
     def sync(batch: DataFrame, batch_id: int) -> None:
-        config = dims.current_config(config_changes(batch.sparkSession))
+        # Tables are made and written in the warehouse's session, so that it reads them fresh.
+        provide = partial(catalog.provide, w.spark) if catalog else None
+        log = config_changes(batch.sparkSession)
+        config = dims.current_config(snapshots.advance(log, batch_id, provide))
         rows = dims.dimension_rows(batch, config)
         newest = latest(rows, ["sink_table", "pk"], "version", "seq")
         target.write(newest, batch_id)
+        if catalog:
+            delta = f"{target.path}/kind=delta/{folder(batch_id)}"
+            catalog.upsert(w.spark.read.schema(s.DIM_ROW).parquet(delta))
 
     return (
         changes.writeStream.foreachBatch(sync)

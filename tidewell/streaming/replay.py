@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,3 +179,18 @@ class Replay:
         changes = tables.master_change_log(self.spark, self.folder, self.sliced)
         jobs.sync_dimensions(self.w, changes, tables.dim_config_log).awaitTermination()
         return self.w.dimensions().read(self.spark)
+
+    def dimension_tables(self) -> DataFrame:
+        """The cells of all tables that the configuration has made in the catalog."""
+        self.w = replace(self.w, catalog=f"dims_{uuid.uuid4().hex}")
+        self.dimensions()
+        made = self.w.dimension_tables()
+        cells = None
+        for entry in self.spark.catalog.listTables(self.w.catalog):
+            columns = made.columns(self.spark, entry.name)
+            rows = self.spark.table(made.name(entry.name)).select("_pk", *columns)
+            part = rows.unpivot(["_pk"], columns, "name", "value").select(
+                F.lit(entry.name).alias("sink_table"), F.col("_pk").alias("pk"), "name", "value"
+            )
+            cells = part if cells is None else cells.unionByName(part)
+        return cells
