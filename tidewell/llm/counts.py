@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import stored, text_batches
 from .tokens import encoder, tokenizer_path
 
 BLOCK = 1024
 
 
 def histogram(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """(length, n_docs) of the encoded texts."""
+    """(length, n_docs) of the encoded texts, written once: what follows reads it more than once."""
     path = path or tokenizer_path()
 
     def count(batches):
@@ -35,7 +35,7 @@ def histogram(docs: DataFrame, text: str = "text", path: str | None = None) -> D
         )
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "length long, n long")
-    return rows.groupBy("length").agg(F.sum("n").alias("n_docs"))
+    return stored(rows.groupBy("length").agg(F.sum("n").alias("n_docs")), "histogram")
 
 
 def length_sums(hist: DataFrame) -> DataFrame:

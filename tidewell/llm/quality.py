@@ -1,7 +1,12 @@
 """Quality by the votes of labelled neighbours in a latent-semantic space.
 
-Fitting: a bounded sample of labelled rows (MAX_EXAMPLES of each label) gives the vocabulary
-and, weighted by the inverse document frequencies of the whole table, the TF-IDF matrix
+Terms come in two fields, counted alike: WORDS (words and runs of signs, lower-cased) and LAYOUT
+(the shape of each word as written, how often each distinct word occurs, and words
+that follow their like). Every term counts: each is hashed to one of a fixed number of columns,
+none is selected. Each field is a TF-IDF vector of unit length, with the inverse document
+frequencies of the whole table.
+
+Fitting: a bounded sample of labelled rows (MAX_EXAMPLES of each label) gives the matrix
 whose leading singular vectors are the latent space. The examples' vectors (a few thousand
 rows of DIMENSIONS numbers) travel to all tasks: their size is bounded by the parameters.
 
@@ -9,15 +14,17 @@ Scoring is a map over all rows: the documents of a slice are projected and multi
 all examples in blocks, the NEIGHBOURS nearest vote with their similarity, and a rising
 step function fitted on the examples turns votes into probabilities. Cosines are exact.
 
-Defined cases: a null or empty text, or one without known terms, has no direction and gets
-the share of label 1 among labelled examples without direction, smoothed towards 0.5. Ties
+Defined cases: a null or empty text has no direction and gets the share of label 1 among labelled examples without direction, smoothed towards 0.5. Ties
 between neighbours go to the earlier example (smaller id). Repeated rows get equal results.
 Without labelled rows of both labels every score is the share of the label that is there
-(0.0 without any). Input columns named like an output are replaced; the text is not returned.
+(0.0 without any). Very long texts are read whole, an empty table gives an empty result.
+Input columns named like an output are replaced; the text is not returned.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -39,65 +46,89 @@ from .labelled import (
 
 #: At most so many labelled rows of each label are fitted on.
 MAX_EXAMPLES = 2048
-#: At most so many terms, those of most examples first.
-MAX_TERMS, MIN_EXAMPLES = 8192, 3
+#: Columns of the two fields; terms that share one count together.
+WORDS, LAYOUT = 1 << 14, 1 << 12
 DIMENSIONS, NEIGHBOURS = 64, 25
-#: Weight of a mark beside that of a word, and the shares of words at which marks are set.
-MARK = 4.0
-LEVELS = (0.05, 0.1, 0.2, 0.35, 0.5, 0.7)
 BLOCK = 256
+#: Runs of capitals, other letters, digits, and of any one sign.
+RUN = re.compile(r"([A-Z])+|([^\W\d_])+|(\d)+|(.)\4*", re.DOTALL)
+
+
+def shape(word: str) -> str:
+    """How a word is written, run by run: Aa, A, a, 0, and signs as they are."""
+    return "".join(("A", "a", "0", m[4])[m.lastindex - 1] for m in RUN.finditer(word))
+
+
+def column(term: str, columns: int) -> int:
+    return zlib.crc32(term.encode("utf-8", "surrogatepass")) % columns
+
+
+class Reader:
+    """Gives the counts of the columns of both fields, and remembers the words of its task."""
+
+    LIMIT = 1 << 17  # then it forgets them all: a matter of memory, not of results
 
+    def __init__(self):
+        self.known: dict[str, tuple[list[int], int]] = {}
+        self.times = [WORDS + column(f"times {k}", LAYOUT) for k in range(64)]
+        self.again = WORDS + column("again", LAYOUT)
 
-def features(text: str | None) -> Counter:
-    """Counts of the tokens of a text, and marks (weighted MARK) of how it is written:
-    words equal to the word before, words in capitals, words seen before, symbols."""
-    text = text or ""
-    found = Counter(tokens_of(text))
-    words = text.split()
-    if words:
-        n = len(words)
-        shares = {
-            "same": sum(map(str.__eq__, words, words[1:])) / n,
-            "capitals": sum(w.isupper() and len(w) > 1 for w in words) / n,
-            "again": 1 - len(set(words)) / n if n >= 8 else 0.0,
-            "symbols": sum(k for t, k in found.items() if not t[0].isalnum() and len(t) > 1) / n,
-            "bars": found["|"] / n,
-            "few": 8 / (8 + n),
-        }
-        for name, share in shares.items():
-            for level in LEVELS:
-                if share > level:
-                    found[f"\x01{name}{level}"] = 1
-    return found
+    def word(self, word: str) -> tuple[list[int], int]:
+        """Columns of the tokens of a word, and of its shape."""
+        found = self.known.get(word)
+        if found is None:
+            found = [column(t, WORDS) for t in tokens_of(word)], WORDS + column(shape(word), LAYOUT)
+            if len(self.known) >= self.LIMIT:
+                self.known.clear()
+            self.known[word] = found
+        return found
+
+    def features(self, text: str | None) -> tuple[dict[int, int], dict[int, int]]:
+        words: Counter = Counter()
+        layout: Counter = Counter()
+        written = (text or "").split()
+        for word, n in Counter(written).items():
+            tokens, shaped = self.word(word)
+            for c in tokens:
+                words[c] += n
+            layout[shaped] += n
+            layout[self.times[n.bit_length()]] += 1
+        again = sum(map(str.__eq__, written, written[1:]))
+        if again:
+            layout[self.again] += again
+        return words, layout
+
+    def columns(self, text: str | None) -> list[int]:
+        words, layout = self.features(text)
+        return [*words, *layout]
 
 
 @dataclass
 class Model:
-    terms: dict[str, int]
     idf: np.ndarray
-    space: np.ndarray  # terms x DIMENSIONS
+    space: np.ndarray  # columns x DIMENSIONS
     vectors: np.ndarray  # examples x DIMENSIONS, unit length
     y: np.ndarray
     weights: np.ndarray
     none: float
     points: tuple[np.ndarray, np.ndarray]
 
-    def ids(self, text: str | None) -> set[int]:
-        get = self.terms.get
-        return {i for i in map(get, features(text)) if i is not None}
-
-    def sparse(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        get = self.terms.get
-        found = [(i, n) for w, n in features(text).items() if (i := get(w)) is not None]
-        t = np.array([i for i, _ in found], np.int64)
-        w = (1 + np.log(np.array([n for _, n in found], float))) * self.idf[t]
-        return t, (w / (np.sqrt((w * w).sum()) or 1.0)).astype(np.float32)
-
-    def project(self, texts: list) -> np.ndarray:
+    def sparse(self, text: str | None, read: Reader) -> tuple[np.ndarray, np.ndarray]:
+        """Columns and weights of a text; each field has unit length."""
+        parts = []
+        for found in read.features(text):
+            t = np.fromiter(found.keys(), np.int64, len(found))
+            w = (1 + np.log(np.fromiter(found.values(), float, len(found)))) * self.idf[t]
+            parts.append((t, w / (np.sqrt((w * w).sum()) or 1.0)))
+        (t, w), (u, v) = parts
+        return np.concatenate([t, u]), np.concatenate([w, v]).astype(np.float32)
+
+    def project(self, texts: list, read: Reader | None = None) -> np.ndarray:
         """Unit vectors; zero where a text has no direction."""
+        read = read or Reader()
         out = np.zeros((len(texts), self.space.shape[1]), np.float32)
         for r, text in enumerate(texts):
-            t, w = self.sparse(text)
+            t, w = self.sparse(text, read)
             if len(t):
                 out[r] = w @ self.space[t]
         size = np.sqrt((out * out).sum(axis=1, keepdims=True))
@@ -121,10 +152,10 @@ class Model:
             out[lo : lo + BLOCK] = (w @ self.y) / w.sum(axis=1)
         return out
 
-    def scores(self, texts: list) -> np.ndarray:
+    def scores(self, texts: list, read: Reader | None = None) -> np.ndarray:
         if not len(self.y):
             return np.full(len(texts), self.none)
-        vectors = self.project(texts)
+        vectors = self.project(texts, read)
         some = np.abs(vectors).sum(axis=1) > 0
         out = np.full(len(texts), self.none)
         if some.any():
@@ -133,40 +164,36 @@ class Model:
 
 
 def leading_space(rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, size: int) -> np.ndarray:
-    """Right singular vectors of the sparse rows, by subspace iteration from a fixed start."""
+    """Right singular vectors of the sparse rows, by subspace iteration from a fixed start.
+
+    A block of rows is dense at a time.
+    """
     size = min(size, n_terms, len(rows))
-    dense = np.zeros((len(rows), n_terms), np.float32)
-    for r, (t, w) in enumerate(rows):
-        dense[r, t] = w
+
+    def blocks():
+        for lo in range(0, len(rows), BLOCK):
+            dense = np.zeros((min(BLOCK, len(rows) - lo), n_terms), np.float32)
+            for r, (t, w) in enumerate(rows[lo : lo + BLOCK]):
+                dense[r, t] = w
+            yield dense
+
     base = np.random.default_rng(7).standard_normal((n_terms, size + 16)).astype(np.float32)
     for _ in range(4):
-        base = np.linalg.qr(dense.T @ (dense @ base))[0]
-    _, _, right = np.linalg.svd(dense @ base, full_matrices=False)
+        base = np.linalg.qr(sum(dense.T @ (dense @ base) for dense in blocks()))[0]
+    _, _, right = np.linalg.svd(np.concatenate([dense @ base for dense in blocks()]), full_matrices=False)
     return np.ascontiguousarray((base @ right.T)[:, :size])
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_EXAMPLES) -> Model:
-    known = examples(docs, labels, label, limit)
-    y = known["y"].to_numpy(float) if len(known) else np.zeros(0)
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
-        none = np.zeros((0, 1), np.float32)
-        return Model({}, np.zeros(0), none, none, np.zeros(0), np.zeros(0), share, (np.zeros(1), np.zeros(1)))
-    texts = known["text"].tolist()
-    with_term = Counter(t for x in texts for t in features(x))
-    names = [t for n, t in sorted((-n, t) for t, n in with_term.items() if n >= MIN_EXAMPLES)[:MAX_TERMS]]
-    stands = label_weights(labels, label, y)
-    model = Model(
-        {t: i for i, t in enumerate(names)}, np.ones(len(names)), np.zeros((0, 1)), np.zeros((0, 1)), y, stands, 0.5, ()
-    )
-    df, n = document_counts(docs, len(names), model.ids)
-    model.idf = (np.log((n + 1) / (df + 1)) + 1) * np.array([MARK if t[0] == "\x01" else 1.0 for t in names])
-    rows = [model.sparse(t) for t in texts]
-    model.space = leading_space(rows, max(1, len(names)), DIMENSIONS)
-    vectors = model.project(texts)
+def fitted(texts: list[str], y: np.ndarray, stands: np.ndarray, df: np.ndarray, n: int) -> Model:
+    """The model of labelled texts, given the document frequencies of the columns."""
+    none = np.zeros((0, 1))
+    model = Model(np.log((n + 1) / (df + 1)) + 1, none, none, y, stands, 0.5, ())
+    read = Reader()
+    model.space = leading_space([model.sparse(t, read) for t in texts], WORDS + LAYOUT, DIMENSIONS)
+    vectors = model.project(texts, read)
     some = np.abs(vectors).sum(axis=1) > 0
-    none = stands[~some]
-    model.none = float(((none * y[~some]).sum() + 0.5) / (none.sum() + 1))
+    away = stands[~some]
+    model.none = float(((away * y[~some]).sum() + 0.5) / (away.sum() + 1))
     model.vectors, model.y, model.weights = vectors[some], y[some], stands[some]
     if len(model.y):
         loo = model.votes(model.vectors, np.arange(len(model.y)))
@@ -174,13 +201,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int =
     return model
 
 
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int = MAX_EXAMPLES) -> Model:
+    known = examples(docs, labels, label, limit)
+    y = known["y"].to_numpy(float) if len(known) else np.zeros(0)
+    if not len(y) or y.min() == y.max():
+        share = float(y.mean()) if len(y) else 0.0
+        none = np.zeros((0, 1), np.float32)
+        return Model(np.zeros(0), none, none, np.zeros(0), np.zeros(0), share, (np.zeros(1), np.zeros(1)))
+    df, n = document_counts(docs, WORDS + LAYOUT, Reader().columns)
+    return fitted(known["text"].tolist(), y, label_weights(labels, label, y), df, n)
+
+
 def score_documents(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """The columns of `docs` but the text, with score and predicted."""
     rows = docs.select(*[c for c in docs.columns if c not in ("score", "predicted")])
 
     def run(batches):
+        read = Reader()
         for batch, texts in text_batches(batches, "text"):
-            p = model.scores(texts.to_pylist())
+            p = model.scores(texts.to_pylist(), read)
             yield with_columns(batch, score=pa.array(p), predicted=pa.array((p >= threshold).astype(np.int32)))
 
     return rows.mapInArrow(run, scored_schema(rows, "score double", "predicted int"))
