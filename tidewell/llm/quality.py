@@ -23,10 +23,10 @@ Input columns named like an output are replaced; the text is not returned.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +50,21 @@ MAX_EXAMPLES = 2048
 WORDS, LAYOUT = 1 << 14, 1 << 12
 DIMENSIONS, NEIGHBOURS = 64, 25
 BLOCK = 256
-#: Runs of capitals, other letters, digits, and of any one sign.
-RUN = re.compile(r"([A-Z])+|([^\W\d_])+|(\d)+|(.)\4*", re.DOTALL)
+#: Signs that may end a word; they stay as they are.
+ENDS = ".,;:!?"
 
 
-def shape(word: str) -> str:
+def kind(c: str) -> str:
+    return "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+
+
+def shape(core: str) -> str:
     """How a word is written, run by run: Aa, A, a, 0, and signs as they are."""
-    return "".join(("A", "a", "0", m[4])[m.lastindex - 1] for m in RUN.finditer(word))
+    if core.isalpha() and (core.islower() or core.isupper()):
+        return kind(core)
+    if core.isalpha() and core[1:].islower():
+        return "Aa"
+    return "".join(k for k, _ in groupby(map(kind, core)))
 
 
 def column(term: str, columns: int) -> int:
@@ -70,37 +78,47 @@ class Reader:
 
     def __init__(self):
         self.known: dict[str, tuple[list[int], int]] = {}
-        self.times = [WORDS + column(f"times {k}", LAYOUT) for k in range(64)]
-        self.again = WORDS + column("again", LAYOUT)
+        self.times = np.array([WORDS + column(f"times {k}", LAYOUT) for k in range(64)])
+        self.again = np.array([WORDS + column("again", LAYOUT)])
+        self.total = np.zeros(WORDS + LAYOUT)
 
     def word(self, word: str) -> tuple[list[int], int]:
-        """Columns of the tokens of a word, and of its shape."""
-        found = self.known.get(word)
-        if found is None:
-            found = [column(t, WORDS) for t in tokens_of(word)], WORDS + column(shape(word), LAYOUT)
-            if len(self.known) >= self.LIMIT:
-                self.known.clear()
-            self.known[word] = found
+        """Columns of the tokens of a new word, and of its shape."""
+        core = word.rstrip(ENDS)
+        end = word[len(core) :]
+        tokens = [core.lower()] if core.isalpha() else tokens_of(core)
+        found = (
+            [column(t, WORDS) for t in (tokens + tokens_of(end) if end else tokens)],
+            WORDS + column(shape(core) + end, LAYOUT),
+        )
+        if len(self.known) >= self.LIMIT:
+            self.known.clear()
+        self.known[word] = found
         return found
 
-    def features(self, text: str | None) -> tuple[dict[int, int], dict[int, int]]:
-        words: Counter = Counter()
-        layout: Counter = Counter()
+    def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Columns that occur, in order (those of WORDS first), and their counts."""
         written = (text or "").split()
-        for word, n in Counter(written).items():
-            tokens, shaped = self.word(word)
-            for c in tokens:
-                words[c] += n
-            layout[shaped] += n
-            layout[self.times[n.bit_length()]] += 1
+        counted = Counter(written)
+        known, word = self.known.get, self.word
+        found = [known(w) or word(w) for w in counted]
+        n = np.fromiter(counted.values(), np.int64, len(found))
+        tokens = np.array([c for f in found for c in f[0]], np.int64)
+        layout = np.array([f[1] for f in found], np.int64)
+        # The exponent of a whole number is its number of bits.
+        times = self.times[np.frexp(n)[1]]
         again = sum(map(str.__eq__, written, written[1:]))
-        if again:
-            layout[self.again] += again
-        return words, layout
+        np.add.at(self.total, tokens, np.repeat(n, [len(f[0]) for f in found]))
+        np.add.at(self.total, layout, n)
+        np.add.at(self.total, times, 1)
+        self.total[self.again] += again
+        at = np.flatnonzero(self.total)
+        counts = self.total[at]
+        self.total[at] = 0
+        return at, counts
 
     def columns(self, text: str | None) -> list[int]:
-        words, layout = self.features(text)
-        return [*words, *layout]
+        return self.features(text)[0].tolist()
 
 
 @dataclass
@@ -115,13 +133,11 @@ class Model:
 
     def sparse(self, text: str | None, read: Reader) -> tuple[np.ndarray, np.ndarray]:
         """Columns and weights of a text; each field has unit length."""
-        parts = []
-        for found in read.features(text):
-            t = np.fromiter(found.keys(), np.int64, len(found))
-            w = (1 + np.log(np.fromiter(found.values(), float, len(found)))) * self.idf[t]
-            parts.append((t, w / (np.sqrt((w * w).sum()) or 1.0)))
-        (t, w), (u, v) = parts
-        return np.concatenate([t, u]), np.concatenate([w, v]).astype(np.float32)
+        t, n = read.features(text)
+        w = (1 + np.log(n)) * self.idf[t]
+        for field in np.split(w, [np.searchsorted(t, WORDS)]):
+            field /= np.sqrt(field @ field) or 1.0
+        return t, w.astype(np.float32)
 
     def project(self, texts: list, read: Reader | None = None) -> np.ndarray:
         """Unit vectors; zero where a text has no direction."""
