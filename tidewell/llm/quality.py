@@ -3,8 +3,8 @@
 Terms come in two fields, counted alike: WORDS (words and runs of signs, lower-cased) and LAYOUT
 (the shape of each word as written, how often each distinct word occurs, and words
 that follow their like). Every term counts: each is hashed to one of a fixed number of columns,
-none is selected. Each field is a TF-IDF vector of unit length, with the inverse document
-frequencies of the whole table.
+none is selected. Each field is a vector of unit length: WORDS by TF-IDF with the inverse
+document frequencies of the whole table, LAYOUT, whose terms most documents share, by TF.
 
 Fitting: a bounded sample of labelled rows (MAX_EXAMPLES of each label) gives the matrix
 whose leading singular vectors are the latent space. The examples' vectors (a few thousand
@@ -86,11 +86,8 @@ class Reader:
         """Columns of the tokens of a new word, and of its shape."""
         core = word.rstrip(ENDS)
         end = word[len(core) :]
-        tokens = [core.lower()] if core.isalpha() else tokens_of(core)
-        found = (
-            [column(t, WORDS) for t in (tokens + tokens_of(end) if end else tokens)],
-            WORDS + column(shape(core) + end, LAYOUT),
-        )
+        tokens = [core.lower(), *tokens_of(end)] if core.isalpha() else tokens_of(word)
+        found = [column(t, WORDS) for t in tokens], WORDS + column(shape(core) + end, LAYOUT)
         if len(self.known) >= self.LIMIT:
             self.known.clear()
         self.known[word] = found
@@ -117,8 +114,10 @@ class Reader:
         self.total[at] = 0
         return at, counts
 
-    def columns(self, text: str | None) -> list[int]:
-        return self.features(text)[0].tolist()
+
+def word_columns(text: str | None) -> list[int]:
+    """Distinct columns of WORDS in a text."""
+    return list({column(t, WORDS) for t in set(tokens_of(text or ""))})
 
 
 @dataclass
@@ -201,9 +200,10 @@ def leading_space(rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, size:
 
 
 def fitted(texts: list[str], y: np.ndarray, stands: np.ndarray, df: np.ndarray, n: int) -> Model:
-    """The model of labelled texts, given the document frequencies of the columns."""
+    """The model of labelled texts, given the document frequencies of WORDS in n documents."""
     none = np.zeros((0, 1))
-    model = Model(np.log((n + 1) / (df + 1)) + 1, none, none, y, stands, 0.5, ())
+    idf = np.concatenate([np.log((n + 1) / (df + 1)) + 1, np.ones(LAYOUT)])
+    model = Model(idf, none, none, y, stands, 0.5, ())
     read = Reader()
     model.space = leading_space([model.sparse(t, read) for t in texts], WORDS + LAYOUT, DIMENSIONS)
     vectors = model.project(texts, read)
@@ -224,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", limit: int =
         share = float(y.mean()) if len(y) else 0.0
         none = np.zeros((0, 1), np.float32)
         return Model(np.zeros(0), none, none, np.zeros(0), np.zeros(0), share, (np.zeros(1), np.zeros(1)))
-    df, n = document_counts(docs, WORDS + LAYOUT, Reader().columns)
+    df, n = document_counts(docs, WORDS, word_columns)
     return fitted(known["text"].tolist(), y, label_weights(labels, label, y), df, n)
 
 
