@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewell import schemas as s
+from tidewell.operators.joins import name_codes
 from tidewell.operators.windows import as_text
 from tidewell.plans import summary
 from tidewell.sinks.batches import commit, globbed
@@ -181,3 +182,15 @@ def test_folding_by_the_job_and_a_stream_out_of_the_table(spark, tmp_path):
     seen = spark.read.parquet(f"{tmp_path}/out")
     assert seen.select(F.sum("v")).first()[0] == total and seen.select("batch").distinct().count() == 8
     assert table.read(spark, day="d1").select(F.sum("v")).first()[0] == 1 + 3 + 5 + 7
+
+
+def test_the_rows_of_a_batch_are_not_broadcast(spark, capsys):
+    """A batch without input releases what the joins held and seems empty to Spark; the dictionary
+    must be the side that is broadcast, however small the batch seems."""
+    rows = spark.createDataFrame([("2401", None)], "source_type string, source_type_name string")
+    dictionary = spark.createDataFrame([(str(c), f"n{c}") for c in range(2400, 2500)], "dic_code string, dic_name string")
+    named = name_codes(rows, dictionary, {"source_type": "source_type_name"})
+    named.explain()
+    plan = capsys.readouterr().out
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    assert named.collect() == [("2401", "n2401")]
