@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tidewell import schemas as s
 from tidewell.operators import changes as ch
+from tidewell.operators import state as batch
 from tidewell.sinks import messages as sink
 from tidewell.sinks.keyed import KeyedTable
 from tidewell.sources import dictionary, streams, tables
@@ -229,3 +230,27 @@ def test_golden_bounce_stream(spark, tmp_path):
             df, out, str(tmp_path / "cp"), trigger={"availableNow": True}))
     got = spark.read.schema(s.PAGE_VIEW).parquet(out).select("common.mid", "ts").collect()
     assert [tuple(r) for r in got] == [("101", 10_000)]
+
+
+def test_bounces_have_no_python_group_per_visitor(spark, tmp_path, capsys):
+    """Rows of several batches, equal times and a slice's end: as the batch form, in Spark's operators."""
+    path, out = str(tmp_path / "pages"), str(tmp_path / "out")
+    names = ["home", None]
+    rows = [
+        ((str(k % 7), None, None, None, None, None), ("x", names[k * k % 5 % 2], None, None, None), ts, k)
+        for k, ts in enumerate(sorted(k * 7919 % 200_000 // 1000 * 1000 for k in range(300)))
+    ]
+    for part in (rows[:100], rows[100:220], rows[220:]):
+        spark.createDataFrame(part, s.PAGE_VIEW).coalesce(1).write.mode("append").parquet(path)
+        stream = state.bounces(streams.table(spark, path, s.PAGE_VIEW, True))
+        run_once(stream, lambda df: sink.append(
+            df, out, str(tmp_path / "cp"), trigger={"availableNow": True}))
+    far = [(("far", None, None, None, None, None), ("x", "home", None, None, None), 10**9, -1)]
+    spark.createDataFrame(far, s.PAGE_VIEW).write.mode("append").parquet(path)
+    run_once(state.bounces(streams.table(spark, path, s.PAGE_VIEW, True)), lambda df: sink.append(
+        df, out, str(tmp_path / "cp"), trigger={"availableNow": True}))
+    got = sorted(r.seq for r in spark.read.schema(s.PAGE_VIEW).parquet(out).collect())
+    want = batch.bounces(spark.createDataFrame(rows, s.PAGE_VIEW)).collect()
+    assert got == sorted(r.seq for r in want) and len(got) > 10
+    stream.explain()
+    assert "InPandas" not in capsys.readouterr().out

@@ -45,13 +45,6 @@ def _in_order(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(chunks), ignore_index=True).sort_values(["ts", "seq"], ignore_index=True)
 
 
-def _native(row: pd.Series) -> tuple:
-    """Plain Python values, as the state store wants them."""
-    return tuple(
-        None if pd.isna(v) else v.item() if hasattr(v, "item") else v for v in row.tolist()
-    )
-
-
 # --------------------------------------------------------------------------
 # New-visitor flag
 # --------------------------------------------------------------------------
@@ -179,55 +172,27 @@ def unique_visitors(pages: DataFrame, delay: str = IN_ORDER) -> DataFrame:
 def bounces(pages: DataFrame, within_ms: int = 10_000, delay: str = IN_ORDER) -> DataFrame:
     """Session starts left without a second page within `within_ms`.
 
-    The state is the open session start of a visitor in a time slice; an event-time timer
-    at its end emits it when nothing follows.  As in the batch form the rows in the first
-    `within_ms` of a slice are shown to the slice before, so a visitor with most of the
-    rows is many small groups.
+    Visitors are cut into slices of `within_ms`: windows that reach as far into the next slice, so
+    the cut is exact and a visitor with most of the rows is many small groups. The state of a group
+    is its pages, and only starts carry their payload; once the watermark has passed the window
+    its starts are judged, all in Spark's own operators. Rows without a time have no next page.
     """
-    flat = flatten_pages(pages)
-    names = flat.columns
-    schema = flat.schema
-    slice_ms = 10 * within_ms
-    home = F.expr(f"ts div {slice_ms}")
-    near_begin = (F.col("ts") - home * slice_ms) < within_ms
-    sliced = flat.withColumns({"event_time": from_millis("ts"), "home": home}).withColumn(
-        "slice", F.explode(F.when(near_begin, F.array(home, home - 1)).otherwise(F.array(home)))
+    is_start = F.col("page.last_page_id").isNull()
+    rows = pages.where("ts is not null").select(
+        F.col("common.mid").alias("mid"), from_millis("ts").alias("event_time"), "ts", "seq",
+        is_start.alias("start"), F.struct(*pages.columns).alias("row"),
     )
+    sliced = rows.withWatermark("event_time", delay).withColumn(
+        "slice", F.window("event_time", f"{2 * within_ms} milliseconds", f"{within_ms} milliseconds")
+    )
+    own = F.col("start") & (F.col("ts") < F.unix_millis("slice.start") + within_ms)
+    page = F.struct("ts", "seq", "start", F.when(own, F.col("row")).alias("row"))
+    groups = sliced.groupBy("mid", "slice").agg(F.sort_array(F.collect_list(page)).alias("pages"))
 
-    def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            open_start = state.get
-            state.remove()
-            yield pd.DataFrame([open_start], columns=names)
-            return
-        rows = pd.concat(list(chunks), ignore_index=True)[[*names, "home"]]
-        if state.exists:
-            before = pd.DataFrame([(*state.get, key[1])], columns=[*names, "home"])
-            rows = pd.concat([before, rows])
-        rows = rows.sort_values(["ts", "seq"], ignore_index=True)
-        start = rows["last_page_id"].isna()
-        own = start & (rows["home"] == key[1])
-        next_start = start.shift(-1, fill_value=False)
-        alone = own & (next_start | (rows["ts"].shift(-1) >= rows["ts"] + within_ms))
-        last = rows.iloc[-1]
-        ends = int(last["ts"]) + within_ms
-        if not own.iloc[-1]:
-            if state.exists:
-                state.remove()
-        elif ends <= state.getCurrentWatermarkMs():
-            alone.iloc[-1] = True
-            if state.exists:
-                state.remove()
-        else:
-            state.update(_native(last[names]))
-            state.setTimeoutTimestamp(ends)
-        yield rows.loc[alone, names]
+    def alone(x, i):
+        following = F.get("pages", i + 1)
+        left = following.isNull() | following["start"] | (following["ts"] >= x["ts"] + within_ms)
+        return x["row"].isNotNull() & left
 
-    found = (
-        sliced.withWatermark("event_time", delay)
-        .groupBy("mid", "slice")
-        .applyInPandasWithState(
-            advance, schema, schema, "append", GroupStateTimeout.EventTimeTimeout
-        )
-    )
-    return nest_pages(found)
+    found = groups.select(F.inline(F.filter("pages", alone))).select("row.*")
+    return found.unionByName(pages.where(F.col("ts").isNull() & is_start))
