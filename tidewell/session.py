@@ -26,6 +26,11 @@ STREAMING = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One store for each task of a join, not four to open and commit in every micro-batch. A
+    # checkpoint keeps the form that it began with.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+    # No read before every write and removal, which only counts the rows of the state.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     # Several watermarked inputs: wait for the slowest one.
     "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
