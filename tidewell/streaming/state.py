@@ -9,9 +9,10 @@ operator allows it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,20 +102,55 @@ def repair_new_visitors(batch: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # First rows of a day
 # --------------------------------------------------------------------------
+def _first_rows(unit: list[str]) -> Callable:
+    """The first row (`ts`, `seq`) of each `unit` in a task; twice the result is held at most."""
+
+    def firsts(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("ts", "ascending"), ("seq", "ascending")])
+        numbered = rows.select(unit).append_column("_at", pa.array(range(rows.num_rows), pa.int64()))
+        return rows.take(numbered.group_by(unit).aggregate([("_at", "min")])["_at_min"])
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, kept = [], 0
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= 2 * kept + 50_000:
+                held = firsts(pa.Table.from_batches(held)).to_batches()
+                kept = sum(b.num_rows for b in held)
+        if held:
+            yield from firsts(pa.Table.from_batches(held)).to_batches()
+
+    return reduce
+
+
 def first_of_day(
-    rows: DataFrame, key: str, also: list[str] | None = None, forget: bool = True,
-    slot: str | None = None, delay: str = IN_ORDER,
+    rows: DataFrame, key: str, also: list[str] | None = None, delay: str = IN_ORDER
 ) -> DataFrame:
     """First row of each key (and `also` columns) on each day.
 
-    `rows` has plain columns with `ts` (ms), `seq`, `day` (date) and
-    `event_time`.  Adds `previous_day`, the key's last active day.
-    With `forget` the state leaves once its day is over; keep it where
-    `previous_day` matters.  With `slot` the first row of every slot comes out
-    too, and `is_first` tells the day's first row.
+    `rows` has plain columns with `ts` (ms), `seq`, `day` (date) and `event_time`. A task cuts its
+    rows to the first ones before and after the shuffle, and Spark's own state of the days seen
+    lets one through; no Python runs for a single key. The state of a day leaves once the
+    watermark is two days past its beginning.
     """
-    keys = [key, *(also or [])]
-    unit = [*keys, "day", *([slot] if slot else [])]
+    unit = [key, *(also or []), "day"]
+    names = rows.columns
+    flat = rows.withColumn("day", _days("day"))
+    found = flat.mapInArrow(_first_rows(unit), flat.schema).repartition(*unit).mapInArrow(
+        _first_rows(unit), flat.schema
+    )
+    day = F.date_from_unix_date("day")
+    return (
+        found.withColumns({"day": day, "_begins": day.cast("timestamp")})
+        .withWatermark("_begins", f"2 days {delay}")
+        .dropDuplicates([*unit, "_begins"])
+        .select(*names)
+    )
+
+
+def first_with_previous_day(rows: DataFrame, key: str, delay: str = IN_ORDER) -> DataFrame:
+    """`first_of_day` with `previous_day`, the key's last active day, which is the state of a key."""
+    unit = [key, "day"]
     flat = rows.withColumn("day", _days("day"))
     names = flat.columns
 
@@ -123,38 +159,25 @@ def first_of_day(
             yield batch.sort_values(["ts", "seq"]).drop_duplicates(unit)
 
     def advance(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
         batch = _in_order(chunks).drop_duplicates(unit)
         before = state.get[0] if state.exists else None
         previous = batch["day"].shift(1)
         previous.iloc[0] = before
         first = previous.isna() | (previous != batch["day"])
-        last = int(batch["day"].iloc[-1])
-        state.update((last,))
-        if forget:
-            ends = (last + 2) * DAY_MS
-            state.setTimeoutTimestamp(max(ends, state.getCurrentWatermarkMs() + 1))
+        state.update((int(batch["day"].iloc[-1]),))
         batch["previous_day"] = previous.astype("Int64").astype("Int32")
-        batch["is_first"] = first
-        yield batch if slot else batch[first]
+        yield batch[first]
 
-    out = T.StructType(
-        [*flat.schema.fields, T.StructField("previous_day", T.IntegerType()),
-         T.StructField("is_first", T.BooleanType())]
-    )
-    timeout = GroupStateTimeout.EventTimeTimeout if forget else GroupStateTimeout.NoTimeout
+    out = T.StructType([*flat.schema.fields, T.StructField("previous_day", T.IntegerType())])
     found = (
         flat.mapInPandas(reduce, flat.schema)
         .withWatermark("event_time", delay)
-        .groupBy(*keys)
-        .applyInPandasWithState(advance, out, "last_day int", "append", timeout)
+        .groupBy(key)
+        .applyInPandasWithState(advance, out, "last_day int", "append", GroupStateTimeout.NoTimeout)
     )
     return found.select(
         *[F.date_from_unix_date("day").alias("day") if n == "day" else F.col(n) for n in names],
         F.date_from_unix_date("previous_day").alias("previous_day"),
-        "is_first",
     )
 
 

@@ -80,7 +80,7 @@ def login_measures(pages: DataFrame, delay: str = IN_ORDER) -> DataFrame:
         "uid", "ts", F.lit(0).cast("bigint").alias("seq"),
         day_of_millis("ts").alias("day"), from_millis("ts").alias("event_time"),
     )
-    return summary.login_measures(state.first_of_day(visits, "uid", forget=False, delay=delay))
+    return summary.login_measures(state.first_with_previous_day(visits, "uid", delay))
 
 
 def register_measures(registrations: DataFrame) -> DataFrame:
