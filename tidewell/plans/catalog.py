@@ -259,7 +259,7 @@ def queries() -> dict[str, Query]:
             "old_status", F.col("old")["order_status"]
         ).drop("old", "row_op_ts"),
         "order_wide_upserted": lambda i: _settled(
-            merge.latest(i.wide, ["id"], F.col("oi_ts").cast("bigint"))
+            trade.order_wide_newest(i.changes, i.dic)
         ),
         "order_placed_detail": lambda i: _settled(i.placed),
         "order_cancel_detail": lambda i: _settled(trade.order_cancelled(i.wide)),

@@ -24,6 +24,7 @@ from tidewell.functions.changes import (
 from tidewell.functions.time import from_seconds, text_date
 from tidewell.operators import changes as ch
 from tidewell.operators.joins import bounded_join, keyed_join, lookup
+from tidewell.operators.merge import latest
 
 
 def cart_add(changes: ch.Feed, dictionary: DataFrame | None) -> DataFrame:
@@ -76,8 +77,10 @@ def order_wide(
     read; these left joins never drop a row.
 
     The dictionary comes first: it drops details with an unknown source before
-    anything is shuffled.  Activity and coupon share one partitioning by detail
-    id; the orders, which multiply the rows by their versions, come last.
+    anything is shuffled.  In streams activity and coupon share one partitioning by
+    detail id; the orders, which multiply the rows by their versions, come last.  In
+    batch runs the wide rows are shuffled once, by order: activity and coupon come to
+    them with the order of their detail, found on narrow rows.
     """
     details = lookup(order_details(changes), dictionary, "source_type", "source_type_name")
     details = details.withColumnRenamed("event_time", "od_time")
@@ -85,24 +88,71 @@ def order_wide(
     if delay:
         details = details.withWatermark("od_time", delay)
         orders = orders.withWatermark("oi_time", delay)
-    wide = _promoted(details, changes, bound, delay) if widen else details.withColumns(
-        {c: F.lit(None).cast("string") for c in ("activity_id", "activity_rule_id", "coupon_id")}
-    )
+    streams = bound is not None or delay is not None
+    if not widen:
+        wide = details.withColumns(
+            {c: F.lit(None).cast("string") for c in ("activity_id", "activity_rule_id", "coupon_id")}
+        )
+    else:
+        wide = _promoted(details, changes, bound, delay) if streams else details
     wide = bounded_join(
         wide, orders, F.col("order_id") == F.col("oi_id"), ("od_time", "oi_time"), bound
     )
+    if widen and not streams:
+        found = _promotions(changes)
+        same = (F.col("order_id") == F.col("_order")) & (F.col("id") == F.col("_id"))
+        wide = wide.join(found, same, "left")
+    return _order_wide(wide)
+
+
+def _order_wide(wide: DataFrame, *without: str) -> DataFrame:
     return (
         wide.withColumn("date_id", text_date("create_time"))
         .withColumn("operate_date_id", text_date("operate_time"))
         .withColumn("row_op_ts", F.current_timestamp())
-        .select(*s.ORDER_WIDE)
+        .select(*[c for c in s.ORDER_WIDE if c not in without])
     )
 
 
-def _promoted(
-    details: DataFrame, changes: ch.Feed, bound: str | None, delay: str | None
-) -> DataFrame:
-    """Order details with their activity and coupon, where they have one."""
+def order_wide_newest(changes: ch.Feed, dictionary: DataFrame | None) -> DataFrame:
+    """The row of `order_wide` with the greatest `oi_ts` of each detail id, without `old`.
+
+    Each order's newest version is taken first and brought to the details on narrow rows (id and
+    order), newest again for each id, so the wide rows are shuffled once, by id. Details
+    without an id are one group and go by `order_wide`.
+    """
+    newest = F.col("oi_ts").cast("bigint")
+    details = lookup(order_details(changes), dictionary, "source_type", "source_type_name")
+    details = details.withColumnRenamed("event_time", "od_time")
+    orders = latest(order_versions(changes).drop("event_time", "old"), ["oi_id"], newest)
+    lines = details.where("id is not null").select(F.col("id").alias("_id"), F.col("order_id").alias("_order"))
+    placed = lines.join(orders, F.col("_order") == F.col("oi_id")).drop("oi_id")
+    placed = latest(placed, ["_id"], newest)
+    same = (F.col("id") == F.col("_id")) & (F.col("order_id") == F.col("_order"))
+    wide = _promoted(details.where("id is not null"), changes, None, None).join(placed, same)
+    found = latest(wide.drop("_id", "_order", "od_time", "act_time", "act_detail", "cou_time", "cou_detail"), ["id"], newest)
+
+    def unnamed(name: str) -> DataFrame:
+        rows = changes(name)
+        return rows.where("data.id is null") if name == "order_detail" else rows
+
+    nameless = order_wide(unnamed, dictionary, widen=False).drop("old")
+    return _order_wide(found, "old").unionByName(latest(nameless, ["id"], newest))
+
+
+def _promotions(changes: ch.Feed) -> DataFrame:
+    """Activity and coupon of the details that have one, with `_id` and `_order` of the detail."""
+    lines = order_details(changes).select(F.col("id").alias("_id"), F.col("order_id").alias("_order"))
+    activities, coupons = _promoting(changes)
+    found = lines.repartition("_id").distinct().join(activities, F.col("_id") == F.col("act_detail"), "left")
+    found = found.join(coupons, F.col("_id") == F.col("cou_detail"), "left")
+    return found.where("act_detail is not null or cou_detail is not null").select(
+        "_id", "_order", "activity_id", "activity_rule_id", "coupon_id"
+    )
+
+
+def _promoting(changes: ch.Feed) -> tuple[DataFrame, DataFrame]:
+    """Activities and coupons of order details."""
     activities = ch.columns(
         ch.table(changes, "order_detail_activity", "insert"),
         "activity_id", "activity_rule_id", act_detail=new("order_detail_id"),
@@ -111,6 +161,14 @@ def _promoted(
         ch.table(changes, "order_detail_coupon", "insert"),
         "coupon_id", cou_detail=new("order_detail_id"),
     ).withColumnRenamed("event_time", "cou_time").drop("ts")
+    return activities, coupons
+
+
+def _promoted(
+    details: DataFrame, changes: ch.Feed, bound: str | None, delay: str | None
+) -> DataFrame:
+    """Order details with their activity and coupon, where they have one."""
+    activities, coupons = _promoting(changes)
     if delay:
         activities = activities.withWatermark("act_time", delay)
         coupons = coupons.withWatermark("cou_time", delay)

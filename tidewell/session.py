@@ -13,6 +13,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more exchange above it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join on more keys goes on with rows that are dealt by one of them.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Hash instead of sort where every partition of the smaller side is small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Keep set-valued aggregates (windows per user and day) hashed, not sorted.
