@@ -61,6 +61,16 @@ def test_the_newest_row_of_each_id(spark, feed):
     assert got and trade.order_wide_newest(feed, dic).columns == old.columns
 
 
+@pytest.mark.parametrize("kinds", [("insert", "update"), ("update", "insert")])
+def test_of_equal_times_the_placing_version_wins(spark, kinds):
+    log = [("order_detail", "insert", {"id": "d1", "order_id": "o1", "source_type": "2401"})]
+    log += [("order_info", kind, {"id": "o1", "order_status": kind}) for kind in kinds]
+    texts = [(json.dumps({"table": n, "type": k, "data": d, "ts": None}), 0) for n, k, d in log]
+    feed = ch.feed(ch.parse(spark.createDataFrame(texts, s.MESSAGE), s.TYPED_CHANGE))
+    (row,) = trade.order_wide_newest(feed, tables.base_dic(spark)).collect()
+    assert (row.id, row.type, row.order_status) == ("d1", "insert", "insert")
+
+
 @pytest.mark.parametrize("newest", [False, True])
 def test_wide_rows_are_shuffled_once(spark, tmp_path, newest):
     for name in ("orders", "lineitem"):

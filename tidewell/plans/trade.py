@@ -117,14 +117,15 @@ def _order_wide(wide: DataFrame, *without: str) -> DataFrame:
 def order_wide_newest(changes: ch.Feed, dictionary: DataFrame | None) -> DataFrame:
     """The row of `order_wide` with the greatest `oi_ts` of each detail id, without `old`.
 
-    Each order's newest version is taken first and brought to the details on narrow rows (id and
-    order), newest again for each id, so the wide rows are shuffled once, by id. Details
-    without an id are one group and go by `order_wide`.
+    Each order's newest version (of equal times the placing one) is taken first and brought to
+    the details on narrow rows (id and order), newest again for each id, so the wide rows are
+    shuffled once, by id. Details without an id are one group and go by `order_wide`.
     """
     newest = F.col("oi_ts").cast("bigint")
     details = lookup(order_details(changes), dictionary, "source_type", "source_type_name")
     details = details.withColumnRenamed("event_time", "od_time")
-    orders = latest(order_versions(changes).drop("event_time", "old"), ["oi_id"], newest)
+    placing = F.col("type") == "insert"
+    orders = latest(order_versions(changes).drop("event_time", "old"), ["oi_id"], newest, placing)
     lines = details.where("id is not null").select(F.col("id").alias("_id"), F.col("order_id").alias("_order"))
     placed = lines.join(orders, F.col("_order") == F.col("oi_id")).drop("oi_id")
     placed = latest(placed, ["_id"], newest)
