@@ -1,5 +1,6 @@
 """Encoding against the tokenizer itself; files, packing and histograms against plain Python."""
 
+import re
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidewell.llm import counts, packing, tokenfiles
-from tidewell.llm.tokens import PieceEncoder, tokenizer_path
+from tidewell.llm.tokens import PieceEncoder, pieces_of, tokenizer_path
 
 ODD = ["", "a", "  A b\tc\n", "e\u0301 \u0301x é", "don't we'll 'sé", "<|endoftext|> x<|startoftext|>y", "\x1cq\x85r\xa0s", "Σίσυφοσ ΣΑΣ", "x" * 5000, "日本 語\u3000字", "It's a1b2.c'd 'S. e\u0301x.y É.É x\u2014.y '.' (Q)a. <|EndOfText|>", "A'RE'll.'s x.'t \u212a.K"]
 
@@ -36,6 +37,43 @@ def test_pieces_encode_like_whole_texts(plain, docs, monkeypatch):
         assert ids.tolist() == [i for x in want for i in x]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="abZ '.,\t\n\x0b\x1c<|>9\u00e9\u0130\u212a", max_size=12), max_size=6))
+def test_pieces_of_many_texts_at_once(texts):
+    def one(data):
+        if b"<|" in data:
+            return data.split()
+        return re.sub(rb"([a-z])([^a-z'\s\x80-\xff])", rb"\1 \2", data.lower()).split()
+
+    data = [t.encode() for t in texts]
+    assert pieces_of(data) == [one(x) for x in data]
+
+
+def test_known_pieces_are_looked_up_once_and_whole_bytes_packed_as_such(monkeypatch):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            raise AssertionError("looked up twice")
+
+    encoder = PieceEncoder(tokenizer_path())
+    ids, _ = encoder.encode(["a b c a", "b"])
+    encoder.index = Counted(encoder.index)
+    again, _ = encoder.encode(["a b c a", "b"])
+    assert again.tolist() == ids.tolist() and Counted.asked == 5
+    monkeypatch.setattr(np, "unpackbits", None)
+    assert tokenfiles.pack_bits(ids, 16) == ids.astype("<u2").tobytes()
+    assert tokenfiles.unpack_bits(tokenfiles.pack_bits(ids, 16), len(ids), 16).tolist() == ids.tolist()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=70), st.integers(1, 32))
 def test_bits_round_trip(values, bits):

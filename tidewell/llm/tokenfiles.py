@@ -34,6 +34,8 @@ END_ID = 1
 #: magic, bits of an id, ids of a block, ids, documents, blocks, place of the block offsets
 FOOTER = "<8sIIQQQQ"
 MAGIC = b"TWPACK01"
+#: Widths of whole bytes, which need no single bits.
+WHOLE = {8: "u1", 16: "<u2", 32: "<u4"}
 
 
 def width(vocabulary: int) -> int:
@@ -42,11 +44,15 @@ def width(vocabulary: int) -> int:
 
 
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
+    if bits in WHOLE:
+        return ids.astype(WHOLE[bits]).tobytes()
     rows = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
     return np.packbits(np.unpackbits(rows, axis=1, bitorder="little")[:, :bits], bitorder="little").tobytes()
 
 
 def unpack_bits(data: bytes, n: int, bits: int) -> np.ndarray:
+    if bits in WHOLE:
+        return np.frombuffer(data, WHOLE[bits], n).astype("<u4")
     flat = np.unpackbits(np.frombuffer(data, np.uint8), count=n * bits, bitorder="little").reshape(n, bits)
     wide = np.zeros((n, 32), np.uint8)
     wide[:, :bits] = flat

@@ -11,17 +11,19 @@ encoding a table look-up; of more than CACHE those met once are forgotten, with
 from __future__ import annotations
 
 import os
-import re
 import sys
 import types
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
 #: Pieces a worker remembers.
 CACHE = 800_000
-#: A letter and what always begins a new token (an apostrophe may belong to the letters).
-LETTER_END = re.compile(rb"([a-z])([^a-z'\s\x80-\xff])")
+LETTER = np.zeros(256, bool)
+LETTER[ord("a") : ord("z") + 1] = True
+#: What always begins a new token after a letter (an apostrophe may belong to the letters).
+BEGINS = ~LETTER
+BEGINS[[*b" \t\n\r\x0b\x0c'", *range(0x80, 0x100)]] = False
 #: Unknown pieces encoded in one call.
 TOGETHER = 2000
 
@@ -32,10 +34,19 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def pieces_of(data: bytes) -> list[bytes]:
-    if b"<|" in data:
-        return data.split()
-    return LETTER_END.sub(rb"\1 \2", data.lower()).split()
+def pieces_of(texts: list[bytes]) -> list[list[bytes]]:
+    """The pieces of each text; the spaces go into all texts at once."""
+    whole = [b"<|" in t for t in texts]
+    lowered = [b"" if w else t.lower() for t, w in zip(texts, whole, strict=True)]
+    data = np.frombuffer(b"\n".join(lowered), np.uint8)
+    cut = np.flatnonzero(LETTER[data[:-1]] & BEGINS[data[1:]]) + 1
+    spaced = np.insert(data, cut, np.uint8(ord(" "))).tobytes()
+    first = np.cumsum([0, *(len(t) + 1 for t in lowered)])
+    first = (first + np.searchsorted(cut, first)).tolist()
+    return [
+        t.split() if w else spaced[a:b].split()
+        for t, w, a, b in zip(texts, whole, first, first[1:], strict=False)
+    ]
 
 
 class PieceEncoder:
@@ -85,17 +96,24 @@ class PieceEncoder:
         self.pool = np.concatenate([self.pool, *ids])
         self.index.update(zip(pieces, range(len(self.index), len(self.index) + len(pieces)), strict=True))
 
+    def look_up(self, pieces: list[bytes]) -> np.ndarray:
+        """The numbers of pieces, -1 for those that are not known."""
+        return np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+
     def places(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Where the pieces' ids are kept, and the number of pieces of each text."""
-        pieces = [pieces_of(t.encode()) for t in texts]
+        pieces = pieces_of([t.encode() for t in texts])
         flat = list(chain.from_iterable(pieces))
-        missing = set(flat).difference(self.index)
+        at = self.look_up(flat)
+        missing = {flat[i] for i in np.flatnonzero(at < 0).tolist()}
         if missing and len(self.index) + len(missing) > CACHE:
             self.forget()
-            missing = set(flat).difference(self.index)
+            at = self.look_up(flat)
+            missing = {flat[i] for i in np.flatnonzero(at < 0).tolist()}
         if missing:
             self.learn(sorted(missing))
-        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+            new = np.flatnonzero(at < 0)
+            at[new] = self.look_up([flat[i] for i in new.tolist()])
         self.hits += np.bincount(at, minlength=len(self.hits))
         return at, np.fromiter(map(len, pieces), np.int64, len(pieces))
 
