@@ -74,3 +74,13 @@ def test_columns_named_like_outputs_and_work_columns(spark):
     got = lines.filter_lines(df, max_documents=3)
     assert len(set(got.columns)) == len(got.columns)
     assert result(got) == brute([r[:3] for r in rows], 3, lines.MIN_SHARE)
+
+
+def test_lines_are_cut_once_and_the_text_is_left_out_on_request(spark):
+    rows = [(i, "h", "menu home\n" + " ".join(f"w{i}x{j}" for j in range(60 if i else 2))) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = lines.filter_lines(df, max_documents=4, keep_text=False)
+    assert result(got) == brute(rows, 4, lines.MIN_SHARE)
+    assert got.columns == [c for c in lines.filter_lines(df, max_documents=4).columns if c != "kept_text"]
+    # The lines are read back where they were stored; neither the count nor the join cuts them again.
+    assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()

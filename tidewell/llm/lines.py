@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, split_words
+from .common import WHITE_SPACE, split_words, stored
 
 #: A line of more distinct documents of one host than this is boilerplate.
 MAX_DOCUMENTS = 10
@@ -108,9 +108,10 @@ def filter_lines(
     id_column: str = "doc_id",
     max_documents: int = MAX_DOCUMENTS,
     min_share: float = MIN_SHARE,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """`docs` with the base counts, n_common_words (words in lines above the limit), kept, and
-    kept_text: the text without these lines, all other lines as they were."""
+    """`docs` with the base counts, n_common_words (words in lines above the limit), kept, and, if
+    `keep_text`, kept_text: the text without these lines, all other lines as they were."""
     docs = docs.drop("n_common_words", "kept", "kept_text", "_k1", "_k2", "_at", "_split")
     key = [F.coalesce(F.col(id_column), F.lit(-1)).alias("_k1"), F.xxhash64(id_column, host, text).alias("_k2")]
     counted = base_counts(docs.select("*", *key), text)
@@ -119,20 +120,25 @@ def filter_lines(
     once = lines.groupBy("_k1", "_k2", "_pos").agg(
         F.first("_host").alias("_host"), F.first("_line").alias("_line"), F.first("_n").alias("_n")
     )
-    per_document = once.groupBy("_k1", "_k2", "_host", "_line").agg(
-        F.sum("_n").alias("_n"), F.collect_list("_pos").alias("_at")
-    )
+    sums = [F.sum("_n").alias("_n")] + [F.collect_list("_pos").alias("_at")] * keep_text
+    # Stored, as both the counts and the join below read it: lines are cut and hashed once.
+    per_document = stored(once.groupBy("_k1", "_k2", "_host", "_line").agg(*sums), "lines")
     frequent = (
         per_document.groupBy("_host", "_line").agg(F.count("*").alias("_docs")).where(F.col("_docs") > max_documents)
     )
     common = (
         per_document.join(frequent, ["_host", "_line"], "left_semi")
         .groupBy("_k1", "_k2")
-        .agg(F.sum("_n").alias("n_common_words"), F.flatten(F.collect_list("_at")).alias("_at"))
+        .agg(
+            F.sum("_n").alias("n_common_words"),
+            *[F.flatten(F.collect_list("_at")).alias("_at")] * keep_text,
+        )
     )
     joined = counted.join(common, ["_k1", "_k2"], "left")
     removed = F.coalesce(F.col("n_common_words"), F.lit(0).cast("long"))
     kept = ~F.col("base_failed") & (F.col("n_words") - removed >= min_share * F.col("n_words"))
+    if not keep_text:
+        return joined.withColumns({"n_common_words": removed, "kept": kept}).drop("_k1", "_k2")
     # A column of its own: the lambda below must not split the text for each line.
     split = joined.withColumn("_split", F.split(text, "\n"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), "_at")

@@ -73,7 +73,7 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
-    return lines.filter_lines(docs).drop("text", "source", "kept_text")
+    return lines.filter_lines(docs, keep_text=False).drop("text", "source")
 
 
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
