@@ -7,6 +7,7 @@ import numpy as np
 
 from tidewell.llm import jaccard
 from tidewell.llm.components import connected
+from tidewell.llm.rows import bit_map, only, without
 
 
 def brute(rows, percent=75):
@@ -130,3 +131,17 @@ def test_pages_of_one_template_do_not_all_meet(spark, monkeypatch):
         assert got == brute(rows)
     # Two passes each: at most two groups for a document, where all pairs would be thousands.
     assert len(seen) == 4 and max(seen[:2]) <= 240 and max(seen[2:]) <= 440, seen
+
+
+def test_rows_in_question_are_told_by_their_numbers_alone(spark):
+    rows = [(i, "text " * 50) for i in range(200)]
+    df = spark.createDataFrame(rows, "d long, text string")
+    dropped = df.where("d % 3 = 0").select("d")
+    kept = without(df, dropped)
+    assert sorted(r["d"] for r in kept.collect()) == [i for i in range(200) if i % 3]
+    assert kept.dtypes == df.dtypes and {r["text"] for r in kept.collect()} == {"text " * 50}
+    marked = only(df, bit_map(dropped), True)
+    assert {r["d"] for r in marked.collect()} >= {i for i in range(200) if i % 3 == 0}
+    # No whole text goes through Python.
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "fits(d" in plan

@@ -68,12 +68,16 @@ def marked(batches, words: np.ndarray, there: bool):
 
 
 def only(docs: DataFrame, words: np.ndarray, there: bool) -> DataFrame:
-    """Rows whose number is (or is not) marked in the bit map."""
+    """Rows whose number is (or is not) marked in the bit map.
 
-    def keep(batches):
-        yield from marked(batches, words, there)
+    Python sees the numbers alone: whole texts in its batches would take memory on both sides.
+    """
+
+    @F.arrow_udf("boolean")
+    def fits(d: pa.Array) -> pa.Array:
+        return pa.array(marked_in(words, d.to_numpy(zero_copy_only=False)) == there)
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.where(fits("d"))
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
