@@ -23,10 +23,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """ODD ** i and its inverse modulo 2 ** 64, kept by the worker."""
+    """ODD ** i and its inverse modulo 2 ** 64, kept by the worker while a task reads texts."""
     kept = sys.modules.setdefault("_tidewell_worker", types.ModuleType("_tidewell_worker")).__dict__
     if len(kept.get("powers", ((), ()))[0]) < n:
-        base = np.ones((2, max(n, (1 << 20) + 1)), np.uint64)
+        base = np.ones((2, (1 << max(16, (n - 1).bit_length())) + 1), np.uint64)
         base[0, 1:] = np.uint64(ODD)
         base[1, 1:] = np.uint64(pow(ODD, -1, 1 << 64))
         np.multiply.accumulate(base, axis=1, out=base)

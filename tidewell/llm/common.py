@@ -45,16 +45,18 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+MAX_RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000):
     """Fewer rows in an Arrow batch while a job runs: whole texts may be long."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, rows)
+    before = spark.conf.get(MAX_RECORDS)
+    spark.conf.set(MAX_RECORDS, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(MAX_RECORDS, before)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -105,6 +107,8 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1
             hi = max(lo + 1, int(np.searchsorted(sizes, base + limit, "right")))
             yield batch.slice(lo, hi - lo), texts.slice(lo, hi - lo)
             lo = hi
+    if worker := sys.modules.get("_tidewell_worker"):
+        worker.__dict__.pop("powers", None)
     give_back()
 
 
@@ -116,18 +120,50 @@ def give_back() -> None:
         trim(0)
 
 
+#: Of glibc's mallopt: blocks from so many bytes are mapped alone; so many free bytes stay on
+#: top of the heap, for the arrays of one slice of text after another.
+M_TRIM_THRESHOLD, M_MMAP_THRESHOLD, MAPPED, ON_TOP = -1, -3, 4 << 20, 32 << 20
+
+
+def lean_worker() -> None:
+    """Large arrays of this worker go back to the system as soon as they are freed.
+
+    By default the first large array that is freed raises the limit up to which arrays come
+    from the heap of the process, and an idle worker keeps what its last task took there.
+    """
+    set_option = getattr(ctypes.CDLL(None), "mallopt", None)
+    if set_option:
+        set_option(M_MMAP_THRESHOLD, MAPPED)
+        set_option(M_TRIM_THRESHOLD, ON_TOP)
+
+
+def pieces(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """An Arrow batch in slices of about `limit` bytes (or one row): the JVM takes each as one block."""
+    rows = max(1, batch.num_rows * limit // max(1, batch.nbytes))
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
 def gathered(parts: Iterator[tuple[np.ndarray, ...]], limit: int) -> Iterator[list[np.ndarray]]:
     """Tuples of arrays joined until their first arrays hold `limit` values."""
     held: list[tuple[np.ndarray, ...]] = []
+
+    def joined() -> list[np.ndarray]:
+        out = [np.concatenate(x) for x in zip(*held, strict=True)]
+        held.clear()
+        return out
+
     size = 0
     for part in parts:
         held.append(part)
         size += len(part[0])
+        del part
         if size >= limit:
-            yield [np.concatenate(x) for x in zip(*held, strict=True)]
-            held, size = [], 0
+            # Nothing here refers to what is given, or to its parts, while it is in use.
+            yield joined()
+            size = 0
     if held:
-        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+        yield joined()
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

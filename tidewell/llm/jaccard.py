@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import TABLE, ByteHash, mix
-from .common import gathered, give_back, partitions, stored, text_batches, text_bytes
+from .common import gathered, give_back, lean_worker, partitions, pieces, stored, text_batches, text_bytes
 from .components import connected
 from .rows import bit_map, doubtful, marked, numbered, slices_of, without
 
@@ -49,6 +49,8 @@ SHINGLE, PERCENT = 5, 75
 GROUP = 128
 #: Text bytes behind one bucket of shingles, and shingles a task sends together.
 BUCKET_BYTES, SEND = 4 << 20, 1 << 19
+#: Text bytes hashed at once when shingles are sent.
+SLICE = 1 << 18
 #: A shingle in this share of the documents of a slice, and of half this share of all, is hot.
 HOT_SHARE = 0.01
 QUERIES = 512
@@ -114,6 +116,7 @@ def classes(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     """Stored (d, n, digest) of all documents, and the hot shingles (a bounded array)."""
 
     def sets(source):
+        lean_worker()
         for batch, texts in text_batches(source, "text"):
             d = batch.column(0).to_pylist()
             doc, value = shingle_sets(*text_bytes(texts), size)
@@ -162,31 +165,38 @@ def shared_shingles(docs: DataFrame, copies: DataFrame, hot: np.ndarray, size: i
     words = bit_map(copies)
 
     def sets(source):
-        for batch, texts in text_batches(source, "text"):
+        lean_worker()
+        for batch, texts in text_batches(source, "text", SLICE):
             d = batch.column(0).to_numpy(zero_copy_only=False)
             doc, value = shingle_sets(*text_bytes(texts), size)
             yield value, d[doc], d, np.bincount(doc, minlength=len(d))
 
+    def dealt(part):
+        value, d, nd, nn = part
+        part.clear()
+        is_hot = np.isin(value, hot)
+        out: dict[int, dict[str, bytes]] = {}
+
+        def deal(bucket, **columns):
+            order = np.argsort(bucket, kind="stable")
+            for b, at in zip(*slices_of(bucket[order]), strict=True):
+                out.setdefault(b, {}).update({c: x[order[at]].tobytes() for c, x in columns.items()})
+
+        deal((value[~is_hot] % np.uint64(buckets)).astype(np.int64), t=value[~is_hot], d=d[~is_hot])
+        deal((mix(nd.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64), nd=nd, nn=nn)
+        home = (mix(d[is_hot].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        deal(home, ht=value[is_hot], hd=d[is_hot])
+        names = ("t", "d", "nd", "nn", "ht", "hd")
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(out), pa.int32())]
+            + [pa.array([r.get(c, b"") for r in out.values()], pa.binary()) for c in names],
+            ["bucket", *names],
+        )
+
     def send(source):
-        for value, d, nd, nn in gathered(sets(source), SEND):
-            is_hot = np.isin(value, hot)
-            out: dict[int, dict[str, bytes]] = {}
-
-            def deal(bucket, out=out, **columns):
-                order = np.argsort(bucket, kind="stable")
-                for b, at in zip(*slices_of(bucket[order]), strict=True):
-                    out.setdefault(b, {}).update({c: x[order[at]].tobytes() for c, x in columns.items()})
-
-            deal((value[~is_hot] % np.uint64(buckets)).astype(np.int64), t=value[~is_hot], d=d[~is_hot])
-            deal((mix(nd.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64), nd=nd, nn=nn)
-            home = (mix(d[is_hot].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            deal(home, ht=value[is_hot], hd=d[is_hot])
-            names = ("t", "d", "nd", "nn", "ht", "hd")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(out), pa.int32())]
-                + [pa.array([r.get(c, b"") for r in out.values()], pa.binary()) for c in names],
-                ["bucket", *names],
-            )
+        for batch in map(dealt, gathered(sets(source), SEND)):
+            yield from pieces(batch)
+        give_back()
 
     def send_unmarked(source):
         yield from send(marked(source, words, False))
@@ -195,6 +205,7 @@ def shared_shingles(docs: DataFrame, copies: DataFrame, hot: np.ndarray, size: i
         return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
     def count(table):
+        lean_worker()
         give_back()
         t, d = column(table, "t", "<u8"), column(table, "d", "<i8")
         order = np.argsort(t, kind="stable")
@@ -218,9 +229,11 @@ def shared_shingles(docs: DataFrame, copies: DataFrame, hot: np.ndarray, size: i
         )
         names = ("home", "t", "d", "f", "nd", "nn")
         kinds = (pa.int32(), *[pa.binary()] * 5)
-        return pa.table({c: pa.array([r[i] for r in rows], kinds[i]) for i, c in enumerate(names)})
+        found = pa.record_batch({c: pa.array([r[i] for r in rows], kinds[i]) for i, c in enumerate(names)})
+        return pa.Table.from_batches(list(pieces(found)))
 
     def gather(table):
+        lean_worker()
         give_back()
         nd, nn = column(table, "nd", "<i8"), column(table, "nn", "<i8")
         t, d, f = column(table, "t", "<u8"), column(table, "d", "<i8"), column(table, "f", "<u4")
@@ -299,6 +312,7 @@ def open_groups(percent: int):
     """Compare queries with the groups whose token union lets them reach the threshold."""
 
     def across(members, queries):
+        lean_worker()
         give_back()
         m_ids, m_n, m_component = (members[c].to_numpy() for c in ("d", "n", "component"))
         sets = [np.frombuffer(x, "<u8") for x in members["t"].to_pylist()]

@@ -45,13 +45,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import ByteHash, least_ahead, mix
-from .common import gathered, give_back, partitions, stored, text_batches, text_bytes
+from .common import gathered, give_back, lean_worker, partitions, pieces, stored, text_batches, text_bytes
 from .rows import bit_map, marked, numbered, only, slices_of
 
 LENGTH, GRAM = 100, 32
 BATCHES = 8
 #: Text bytes behind one bucket of the index, and entries or windows a task sends together.
 BUCKET_BYTES, SEND = 4 << 20, 1 << 19
+#: Text bytes hashed at once: an array has 8 bytes for each.
+SLICE = 1 << 18
 ENTRY = np.dtype([("z", "<u8"), ("y", "<u4"), ("n", "u1"), ("edge", "?"), ("d", "<i8"), ("lo", "<u4")])
 
 
@@ -234,7 +236,8 @@ def repeated_strings(
             buckets, folders = before["buckets"], before["folders"]
 
     def sample(source):
-        for batch, texts in text_batches(source, "text"):
+        lean_worker()
+        for batch, texts in text_batches(source, "text", SLICE):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             doc, lo, n, k, c = sampled(*text_bytes(texts), length, gram)
             rows = np.zeros(len(doc), ENTRY)
@@ -243,23 +246,30 @@ def repeated_strings(
             rows["n"], rows["d"], rows["lo"] = n, ids[doc], lo
             yield rows, ((k >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
+    def dealt(part):
+        rows, bucket = part
+        part.clear()
+        order = np.lexsort((rows["lo"], rows["d"], rows["y"], rows["z"], bucket))
+        rows, bucket = rows[order], bucket[order]
+        # Of equal contexts at hand only the first is sent as an entry.
+        first = first_of(rows)
+        out = []
+        for b, at in zip(*slices_of(bucket), strict=True):
+            mine, gone = rows[at][first[at]], rows[at][~first[at]]
+            out.append((b, *columns_of(mine), *(gone[x].tobytes() for x in ("d", "lo", "n"))))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([o[0] for o in out], pa.int32())]
+            + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 9)],
+            ["bucket", "z", "y", "n", "d", "lo", "gd", "glo", "gn"],
+        )
+
     def entries(source):
-        for rows, bucket in gathered(sample(source), SEND):
-            order = np.lexsort((rows["lo"], rows["d"], rows["y"], rows["z"], bucket))
-            rows, bucket = rows[order], bucket[order]
-            # Of equal contexts at hand only the first is sent as an entry.
-            first = first_of(rows)
-            out = []
-            for b, at in zip(*slices_of(bucket), strict=True):
-                mine, gone = rows[at][first[at]], rows[at][~first[at]]
-                out.append((b, *columns_of(mine), *(gone[x].tobytes() for x in ("d", "lo", "n"))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int32())]
-                + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 9)],
-                ["bucket", "z", "y", "n", "d", "lo", "gd", "glo", "gn"],
-            )
+        for batch in map(dealt, gathered(sample(source), SEND)):
+            yield from pieces(batch)
+        give_back()
 
     def fold(table):
+        lean_worker()
         give_back()
         from pyspark import TaskContext
 
@@ -297,7 +307,8 @@ def repeated_strings(
     near = only(texts, bit_map(edges), True).join(edges, "d")
 
     def hashed(source):
-        for batch, texts in text_batches(source, "text"):
+        lean_worker()
+        for batch, texts in text_batches(source, "text", SLICE):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             buffer, ends = text_bytes(texts)
             spans = batch.column(batch.schema.get_field_index("spans"))
@@ -309,23 +320,30 @@ def repeated_strings(
             at = s + ends[doc]
             yield ByteHash(buffer).span(at, at + length), ids[doc], s.astype(np.uint32)
 
+    def dealt_windows(part):
+        h, d, s = part
+        part.clear()
+        bucket = (mix(h) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((s, d, h, bucket))
+        h, d, s, bucket = h[order], d[order], s[order], bucket[order]
+        first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+        out = []
+        for b, at in zip(*slices_of(bucket), strict=True):
+            head = first[at]
+            out.append((b, *(x[at][head].tobytes() for x in (h, d, s)), *(x[at][~head].tobytes() for x in (d, s))))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([o[0] for o in out], pa.int32())]
+            + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 6)],
+            ["bucket", "h", "d", "s", "gd", "gs"],
+        )
+
     def windows(source):
-        for h, d, s in gathered(hashed(source), SEND):
-            bucket = (mix(h) % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((s, d, h, bucket))
-            h, d, s, bucket = h[order], d[order], s[order], bucket[order]
-            first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-            out = []
-            for b, at in zip(*slices_of(bucket), strict=True):
-                head = first[at]
-                out.append((b, *(x[at][head].tobytes() for x in (h, d, s)), *(x[at][~head].tobytes() for x in (d, s))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int32())]
-                + [pa.array([o[i] for o in out], pa.binary()) for i in range(1, 6)],
-                ["bucket", "h", "d", "s", "gd", "gs"],
-            )
+        for batch in map(dealt_windows, gathered(hashed(source), SEND)):
+            yield from pieces(batch)
+        give_back()
 
     def repeats(table):
+        lean_worker()
         give_back()
         h, d, s, gd, gs = (
             np.frombuffer(b"".join(table[x].to_pylist()), t)
@@ -423,6 +441,7 @@ def deduplicate(
     kinds = dict(zip(OUTPUTS, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))
 
     def finish(source):
+        lean_worker()
         for batch, texts in text_batches(source, "text"):
             spans_at = batch.schema.get_field_index("spans")
             if spans_at >= 0:
